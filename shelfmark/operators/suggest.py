@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from shelfmark.functions.analysis import words
 from shelfmark.functions.text import highlight, java_quote
@@ -181,6 +183,28 @@ def build_suggester(idx: IndexTables, suggester: Suggester) -> DataFrame:
     )
 
 
+def ensure_suggester(
+    spark: SparkSession, folder: str, idx: IndexTables, suggester: Suggester
+) -> DataFrame:
+    """The written rows of a suggester, built when there are none for this state of its index.
+
+    ``folder`` belongs to one state of the index; the settings of the suggester are part of the
+    path, so other weights or fields never meet rows built before.
+    """
+    settings = hashlib.md5(repr(suggester).encode()).hexdigest()
+    path = f"{folder}/{suggester.name}-{settings}"
+    rows = build_suggester(idx, suggester)
+    try:
+        # The writer leaves its marker only when every task has finished.
+        spark.read.text(f"{path}/done")
+    except AnalysisException:
+        rows.repartitionByRange("index_name", "text").sortWithinPartitions(
+            "index_name", "text"
+        ).write.mode("overwrite").partitionBy("index_name", "suggester").parquet(f"{path}/rows")
+        spark.range(1).select(F.lit("done")).write.mode("overwrite").text(f"{path}/done")
+    return spark.read.schema(rows.schema).parquet(f"{path}/rows")
+
+
 def use_suggester(
     idx: IndexTables, rows: DataFrame, suggester: Suggester, term: str, results: int = RESULTS
 ) -> DataFrame:

@@ -268,6 +268,7 @@ QUERIES = {
 
 _HITS = "SELECT index_name, doc_id, round(score, 4) AS score FROM "
 _CONSTANT = "SELECT DISTINCT index_name, doc_id, 1.0::DOUBLE AS score FROM post WHERE "
+_NEAR = r"damerau_levenshtein(regexp_replace(term, '[^\x00-\x7F]', '~', 'g'), 'eriner') <= 1"
 _TALKS = tokens("SELECT 'talks' AS index_name, conv_id AS doc_id, turn, text FROM conversations")
 # Repeated values: a word's place is its value and its place therein.
 _TALK_TOKENS = _TALKS.replace(
@@ -306,7 +307,7 @@ FROM either e JOIN c ON c.index_name = e.index_name AND c.doc_id = e.doc_id
 WHERE (e.index_name, e.doc_id) NOT IN (SELECT (index_name, doc_id) FROM post WHERE term = 'th')""",
     "predicate_wildcard": f"WITH {tokens()} {_CONSTANT} regexp_full_match(term, 'tion.h.*')",
     "predicate_range": f"WITH {tokens()} {_CONSTANT} term >= 'from' AND term < 'ha'",
-    "predicate_fuzzy": f"WITH {tokens()} {_CONSTANT} damerau_levenshtein(term, 'eriner') <= 1",
+    "predicate_fuzzy": f"WITH {tokens()} {_CONSTANT} {_NEAR}",
     "predicate_boost": f"""WITH {tokens()}, {term_hits('a', 'from')}, {term_hits('b', 'ha')},
 hits AS (SELECT index_name, doc_id, sum(score) AS score
          FROM (SELECT index_name, doc_id, score * 2.0 AS score FROM a UNION ALL SELECT * FROM b)
