@@ -38,6 +38,7 @@ def facet_counts(
             idx.dictionary.where(F.col("field").isin(list(fields)))
             .groupBy("field", "term")
             .agg(F.sum("doc_freq").alias("count"))
+            .where(F.col("count") > 0)
         )
     else:
         repeated = [f for f in fields if idx.is_repeated(f)]

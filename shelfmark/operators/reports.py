@@ -61,7 +61,8 @@ def index_summary(
 
 def field_doc_counts(idx: IndexTables) -> DataFrame:
     """Per index and visible field, the documents having it."""
-    return visible_fields(idx.field_stats).select("index_name", "field", "documents")
+    counts = visible_fields(idx.field_stats).groupBy("index_name", "field")
+    return counts.agg(F.sum("documents").alias("documents")).where("documents > 0")
 
 
 def list_indexes(registry: DataFrame, docs: DataFrame) -> DataFrame:

@@ -70,6 +70,7 @@ def term_candidates(idx: IndexTables, fields: Sequence[str], weights: dict[str,
         idx.dictionary.where(F.col("field").isin(list(fields)))
         .groupBy("field", "term")
         .agg(F.sum("doc_freq").alias("doc_freq"))
+        .where("doc_freq > 0")
         .select(
             F.col("term").alias("text"),
             (field_weight(F.col("field"), weights) * F.col("doc_freq")).alias("weight"),
@@ -158,7 +159,13 @@ def build_suggester(idx: IndexTables, suggester: Suggester) -> DataFrame:
     ``words`` holds the lowercase words of the text, so that lookups compare prefixes only.
     """
     if suggester.use_terms:
-        rows = idx.dictionary.where(F.col("field").isin(list(suggester.fields))).select(
+        counts = (
+            idx.dictionary.where(F.col("field").isin(list(suggester.fields)))
+            .groupBy("index_name", "field", "term")
+            .agg(F.sum("doc_freq").alias("doc_freq"))
+            .where("doc_freq > 0")
+        )
+        rows = counts.select(
             "index_name",
             F.col("term").alias("text"),
             (field_weight(F.col("field"), suggester.weights) * F.col("doc_freq")).alias("weight"),

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.functions.distance import MAX_EDITS, edit_distance, maybe_within
 from shelfmark.functions.text import names as split_names
 from shelfmark.operators.build import IndexTables
 from shelfmark.operators.predicates import near_terms
@@ -15,7 +16,9 @@ BUCKET = 20
 
 
 def _added_up(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("field", "term").agg(F.sum("doc_freq").alias("doc_freq"))
+    """Frequencies over all indexes; terms no live document has any more drop out."""
+    counts = rows.groupBy("field", "term").agg(F.sum("doc_freq").alias("doc_freq"))
+    return counts.where("doc_freq > 0")
 
 
 def index_terms(idx: IndexTables, field: str) -> DataFrame:
@@ -44,16 +47,11 @@ def similar_terms(
     idx: IndexTables, term: str, fields: str | Sequence[str] = "fulltext", n: int = BUCKET
 ) -> DataFrame:
     """Near and completing terms of several fields in one bucket, each term once per field."""
-    wanted = split_names(fields)
-    parts = [
-        rows
-        for field in wanted
-        for rows in (near_terms(idx, field, term), prefix_matches(idx, term, field))
-    ]
-    together = parts[0]
-    for part in parts[1:]:
-        together = together.unionByName(part)
-    once = together.groupBy("index_name", "field", "term").agg(
-        F.max("doc_freq").alias("doc_freq")
+    # One scan: each term is looked at once, so a term both near and completing counts once.
+    word = F.col("term")
+    completing = word.startswith(term)
+    candidates = idx.dictionary.where(
+        F.col("field").isin(split_names(fields)) & (completing | maybe_within(word, F.lit(term)))
     )
-    return top_terms(_added_up(once), n)
+    edits = candidates.withColumn("edits", edit_distance(word, F.lit(term)))
+    return top_terms(_added_up(edits.where(completing | (F.col("edits") <= MAX_EDITS))), n)

@@ -186,8 +186,8 @@ def talks(spark: SparkSession, sf_dir: str) -> IndexTables:
     return TALK_CORPUS.index(spark, sf_dir).select("talks")
 
 
-def file_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as file events (path, kind, is_dir, ts, event_id)."""
+def as_file_events(events: DataFrame) -> DataFrame:
+    """Rows of the events table as file events (event_id, path, kind, is_dir, ts)."""
     folder = F.concat(
         F.lit("/psml/content/book-"),
         (F.col("user_id") % 10).cast("string"),
@@ -195,7 +195,7 @@ def file_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("user_id") % 3).cast("string"),
     )
     is_dir = F.col("event_id") % 4 == 0
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         "event_id",
         F.when(is_dir, folder)
         .otherwise(F.concat(folder, F.lit("/"), F.col("user_id").cast("string"), F.lit(".psml")))
@@ -209,6 +209,20 @@ def file_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def file_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_file_events(table(spark, sf_dir, "events"))
+
+
+def file_event_stream(spark: SparkSession, sf_dir: str, watermark: str = "1 hour") -> DataFrame:
+    """The same events as a stream."""
+    rows = (
+        spark.readStream.schema(table(spark, sf_dir, "events").schema)
+        .option("pathGlobFilter", "events.parquet")
+        .parquet(sf_dir)
+    )
+    return as_file_events(rows).withWatermark("ts", watermark)
+
+
 def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct file paths of the events; they also stand for the indexed documents."""
     return (

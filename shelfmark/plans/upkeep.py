@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from shelfmark.functions.paths import file_filter, relative_path
+from shelfmark.functions.paths import file_filter, file_to_path, relative_path
 from shelfmark.operators import build, changes, reports
-from shelfmark.operators.definitions import route_index
+from shelfmark.operators.definitions import definition_name, route_index
 from shelfmark.plans import corpora
 from shelfmark.plans.corpora import BOOKS, CONTENT_ROOT, DEFINITIONS, documents, talks
 from shelfmark.plans.sql import DOCS, EVENT_CLASS, EVENTS, SNAPSHOTS, VALUES, tokens
+from shelfmark.session import shared_dir
+from shelfmark.sources import store
 from shelfmark.streaming import events as ev
+from shelfmark.streaming import indexing
 
 WINDOW = {"folder": "/documents/en", "path_regex": "/[0-9]*[02468]\\.psml", "modified_after": "2024-01-01"}
 
@@ -166,8 +171,6 @@ def folder_added(spark, sf_dir):
 
 
 def folder_deleted(spark, sf_dir):
-    from shelfmark.functions.paths import file_to_path
-
     docs = corpora.file_listing(spark, sf_dir).select(
         file_to_path(F.col("path"), "/psml").alias("_path")
     )
@@ -175,7 +178,90 @@ def folder_deleted(spark, sf_dir):
     return found.withColumn("ts", _micros("ts"))
 
 
+def _run_folder(spark, name):
+    """A fresh folder for the output and the state of one run of a stream."""
+    return f"{shared_dir(spark)}/shelfmark/streams/{name}/{uuid.uuid4().hex}"
+
+
+def change_stream(spark, sf_dir):
+    """Events taken from a log by a stream, told apart and written down."""
+    run = _run_folder(spark, "changes")
+    log = f"{run}/log"
+    corpora.file_events(spark, sf_dir).drop("event_id").write.parquet(log)
+    seen = ev.classify_event(ev.change_stream(spark, log))
+    query = (
+        seen.writeStream.format("parquet")
+        .option("path", f"{run}/seen")
+        .option("checkpointLocation", f"{run}/state")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return spark.read.schema(seen.schema).parquet(f"{run}/seen").select(
+        "path", "kind", _micros("ts").alias("ts"), "event_class"
+    )
+
+
+def debounce_stream(spark, sf_dir):
+    """Quiet periods that are over by the time the stream has seen every event."""
+    run = _run_folder(spark, "debounce")
+    routed = route_index(corpora.file_event_stream(spark, sf_dir), BOOKS)
+    quiet = ev.debounce_stream(routed, "2 hours")
+    query = (
+        quiet.writeStream.format("parquet")
+        .option("path", f"{run}/quiet")
+        .option("checkpointLocation", f"{run}/state")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return _session_columns(spark.read.schema(quiet.schema).parquet(f"{run}/quiet"))
+
+
+def stream_index(spark, sf_dir):
+    """An index kept by a stream: files whose last event is no deletion, seen once they are quiet."""
+    run = _run_folder(spark, "index")
+    files = corpora.file_events(spark, sf_dir).where(~F.col("is_dir"))
+    last = files.groupBy("path").agg(
+        F.max(F.struct("ts", "kind")).getField("kind").alias("kind"), F.max("ts").alias("last")
+    )
+
+    def load(touched):
+        present = touched.join(
+            last.where(F.col("kind") != "delete"), touched["_src"] == last["path"]
+        )
+        docs = present.select(
+            "index_name",
+            F.col("_src").alias("doc_id"),
+            "_src",
+            file_to_path(F.col("_src"), "/psml").alias("_path"),
+            F.col("last").alias("_lastmodified"),
+        )
+        values = build.field_values(present.withColumnRenamed("_src", "doc_id"), [], ["kind"])
+        return docs, values
+
+    nothing = load(
+        spark.createDataFrame([], "index_name STRING, _src STRING")
+    )
+    definition = definition_name(F.col("index_name"), DEFINITIONS)
+    store.write_index(spark, f"{run}/books", *nothing, definition)
+    query = indexing.stream_index(
+        corpora.file_event_stream(spark, sf_dir).where(~F.col("is_dir")),
+        f"{run}/books",
+        load,
+        [BOOKS],
+        f"{run}/state",
+        delay_seconds=7200,
+        available_now=True,
+    )
+    query.awaitTermination()
+    return store.read_index(spark, f"{run}/books").docs.select("index_name", "_src", "_path")
+
+
 QUERIES = {
+    "change_stream": change_stream,
+    "debounce_stream": debounce_stream,
+    "stream_index": stream_index,
     "incremental_diff": incremental_diff,
     "incremental_diff_window": incremental_diff_window,
     "apply_changes": apply_changes,
@@ -215,6 +301,16 @@ _PLACE = (
     " AND regexp_full_match(split_part(_src, '/', -1), '[0-9]*[02468]\\.psml')"
 )
 
+_QUIET = f"""{EVENTS}, r AS (SELECT *, {_ROUTED} FROM ev),
+g AS (SELECT *, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 2 HOUR THEN 0 ELSE 1 END AS opens
+      FROM r WINDOW w AS (PARTITION BY index_name, path ORDER BY ts, event_id)),
+n AS (SELECT *, sum(opens) OVER (PARTITION BY index_name, path ORDER BY ts, event_id) AS session FROM g),
+quiet AS (
+  SELECT index_name, path, epoch_us(min(ts)) AS first_event, epoch_us(max(ts)) AS last_event,
+         epoch_us(max(ts) + INTERVAL 2 HOUR) AS due, count(*) AS events,
+         last(kind ORDER BY ts, kind) AS kind
+  FROM n GROUP BY index_name, path, session)"""
+
 
 def _expanded(event_class: str) -> str:
     return f"""WITH {EVENTS},
@@ -268,14 +364,18 @@ SELECT index_name || '%' || count(*) || '%' || (max(lm) // 1000) AS state FROM d
 SELECT md5('base=%facets=lang%' || sum(CAST('0x' || substr(md5(state), 1, 12) AS BIGINT))) AS fingerprint
 FROM per""",
     "classify_event": f"WITH {EVENTS} SELECT event_id, path, {EVENT_CLASS} AS event_class FROM ev",
-    "debounce_events": f"""WITH {EVENTS}, r AS (SELECT *, {_ROUTED} FROM ev),
-g AS (SELECT *, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 2 HOUR THEN 0 ELSE 1 END AS opens
-      FROM r WINDOW w AS (PARTITION BY index_name, path ORDER BY ts, event_id)),
-n AS (SELECT *, sum(opens) OVER (PARTITION BY index_name, path ORDER BY ts, event_id) AS session FROM g)
-SELECT index_name, path, epoch_us(min(ts)) AS first_event, epoch_us(max(ts)) AS last_event,
-       epoch_us(max(ts) + INTERVAL 2 HOUR) AS due, count(*) AS events,
-       last(kind ORDER BY ts, kind) AS kind
-FROM n GROUP BY index_name, path, session""",
+    "debounce_events": f"""WITH {_QUIET} SELECT * FROM quiet""",
+    # A stream knows that a period is over once an event an hour (the watermark) past its end came.
+    "debounce_stream": f"""WITH {_QUIET}
+SELECT * FROM quiet WHERE due <= (SELECT epoch_us(max(ts)) - 3600000000 FROM ev)""",
+    "change_stream": f"WITH {EVENTS} SELECT path, kind, epoch_us(ts) AS ts,"
+    f" {EVENT_CLASS} AS event_class FROM ev",
+    "stream_index": f"""WITH {_QUIET},
+seen AS (SELECT DISTINCT index_name, path FROM quiet
+         WHERE due <= (SELECT epoch_us(max(ts)) - 3600000000 FROM ev WHERE NOT is_dir)),
+state AS (SELECT path, last(kind ORDER BY ts, kind) AS kind FROM ev WHERE NOT is_dir GROUP BY path)
+SELECT index_name, path AS _src, regexp_replace(substr(path, 6), '\\.psml$', '') AS _path
+FROM seen JOIN state USING (path) WHERE kind <> 'delete'""",
     "debounce_off": f"""WITH {EVENTS} SELECT {_ROUTED}, path, epoch_us(ts) AS first_event,
 epoch_us(ts) AS last_event, epoch_us(ts) AS due, 1::BIGINT AS events, kind FROM ev""",
     "folder_added": f"""{_expanded('folder-added')}

@@ -1,4 +1,10 @@
-"""Index tables on disk: Parquet, partitioned by index and field, postings sorted by term."""
+"""Index tables on disk.
+
+Every table is Parquet under ``<path>/<table>/version=<n>/index_name=…/field=…``; postings and
+dictionary are sorted by term. Version 0 is the build; later versions are batches of changes, which
+add rows and name the documents they replace or remove. Counts of a batch are differences, so adding
+up the versions gives the counts of the live documents. A version counts once its manifest is there.
+"""
 
 from __future__ import annotations
 
@@ -14,6 +20,7 @@ from pyspark.sql.utils import AnalysisException
 from shelfmark.functions.analysis import Analyzer, analyze_standard
 from shelfmark.operators import build
 from shelfmark.operators.build import IndexTables
+from shelfmark.operators.scoring import HIT
 
 # How each table is laid out: folders, then the order rows are ranged and sorted by.
 LAYOUT = {
@@ -23,28 +30,44 @@ LAYOUT = {
     "dictionary": (["index_name", "field"], ["index_name", "field", "term"]),
     "field_stats": (["index_name"], ["index_name", "field"]),
     "catalog": ([], ["definition", "field"]),
+    "deletions": (["index_name"], ["index_name", "doc_id"]),
 }
+BUILT = [name for name in LAYOUT if name != "deletions"]
+
+
+def _write(df: DataFrame, path: str, name: str, version: int, mode: str = "overwrite") -> DataFrame:
+    """Write rows already ranged over tasks, then read them back with the schema of the writer."""
+    folders, order = LAYOUT[name]
+    target = f"{path}/{name}/version={version}"
+    writer = df.sortWithinPartitions(*order).write.mode(mode)
+    # The whole version is replaced, so that a batch run again leaves no rows of the first attempt.
+    writer = writer.option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*folders) if folders else writer).parquet(target)
+    return df.sparkSession.read.schema(df.schema).parquet(target)
 
 
-def write_table(df: DataFrame, path: str, name: str, mode: str = "overwrite") -> None:
+def write_table(df: DataFrame, path: str, name: str, version: int = 0) -> DataFrame:
     """Range the rows over tasks and sort them, so that files are few, even and easy to skip.
 
     Ranging goes down to the document: a hot index, field or term spreads over as many tasks as its
-    size asks for. With ``overwrite`` only the partitions present in ``df`` are replaced.
+    size asks for.
     """
-    folders, order = LAYOUT[name]
-    writer = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-    )
-    (writer.partitionBy(*folders) if folders else writer).parquet(f"{path}/{name}")
+    return _write(df.repartitionByRange(*LAYOUT[name][1]), path, name, version)
 
 
-def read_table(spark: SparkSession, path: str, name: str, schema: T.StructType) -> DataFrame:
-    """Read with the schema of the writer, so that folder names keep their type."""
-    return spark.read.schema(schema).parquet(f"{path}/{name}")
+def _write_fields(
+    values: DataFrame, path: str, version: int, analyzer: Analyzer
+) -> DataFrame:
+    """Write the value rows with their term vectors.
+
+    Long texts and short values are ranged apart, so that tasks get even shares of the text, and
+    before they are analyzed, so that what is shuffled is the text and not its tokens.
+    """
+    order = LAYOUT["fields"][1]
+    for mode, kind in (("overwrite", F.col("tokenized")), ("append", ~F.col("tokenized"))):
+        spread = values.where(kind).repartitionByRange(*order)
+        written = _write(build.analyze_values(spread, analyzer), path, "fields", version, mode)
+    return written
 
 
 def write_index(
@@ -57,68 +80,166 @@ def write_index(
 ) -> IndexTables:
     """Build and write every table, each from the written one before it.
 
-    Text is read and analyzed once; later tables read the written term vectors. The manifest comes
-    last, so a build cut short is never read.
+    Text is read and analyzed once; later tables read the written term vectors.
     """
-    schemas: dict[str, T.StructType] = {}
-
-    def put(name: str, df: DataFrame) -> DataFrame:
-        write_table(df, path, name)
-        schemas[name] = df.schema
-        return read_table(spark, path, name, df.schema)
-
-    written_docs = put("docs", docs)
-    # Long texts and short values are ranged apart, so that tasks get even shares of the text.
-    analyzed = [
-        build.analyze_values(_spread(values.where(kind)), analyzer)
-        for kind in (F.col("tokenized"), ~F.col("tokenized"))
-    ]
-    schemas["fields"] = analyzed[0].schema
-    for i, part in enumerate(analyzed):
-        _write_spread(part, path, "fields", "overwrite" if i == 0 else "append")
-    fields = read_table(spark, path, "fields", schemas["fields"])
-    catalog = put("catalog", build.catalog(fields, definition))
+    written = {"docs": write_table(docs, path, "docs")}
+    fields = _write_fields(values, path, 0, analyzer)
+    catalog = write_table(build.catalog(fields, definition), path, "catalog")
     repeated = build.repeated_fields(catalog)
-    postings = put("postings", build.postings(fields, repeated))
-    dictionary = put("dictionary", build.dictionary(postings, repeated))
-    stats = put("field_stats", build.field_stats(fields, repeated))
-    _write_manifest(spark, path, schemas)
-    return build.with_catalog(
-        IndexTables(written_docs, fields, postings, dictionary, stats, catalog)
-    )
-
+    postings = write_table(build.postings(fields, repeated), path, "postings")
+    written |= {
+        "fields": fields,
+        "catalog": catalog,
+        "postings": postings,
+        "dictionary": write_table(build.dictionary(postings, repeated), path, "dictionary"),
+        "field_stats": write_table(build.field_stats(fields, repeated), path, "field_stats"),
+    }
+    _write_manifest(spark, path, 0, {n: df.schema for n, df in written.items()}, 0)
+    return _must_read(spark, path)
 
-def _spread(values: DataFrame) -> DataFrame:
-    """Range the values before analyzing them: what is shuffled is the text, not its tokens."""
-    return values.repartitionByRange(*LAYOUT["fields"][1])
 
+def append_batch(
+    spark: SparkSession,
+    path: str,
+    version: int,
+    touched: DataFrame,
+    docs: DataFrame,
+    values: DataFrame,
+    definition: Column,
+    analyzer: Analyzer = analyze_standard,
+) -> IndexTables:
+    """Bring an index up to date with one batch of changes, as version ``version``.
 
-def _write_spread(df: DataFrame, path: str, name: str, mode: str) -> None:
-    folders, order = LAYOUT[name]
-    df.sortWithinPartitions(*order).write.mode(mode).partitionBy(*folders).parquet(
-        f"{path}/{name}"
+    ``touched`` names the files looked at (index_name, _src); ``docs`` and ``values`` are what is
+    there now. Documents of touched files are removed, present ones added. The size of the work is
+    that of the batch; running a batch again replaces what its first attempt wrote.
+    """
+    before = _must_read(spark, path, version - 1)
+    files = touched.select("index_name", "_src").distinct()
+    gone = write_table(before.docs.join(files, ["index_name", "_src"], "left_semi").select(*HIT), path, "deletions", version)
+    old = before.fields.join(gone, HIT, "left_semi")
+    written = {"docs": write_table(docs, path, "docs", version)}
+    new = _write_fields(values, path, version, analyzer)
+    catalog = write_table(build.catalog(new, definition), path, "catalog", version)
+    repeated = sorted({*before.repeated, *build.repeated_fields(catalog)})
+    postings = write_table(build.postings(new, repeated), path, "postings", version)
+    terms = _difference(
+        build.dictionary(postings, repeated),
+        build.dictionary(build.postings(old, repeated), repeated),
+        ["index_name", "field", "term"],
     )
+    stats = _difference(
+        build.field_stats(new, repeated), build.field_stats(old, repeated), ["index_name", "field"]
+    )
+    written |= {
+        "fields": new,
+        "catalog": catalog,
+        "postings": postings,
+        "dictionary": write_table(terms, path, "dictionary", version),
+        "field_stats": write_table(stats, path, "field_stats", version),
+    }
+    removed = gone.count()
+    _write_manifest(spark, path, version, {n: df.schema for n, df in written.items()}, removed)
+    return _must_read(spark, path)
 
 
-def _write_manifest(spark: SparkSession, path: str, schemas: dict[str, T.StructType]) -> None:
+def _difference(new: DataFrame, old: DataFrame, keys: list[str]) -> DataFrame:
+    """Counts added less counts removed, keys that do not change left out."""
+    counts = [c for c in new.columns if c not in keys]
+    minus = old.select(*keys, *[(-F.col(c)).alias(c) for c in counts])
+    net = new.unionByName(minus).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in counts])
+    changed = F.lit(False)
+    for c in counts:
+        changed = changed | (F.col(c) != 0)
+    return net.where(changed)
+
+
+def _write_manifest(
+    spark: SparkSession, path: str, version: int, schemas: dict[str, T.StructType], removed: int
+) -> None:
     text = json.dumps({name: schema.json() for name, schema in schemas.items()})
-    spark.range(1).select(F.lit(text).alias("schemas")).write.json(f"{path}/manifest")
+    spark.range(1).select(F.lit(text).alias("schemas"), F.lit(removed).alias("removed")).write.mode(
+        "overwrite"
+    ).json(f"{path}/manifest/version={version}")
 
 
-def read_index(spark: SparkSession, path: str) -> IndexTables | None:
-    """The index under ``path``, or None when there is no complete one."""
+def _manifests(spark: SparkSession, path: str, upto: int | None) -> list:
+    schema = "schemas STRING, removed BIGINT, version BIGINT"
     try:
-        row = spark.read.schema("schemas STRING").json(f"{path}/manifest").head()
+        rows = spark.read.schema(schema).json(f"{path}/manifest").collect()
     except AnalysisException:
+        return []
+    return sorted(
+        (r for r in rows if upto is None or r["version"] <= upto), key=lambda r: r["version"]
+    )
+
+
+def read_index(spark: SparkSession, path: str, upto: int | None = None) -> IndexTables | None:
+    """The live rows of the index under ``path``, or None when there is no complete build."""
+    manifests = _manifests(spark, path, upto)
+    if not manifests:
         return None
-    if row is None:
-        return None
+    versions = [r["version"] for r in manifests]
+    changed = any(r["removed"] for r in manifests)
     schemas = {
         name: T.StructType.fromJson(json.loads(text))
-        for name, text in json.loads(row["schemas"]).items()
+        for name, text in json.loads(manifests[0]["schemas"]).items()
     }
-    read = {name: read_table(spark, path, name, schemas[name]) for name in LAYOUT}
-    return build.with_catalog(IndexTables(**read))
+
+    def table(name: str, schema: T.StructType) -> DataFrame:
+        versioned = T.StructType([*schema.fields, T.StructField("version", T.LongType())])
+        return (
+            spark.read.schema(versioned)
+            .parquet(f"{path}/{name}")
+            .where(F.col("version").isin(versions))
+        )
+
+    read = {name: table(name, schemas[name]) for name in BUILT}
+    if changed:
+        ids = T.StructType([schemas["docs"][c] for c in HIT])
+        removed = table("deletions", ids).select(
+            *[F.col(c).alias(f"_{c}") for c in HIT], F.col("version").alias("_until")
+        )
+        for name in ("docs", "fields", "postings"):
+            df = read[name]
+            read[name] = df.join(
+                removed,
+                (df["index_name"] == F.col("_index_name"))
+                & (df["doc_id"] == F.col("_doc_id"))
+                & (df["version"] < F.col("_until")),
+                "left_anti",
+            )
+    return build.with_catalog(IndexTables(**{n: df.drop("version") for n, df in read.items()}))
+
+
+def _must_read(spark: SparkSession, path: str, upto: int | None = None) -> IndexTables:
+    index = read_index(spark, path, upto)
+    if index is None:
+        raise ValueError(f"no index at {path}")
+    return index
+
+
+def pending_deletions(spark: SparkSession, path: str) -> DataFrame:
+    """Deletions held beside the build: (index_name, doc_id), one row per document version."""
+    index = _must_read(spark, path)
+    versions = [r["version"] for r in _manifests(spark, path, None) if r["removed"]]
+    ids = T.StructType([index.docs.schema[c] for c in HIT])
+    if not versions:
+        return index.docs.select(*HIT).where(F.lit(False))
+    return spark.read.schema(ids).parquet(*[f"{path}/deletions/version={v}" for v in versions])
+
+
+def compact(
+    spark: SparkSession,
+    path: str,
+    target: str,
+    definition: Column,
+    analyzer: Analyzer = analyze_standard,
+) -> IndexTables:
+    """Write the live documents as a fresh build, without pending deletions."""
+    live = _must_read(spark, path)
+    values = live.fields.select(*build.VALUE_COLUMNS)
+    return write_index(spark, target, live.docs, values, definition, analyzer)
 
 
 def latest_build(spark: SparkSession, folder: str) -> str | None:
@@ -126,7 +247,7 @@ def latest_build(spark: SparkSession, folder: str) -> str | None:
     try:
         row = (
             spark.read.schema("schemas STRING")
-            .json(f"{folder}/*/manifest")
+            .json(f"{folder}/*/manifest/version=0")
             .select(F.input_file_name().alias("file"))
             .agg(F.min("file").alias("file"))
             .head()
@@ -147,7 +268,7 @@ def source_fingerprint(spark: SparkSession, files: Sequence[str]) -> str:
     total = listed.agg(
         F.sum(F.xxhash64("f").cast("decimal(38,0)")).alias("h"), F.count("*").alias("n")
     ).head()
-    return f"{total['n']}-{total['h']}".replace("--", "-n")
+    return f"{total['n']} files {total['h']}"
 
 
 def ensure_index(
@@ -161,25 +282,59 @@ def ensure_index(
     """Read the build below ``folder``, making one first if there is none."""
     found = latest_build(spark, folder)
     if found is None:
-        found = f"{folder}/{uuid.uuid4().hex}"
-        return write_index(spark, found, docs, values, definition, analyzer)
-    index = read_index(spark, found)
-    assert index is not None
-    return index
+        path = f"{folder}/{uuid.uuid4().hex}"
+        return write_index(spark, path, docs, values, definition, analyzer)
+    return _must_read(spark, found)
+
+
+# Registry of index names, empty indexes included, and what removes their data.
+
+
+def register(spark: SparkSession, path: str, created: DataFrame) -> None:
+    """Keep the names created (index_name, definition, status) in the registry."""
+    created.where(F.col("status") == "created").select("index_name", "definition").write.mode(
+        "overwrite"
+    ).option("partitionOverwriteMode", "dynamic").partitionBy("index_name").parquet(
+        f"{path}/registry"
+    )
+
+
+def registry(spark: SparkSession, path: str) -> DataFrame:
+    """(index_name, definition) of every known index."""
+    schema = "definition STRING, index_name STRING"
+    try:
+        return spark.read.schema(schema).parquet(f"{path}/registry")
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+
+
+def _drop(spark: SparkSession, pattern: str) -> bool:
+    """Delete the folders matching a pattern; true when there were any and all are gone."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(pattern)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [status.getPath() for status in system.globStatus(target) or []]
+    return bool(found) and all([system.delete(folder, True) for folder in found])
+
+
+def clear_index(spark: SparkSession, path: str, names: Sequence[str]) -> list[str]:
+    """Empty indexes but keep them known; gives the names that had data."""
+    return [
+        name
+        for name in names
+        if any([
+            _drop(spark, f"{path}/{table}/version=*/index_name={name}")
+            for table, (folders, _) in LAYOUT.items()
+            if folders
+        ])
+    ]
 
 
-def drop_partitions(spark: SparkSession, path: str, names: Sequence[str]) -> list[str]:
-    """Delete the folders of the named indexes from every table; gives the names that had data."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    dropped = []
-    for name in names:
-        had = False
-        for table, (folders, _) in LAYOUT.items():
-            if not folders:
-                continue
-            target = jvm.org.apache.hadoop.fs.Path(f"{path}/{table}/index_name={name}")
-            had = target.getFileSystem(conf).delete(target, True) or had
-        if had:
-            dropped.append(name)
-    return dropped
+def delete_index(spark: SparkSession, path: str, names: str | Sequence[str]) -> str:
+    """Remove one index and its data: ``deleted``, or ``delete-failed`` when it is not known."""
+    wanted = [names] if isinstance(names, str) else list(names)
+    if len(wanted) != 1:
+        raise ValueError("only one index can be deleted at a time")
+    had_data = bool(clear_index(spark, path, wanted))
+    was_known = _drop(spark, f"{path}/registry/index_name={wanted[0]}")
+    return "deleted" if had_data or was_known else "delete-failed"
