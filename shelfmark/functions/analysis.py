@@ -62,7 +62,9 @@ def term_vector(terms: Column) -> Column:
 
     def cut(found: Column) -> Column:
         starts = F.filter(
-            F.when(F.size(found) > 0, F.sequence(F.lit(0), F.size(found) - 1)),
+            F.when(F.size(found) > 0, F.sequence(F.lit(0), F.size(found) - 1)).otherwise(
+                F.array().cast("array<int>")
+            ),
             lambda i: (i == 0) | (F.get(found, i)["term"] != F.get(found, i - 1)["term"]),
         )
         return _let(

@@ -79,11 +79,15 @@ def apply_changes(index: DataFrame, diff: DataFrame, new_rows: DataFrame) -> Dat
 
     ``new_rows`` are the rows of inserted and updated files, with the columns of ``index``.
     """
-    gone = diff.where(F.col("action").isin("update", "delete")).select("_src")
-    added = diff.where(F.col("action").isin("insert", "update")).select("_src")
-    return index.join(gone, "_src", "left_anti").unionByName(
-        new_rows.join(added, "_src", "left_semi")
+    kept, added = F.lit(True), F.lit(False)
+    both = index.withColumn("_old", kept).unionByName(new_rows.withColumn("_old", added))
+    action = F.coalesce("action", F.lit("ignore"))
+    replaced = F.when(F.col("_old"), ~action.isin("update", "delete")).otherwise(
+        action.isin("insert", "update")
     )
+    # Old and new versions meet the diff in a single join on the path.
+    joined = both.join(diff.select("_src", "action"), "_src", "left")
+    return joined.where(replaced).select(*index.columns)
 
 
 def removed_files(source: DataFrame, existing: DataFrame) -> DataFrame:

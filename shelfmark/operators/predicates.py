@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -70,13 +70,14 @@ class Phrase(Predicate):
     slots: tuple[tuple[str, int], ...]
 
     def counts(self, idx: IndexTables) -> DataFrame:
-        """Occurrences of the phrase: (index_name, doc_id, tf, length).
+        """Occurrences of the phrase: (index_name, doc_id, field, tf, length).
 
         One shuffle whatever the number of words: the position lists of a document meet in one row,
         each is moved back by its slot, and the starts common to all are the occurrences.
         """
         terms = sorted({term for term, _ in self.slots})
-        value = [*HIT, "ord"] if idx.is_repeated(self.field) else HIT
+        hit = [*HIT, "field"]
+        value = [*hit, "ord"] if idx.is_repeated(self.field) else hit
         rows = idx.postings.where(
             (F.col("field") == self.field) & F.col("term").isin(terms)
         ).select(*value, "term", "length", "positions")
@@ -91,8 +92,8 @@ class Phrase(Predicate):
         ).select(
             *value, "length", F.size(reduce(F.array_intersect, starts)).alias("tf")
         ).where("tf > 0")
-        if value != HIT:
-            found = found.groupBy(*HIT).agg(
+        if value != hit:
+            found = found.groupBy(*hit).agg(
                 F.max("length").alias("length"), F.sum("tf").alias("tf")
             )
         return found
@@ -117,7 +118,6 @@ class Phrase(Predicate):
         )
         return (
             self.counts(idx)
-            .withColumn("field", F.lit(self.field))
             .join(F.broadcast(stats), "field")
             .select(
                 *HIT,
@@ -187,45 +187,71 @@ class Combined(Predicate):
     must: tuple[Predicate, ...] = ()
     should: tuple[Predicate, ...] = ()
     must_not: tuple[Predicate, ...] = ()
-    filters: tuple[Predicate, ...] = field(default=())
+    filters: tuple[Predicate, ...] = ()
 
     def hits(self, idx: IndexTables) -> DataFrame:
         if not self.must and not self.should and not self.filters:
             return Nothing().hits(idx)
-        scored = [(p, True) for p in (*self.must, *self.should)]
-        unscored = [(p, False) for p in (*self.filters, *self.must_not)]
-        if len(scored) + len(unscored) > 62:
+        # Every clause has a bit, also one that is given twice.
+        roles = [
+            (clause, role)
+            for role in ("must", "filters", "should", "must_not")
+            for clause in getattr(self, role)
+        ]
+        if len(roles) > 62:
             raise ValueError("at most 62 clauses in one combination; nest the rest")
+        masks = dict.fromkeys(("must", "filters", "should", "must_not"), 0)
+        terms: dict[tuple[str, str], list[tuple[int, float]]] = {}
         tagged = []
-        for bit, (clause, counts) in enumerate(scored + unscored):
-            score = F.col("score") if counts else F.lit(0.0)
+        for i, (clause, role) in enumerate(roles):
+            bit = 1 << i
+            masks[role] |= bit
+            weight = 1.0 if role in ("must", "should") else 0.0
+            while isinstance(clause, Boost):
+                clause, weight = clause.inner, weight * clause.weight
+            if isinstance(clause, Term):
+                terms.setdefault((clause.field, clause.term), []).append((bit, weight))
+                continue
             tagged.append(
                 clause.hits(idx).select(
-                    *HIT, F.lit(1 << bit).cast("long").alias("bit"), score.alias("score")
+                    *HIT,
+                    F.lit(bit).cast("long").alias("bits"),
+                    (F.col("score") * weight).alias("score"),
                 )
             )
-        bits = iter(range(len(tagged)))
-        mask = lambda clauses: sum(1 << next(bits) for _ in clauses)
-        must, should = mask(self.must), mask(self.should)
-        must |= mask(self.filters)
-        never = mask(self.must_not)
-        if len(tagged) == 1:
-            return tagged[0].select(*HIT, "score")
+        must = masks["must"] | masks["filters"]
+        if terms:
+            tagged.insert(0, _tagged_terms(idx, terms))
         seen = F.col("seen")
-        keep = seen.bitwiseAND(F.lit(never)) == 0
+        keep = seen.bitwiseAND(F.lit(masks["must_not"])) == 0
         if must:
             keep = keep & (seen.bitwiseAND(F.lit(must)) == must)
         else:
-            keep = keep & (seen.bitwiseAND(F.lit(should)) != 0)
+            keep = keep & (seen.bitwiseAND(F.lit(masks["should"])) != 0)
         return (
             reduce(DataFrame.unionByName, tagged)
             .groupBy(*HIT)
-            .agg(F.bit_or("bit").alias("seen"), F.sum("score").alias("score"))
+            .agg(F.bit_or("bits").alias("seen"), F.sum("score").alias("score"))
             .where(keep)
             .select(*HIT, "score")
         )
 
 
+def _tagged_terms(
+    idx: IndexTables, terms: dict[tuple[str, str], list[tuple[int, float]]]
+) -> DataFrame:
+    """All single-term clauses in one scan: each row with the clauses it meets and its score."""
+    pairs = list(terms)
+    scored = score_hits(term_rows(idx, pairs), score_stats(idx, pairs))
+    met, weight = F.lit(0).cast("long"), F.lit(0.0)
+    for (name, term), uses in terms.items():
+        here = (F.col("field") == name) & (F.col("term") == term)
+        mask = reduce(lambda x, y: x | y, [bit for bit, _ in uses])
+        met = F.when(here, F.lit(mask).cast("long")).otherwise(met)
+        weight = F.when(here, F.lit(sum(w for _, w in uses))).otherwise(weight)
+    return scored.select(*HIT, met.alias("bits"), (F.col("score") * weight).alias("score"))
+
+
 class P:
     """Builder of predicates."""
 

@@ -60,7 +60,7 @@ def _index_documents(spark, sf_dir):
     )
     xml = F.to_xml(F.struct(fields.alias("field")), {"rowTag": "document"})
     prolog = F.lit('<?xml version="1.0"?><!DOCTYPE document SYSTEM "index-documents.dtd">')
-    return corpora.table(spark, sf_dir, "documents").select(
+    return corpora.dealt_out(corpora.table(spark, sf_dir, "documents")).select(
         "doc_id", F.concat(prolog, xml).alias("content")
     )
 
@@ -211,7 +211,7 @@ def route_destinations(spark, sf_dir):
 
 def build_postings(spark, sf_dir):
     """Postings straight from the tables, positions as text."""
-    values = build.analyze_values(corpora.document_values(spark, sf_dir))
+    values = build.analyze_values(corpora.document_values(spark, sf_dir, spread=True))
     return build.postings(values, []).select(
         "index_name",
         "field",

@@ -48,6 +48,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt_out(df: DataFrame) -> DataFrame:
+    """For costly work per row: rows that come in fewer pieces than there are cores are dealt out.
+
+    A large table comes in more pieces than that, and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _system_columns(df: DataFrame, path: str, time) -> DataFrame:
     return df.select(
         "*",
@@ -76,8 +85,9 @@ def document_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _system_columns(rows, "p", _day_of("doc_id")).drop("p")
 
 
-def document_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select(
+def document_values(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    texts = table(spark, sf_dir, "documents")
+    documents = (dealt_out(texts) if spread else texts).select(
         F.concat(F.lit("docs-"), "lang").alias("index_name"),
         "doc_id",
         F.col("text").alias("fulltext"),
@@ -163,9 +173,13 @@ class Corpus:
         return store.ensure_index(
             spark,
             self.folder(spark, sf_dir),
-            self.docs(spark, sf_dir),
-            self.values(spark, sf_dir),
-            definition_name(F.col("index_name"), DEFINITIONS),
+            lambda path: store.write_index(
+                spark,
+                path,
+                self.docs(spark, sf_dir),
+                self.values(spark, sf_dir),
+                definition_name(F.col("index_name"), DEFINITIONS),
+            ),
         )
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,29 +94,35 @@ def write_index(
         "dictionary": write_table(build.dictionary(postings, repeated), path, "dictionary"),
         "field_stats": write_table(build.field_stats(fields, repeated), path, "field_stats"),
     }
-    _write_manifest(spark, path, 0, {n: df.schema for n, df in written.items()}, 0)
+    _write_manifest(spark, path, 0, {n: df.schema for n, df in written.items()})
     return _must_read(spark, path)
 
 
 def append_batch(
     spark: SparkSession,
     path: str,
-    version: int,
+    label: str,
     touched: DataFrame,
     docs: DataFrame,
     values: DataFrame,
     definition: Column,
     analyzer: Analyzer = analyze_standard,
 ) -> IndexTables:
-    """Bring an index up to date with one batch of changes, as version ``version``.
+    """Bring an index up to date with one batch of changes, as its next version.
 
     ``touched`` names the files looked at (index_name, _src); ``docs`` and ``values`` are what is
     there now. Documents of touched files are removed, present ones added. The size of the work is
-    that of the batch; running a batch again replaces what its first attempt wrote.
+    that of the batch. ``label`` tells batches apart: one that is already part of the index changes
+    nothing, and one that failed half-way is written anew.
     """
-    before = _must_read(spark, path, version - 1)
+    before = _must_read(spark, path)
+    known = _manifests(spark, path, None)
+    if any(r["label"] == label for r in known):
+        return before
+    version = known[-1]["version"] + 1
     files = touched.select("index_name", "_src").distinct()
-    gone = write_table(before.docs.join(files, ["index_name", "_src"], "left_semi").select(*HIT), path, "deletions", version)
+    replaced = before.docs.join(files, ["index_name", "_src"], "left_semi").select(*HIT)
+    gone = write_table(replaced, path, "deletions", version)
     old = before.fields.join(gone, HIT, "left_semi")
     written = {"docs": write_table(docs, path, "docs", version)}
     new = _write_fields(values, path, version, analyzer)
@@ -139,7 +145,8 @@ def append_batch(
         "field_stats": write_table(stats, path, "field_stats", version),
     }
     removed = gone.count()
-    _write_manifest(spark, path, version, {n: df.schema for n, df in written.items()}, removed)
+    schemas = {n: df.schema for n, df in written.items()}
+    _write_manifest(spark, path, version, schemas, removed, label)
     return _must_read(spark, path)
 
 
@@ -155,16 +162,23 @@ def _difference(new: DataFrame, old: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _write_manifest(
-    spark: SparkSession, path: str, version: int, schemas: dict[str, T.StructType], removed: int
+    spark: SparkSession,
+    path: str,
+    version: int,
+    schemas: dict[str, T.StructType],
+    removed: int = 0,
+    label: str = "build",
 ) -> None:
     text = json.dumps({name: schema.json() for name, schema in schemas.items()})
-    spark.range(1).select(F.lit(text).alias("schemas"), F.lit(removed).alias("removed")).write.mode(
-        "overwrite"
-    ).json(f"{path}/manifest/version={version}")
+    spark.range(1).select(
+        F.lit(text).alias("schemas"),
+        F.lit(removed).cast("long").alias("removed"),
+        F.lit(label).alias("label"),
+    ).write.mode("overwrite").json(f"{path}/manifest/version={version}")
 
 
 def _manifests(spark: SparkSession, path: str, upto: int | None) -> list:
-    schema = "schemas STRING, removed BIGINT, version BIGINT"
+    schema = "schemas STRING, removed BIGINT, label STRING, version BIGINT"
     try:
         rows = spark.read.schema(schema).json(f"{path}/manifest").collect()
     except AnalysisException:
@@ -174,6 +188,20 @@ def _manifests(spark: SparkSession, path: str, upto: int | None) -> list:
     )
 
 
+def _read_table(
+    spark: SparkSession, path: str, name: str, schema: T.StructType, versions: Sequence[int]
+) -> DataFrame:
+    """Rows of the given versions, with the schema of the writer and ``version``."""
+    versioned = T.StructType([*schema.fields, T.StructField("version", T.LongType())])
+    rows = spark.read.schema(versioned).parquet(f"{path}/{name}")
+    return rows.where(F.col("version").isin(list(versions)))
+
+
+def version_of(spark: SparkSession, path: str, label: str) -> int:
+    """The version a batch became."""
+    return next(r["version"] for r in _manifests(spark, path, None) if r["label"] == label)
+
+
 def read_index(spark: SparkSession, path: str, upto: int | None = None) -> IndexTables | None:
     """The live rows of the index under ``path``, or None when there is no complete build."""
     manifests = _manifests(spark, path, upto)
@@ -185,19 +213,10 @@ def read_index(spark: SparkSession, path: str, upto: int | None = None) -> Index
         name: T.StructType.fromJson(json.loads(text))
         for name, text in json.loads(manifests[0]["schemas"]).items()
     }
-
-    def table(name: str, schema: T.StructType) -> DataFrame:
-        versioned = T.StructType([*schema.fields, T.StructField("version", T.LongType())])
-        return (
-            spark.read.schema(versioned)
-            .parquet(f"{path}/{name}")
-            .where(F.col("version").isin(versions))
-        )
-
-    read = {name: table(name, schemas[name]) for name in BUILT}
+    read = {name: _read_table(spark, path, name, schemas[name], versions) for name in BUILT}
     if changed:
         ids = T.StructType([schemas["docs"][c] for c in HIT])
-        removed = table("deletions", ids).select(
+        removed = _read_table(spark, path, "deletions", ids, versions).select(
             *[F.col(c).alias(f"_{c}") for c in HIT], F.col("version").alias("_until")
         )
         for name in ("docs", "fields", "postings"):
@@ -226,7 +245,7 @@ def pending_deletions(spark: SparkSession, path: str) -> DataFrame:
     ids = T.StructType([index.docs.schema[c] for c in HIT])
     if not versions:
         return index.docs.select(*HIT).where(F.lit(False))
-    return spark.read.schema(ids).parquet(*[f"{path}/deletions/version={v}" for v in versions])
+    return _read_table(spark, path, "deletions", ids, versions).drop("version")
 
 
 def compact(
@@ -272,19 +291,23 @@ def source_fingerprint(spark: SparkSession, files: Sequence[str]) -> str:
 
 
 def ensure_index(
-    spark: SparkSession,
-    folder: str,
-    docs: DataFrame,
-    values: DataFrame,
-    definition: Column,
-    analyzer: Analyzer = analyze_standard,
+    spark: SparkSession, folder: str, build_at: Callable[[str], IndexTables]
 ) -> IndexTables:
-    """Read the build below ``folder``, making one first if there is none."""
+    """Read the build below ``folder``; if there is none, ``build_at`` makes one at a fresh path.
+
+    Meant for folders that stand for one state of the content, where batches are never appended.
+    """
     found = latest_build(spark, folder)
     if found is None:
-        path = f"{folder}/{uuid.uuid4().hex}"
-        return write_index(spark, path, docs, values, definition, analyzer)
-    return _must_read(spark, found)
+        return build_at(f"{folder}/{uuid.uuid4().hex}")
+    key = (spark.sparkContext.applicationId, found)
+    if key not in _OPEN:
+        _OPEN[key] = _must_read(spark, found)
+    return _OPEN[key]
+
+
+# Builds read before by this application: their files are listed once. Only plans are kept.
+_OPEN: dict[tuple[str, str], IndexTables] = {}
 
 
 # Registry of index names, empty indexes included, and what removes their data.

@@ -20,6 +20,7 @@ EVENT = T.StructType(
     ]
 )
 DELAY_SECONDS = 5
+KINDS = ("create", "delete", "modify")
 
 
 def change_stream(spark: SparkSession, log: str, watermark: str = "1 minute") -> DataFrame:
@@ -80,6 +81,15 @@ def _expand(folders: DataFrame, files: DataFrame) -> DataFrame:
     return below.join(folders, "folder").select("path", "folder", "ts", "events")
 
 
+def _stamp(micros: Column, kind: Column) -> Column:
+    """Time and kind in one number, so that the latest event is a plain maximum."""
+    return micros * len(KINDS) + F.array_position(F.array(*[F.lit(k) for k in KINDS]), kind) - 1
+
+
+def _kind(stamp: Column) -> Column:
+    return F.get(F.array(*[F.lit(k) for k in KINDS]), F.pmod(stamp, F.lit(len(KINDS))).cast("int"))
+
+
 def debounce_events(events: DataFrame, delay: str = f"{DELAY_SECONDS} seconds") -> DataFrame:
     """One row per (index_name, path) and quiet period: a batch of events.
 
@@ -94,7 +104,7 @@ def debounce_events(events: DataFrame, delay: str = f"{DELAY_SECONDS} seconds")
         F.min(micros).alias("first"),
         F.max(micros).alias("last"),
         F.count("*").alias("events"),
-        F.max(F.struct("ts", "kind")).alias("latest"),
+        F.max(_stamp(micros, F.col("kind"))).alias("latest"),
     )
     in_order = Window.partitionBy(*keys).orderBy("slot")
     opened = slots.withColumn(
@@ -103,13 +113,14 @@ def debounce_events(events: DataFrame, delay: str = f"{DELAY_SECONDS} seconds")
             F.col("first") - F.lag("last").over(in_order) > width, F.lit(True)
         ).cast("int"),
     )
-    numbered = opened.withColumn("session", F.sum("opens").over(in_order))
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = opened.withColumn("session", F.sum("opens").over(so_far))
     return numbered.groupBy(*keys, "session").agg(
         F.timestamp_micros(F.min("first")).alias("first_event"),
         F.timestamp_micros(F.max("last")).alias("last_event"),
         F.timestamp_micros(F.max("last") + F.first(width)).alias("due"),
         F.sum("events").alias("events"),
-        F.max("latest").getField("kind").alias("kind"),
+        _kind(F.max("latest")).alias("kind"),
     ).drop("session")
 
 
@@ -121,7 +132,7 @@ def debounce_stream(events: DataFrame, delay: str = f"{DELAY_SECONDS} seconds")
             F.min("ts").alias("first_event"),
             F.max("ts").alias("last_event"),
             F.count("*").alias("events"),
-            F.max(F.struct("ts", "kind")).alias("latest"),
+            F.max(_stamp(F.unix_micros("ts"), F.col("kind"))).alias("latest"),
         )
         .select(
             "index_name",
@@ -130,7 +141,7 @@ def debounce_stream(events: DataFrame, delay: str = f"{DELAY_SECONDS} seconds")
             "last_event",
             F.col("w.end").alias("due"),
             "events",
-            F.col("latest.kind").alias("kind"),
+            _kind(F.col("latest")).alias("kind"),
         )
     )
 

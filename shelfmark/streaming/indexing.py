@@ -37,7 +37,7 @@ def stream_index(
     """Route events, wait until files are quiet, then look at the files again and update the index.
 
     A deleted file is looked at like a changed one and, being absent, is removed. A batch run again
-    after a failure replaces its own first attempt.
+    after a failure is known by its number and the checkpoint it belongs to.
     """
     due = debounce(route_destinations(events, definitions), delay_seconds)
 
@@ -49,18 +49,18 @@ def stream_index(
             if touched.isEmpty():
                 return
             docs, values = load(touched)
-            version = batch_id + 1
+            label = f"{checkpoint}#{batch_id}"
             store.append_batch(
                 spark,
                 path,
-                version,
+                label,
                 touched,
                 docs,
                 values,
                 definition_name(F.col("index_name"), definitions),
                 analyzer,
             )
-            stream_monitor(spark, path, version, begun)
+            stream_monitor(spark, path, label, begun)
         finally:
             touched.unpersist()
 
@@ -68,8 +68,9 @@ def stream_index(
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def stream_monitor(spark: SparkSession, path: str, version: int, begun: float) -> None:
-    """Record a finished batch: documents per index and how long it took, under its own version."""
+def stream_monitor(spark: SparkSession, path: str, label: str, begun: float) -> None:
+    """Record a finished batch: documents per index and how long it took."""
+    version = store.version_of(spark, path, label)
     docs = spark.read.schema("index_name STRING").parquet(f"{path}/docs/version={version}")
     spent = int((time.time() - begun) * 1000)
     docs.groupBy("index_name").agg(F.count("*").alias("documents")).select(
