@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmark.functions.arrays import runs
+
 Analyzer = Callable[[Column], Column]
 
 # The classic English stop words.
@@ -48,44 +50,19 @@ def term_positions(terms: Column) -> Column:
     return F.filter(placed, lambda t: t["term"].isNotNull())
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and use it several times inside ``body``."""
-    return F.transform(F.array(value), body)[0]
-
-
 def term_vector(terms: Column) -> Column:
     """``ARRAY<STRUCT<term, positions ARRAY<INT>>>``, one element per distinct term.
 
     Sorting the occurrences inside the row and cutting the array where the term changes needs no
     shuffle, and costs n log n however long the text is.
     """
-
-    def cut(found: Column) -> Column:
-        starts = F.filter(
-            F.when(F.size(found) > 0, F.sequence(F.lit(0), F.size(found) - 1)).otherwise(
-                F.array().cast("array<int>")
-            ),
-            lambda i: (i == 0) | (F.get(found, i)["term"] != F.get(found, i - 1)["term"]),
-        )
-        return _let(
-            starts,
-            lambda at: F.transform(
-                at,
-                lambda start, k: F.struct(
-                    F.get(found, start)["term"].alias("term"),
-                    F.transform(
-                        F.slice(
-                            found,
-                            start + 1,
-                            F.coalesce(F.get(at, k + 1), F.size(found)) - start,
-                        ),
-                        lambda t: t["position"],
-                    ).alias("positions"),
-                ),
-            ),
-        )
-
-    return _let(F.sort_array(term_positions(terms)), cut)
+    return F.transform(
+        runs(F.sort_array(term_positions(terms)), "term"),
+        lambda run: F.struct(
+            run[0]["term"].alias("term"),
+            F.transform(run, lambda t: t["position"]).alias("positions"),
+        ),
+    )
 
 
 def tokens(df: DataFrame, text: str, analyzer: Analyzer = analyze_standard) -> DataFrame:

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,36 +29,40 @@ def field_values(
     boosts: dict[str, float] | None = None,
     ord_column: Column | None = None,
 ) -> DataFrame:
-    """Value rows from the columns of ``docs`` (index_name, doc_id, …); nulls give no row."""
+    """Value rows from the columns of ``docs`` (index_name, doc_id, …); nulls give no row.
+
+    Tokenized and other columns are read apart, so that whoever wants the short values only does
+    not read the texts.
+    """
     boosts = boosts or {}
-    cells = [
-        F.struct(
-            F.lit(name).alias("field"),
-            F.col(name).cast("string").alias("value"),
-            F.lit(name in tokenized).alias("tokenized"),
-            F.lit(float(boosts.get(name, 1.0))).cast("float").alias("boost"),
-        )
-        for name in [*tokenized, *untokenized]
-    ]
-    return (
-        docs.select(
-            "index_name",
-            "doc_id",
-            (F.lit(0) if ord_column is None else ord_column).cast("int").alias("ord"),
-            F.explode(F.array(*cells)).alias("cell"),
+    ord_ = (F.lit(0) if ord_column is None else ord_column).cast("int").alias("ord")
+
+    def branch(names: Sequence[str], flag: bool) -> DataFrame:
+        cells = [
+            F.struct(
+                F.lit(name).alias("field"),
+                F.col(name).cast("string").alias("value"),
+                F.lit(float(boosts.get(name, 1.0))).cast("float").alias("boost"),
+            )
+            for name in names
+        ]
+        return (
+            docs.select("index_name", "doc_id", ord_, F.explode(F.array(*cells)).alias("cell"))
+            .where(F.col("cell.value").isNotNull())
+            .select(
+                "index_name",
+                "doc_id",
+                "cell.field",
+                "ord",
+                "cell.value",
+                F.lit(flag).alias("tokenized"),
+                F.lit(True).alias("stored"),
+                "cell.boost",
+            )
         )
-        .where(F.col("cell.value").isNotNull())
-        .select(
-            "index_name",
-            "doc_id",
-            "cell.field",
-            "ord",
-            "cell.value",
-            "cell.tokenized",
-            F.lit(True).alias("stored"),
-            "cell.boost",
-        )
-    )
+
+    parts = [branch(n, flag) for n, flag in ((tokenized, True), (untokenized, False)) if n]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def analyze_values(values: DataFrame, analyzer: Analyzer = analyze_standard) -> DataFrame:

@@ -21,6 +21,10 @@ from shelfmark.operators.build import IndexTables
 from shelfmark.operators.scoring import HIT, bm25, score_hits, score_stats, term_rows
 
 
+# Terms a fuzzy clause may name in a filter; with more of them it joins the dictionary instead.
+MAX_EXPANSION = 1000
+
+
 class Predicate:
     """A condition on documents."""
 
@@ -150,6 +154,10 @@ class Fuzzy(Predicate):
     def hits(self, idx: IndexTables) -> DataFrame:
         near = near_terms(idx, self.field, self.term, self.edits).select("term").distinct()
         rows = idx.postings.where(F.col("field") == self.field).select(*HIT, "term")
+        few = near.take(MAX_EXPANSION + 1)
+        if len(few) <= MAX_EXPANSION:
+            # Usual case: the terms become part of the scan's filter, and no posting is shuffled.
+            return _constant(rows.where(F.col("term").isin([r["term"] for r in few])), unique=False)
         return _constant(rows.join(near, "term", "left_semi"), unique=False)
 
 

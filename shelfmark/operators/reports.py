@@ -12,6 +12,7 @@ from shelfmark.operators.build import IndexTables
 from shelfmark.operators.definitions import IndexDefinition, definition_name
 
 RECENT_BATCHES = 200
+MANY_DOCUMENTS = 1000
 
 
 def visible_fields(df: DataFrame, column: str = "field") -> DataFrame:
@@ -82,13 +83,19 @@ def document_preview(
     fields: DataFrame, docs: DataFrame, path: str | None = None
 ) -> DataFrame:
     """One row per field value of the document at ``path``, or of every document."""
-    chosen = docs.select("index_name", "doc_id", "_path")
+    keys = ["index_name", "doc_id"]
+    chosen = docs.select(*keys, "_path")
     if path is not None:
         chosen = chosen.where(F.col("_path") == path)
-        # A path names one document of an index, so few rows are left.
-        fields = fields.join(F.broadcast(chosen), ["index_name", "doc_id"])
-    else:
-        fields = fields.join(chosen, ["index_name", "doc_id"])
+        # Few documents share a path: naming them in the filter of the scan spares the join's
+        # shuffle of all fields. Many of them are joined all the same.
+        few = chosen.select(*keys).take(MANY_DOCUMENTS)
+        if len(few) < MANY_DOCUMENTS:
+            fields = fields.where(
+                F.col("index_name").isin(sorted({r["index_name"] for r in few}))
+                & F.col("doc_id").isin([r["doc_id"] for r in few])
+            )
+    fields = fields.join(chosen, keys)
     shown = fields.withColumn("shown", date_iso(F.col("field"), F.col("value")))
     return shown.select(
         "index_name",

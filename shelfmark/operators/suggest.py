@@ -19,7 +19,7 @@ from shelfmark.operators.build import IndexTables
 from shelfmark.operators.definitions import Suggester
 from shelfmark.operators.predicates import P, condition
 from shelfmark.operators.scoring import HIT
-from shelfmark.operators.search import find, paging, sort_order
+from shelfmark.operators.search import BROADCAST_PAGE_ROWS, find, paging, sort_order
 
 RESULTS = 10
 MIN_CHARS = 2
@@ -87,32 +87,42 @@ def value_candidates(idx: IndexTables, fields: Sequence[str], weights: dict[str,
     )
 
 
-def return_fields(hits: DataFrame, fields: DataFrame, names: Sequence[str]) -> DataFrame:
-    """All values of the asked-for fields of each hit, as ``document`` map<string, array<string>>.
+def return_fields(
+    hits: DataFrame, fields: DataFrame, names: Sequence[str], rows: int | None = None
+) -> DataFrame:
+    """All values of the asked-for fields of each hit: one row per hit and value.
 
-    Hits are a page, so the lists are made of the values of single documents.
+    ``rows`` is the known number of hits, if any; only a small page is sent to every task.
     """
-    wanted = fields.where(F.col("field").isin(list(names))).join(
-        F.broadcast(hits.select(*HIT).distinct()), HIT
-    )
-    per_field = wanted.groupBy(*HIT, "field").agg(
-        F.transform(
-            F.sort_array(F.collect_list(F.struct("ord", "value"))), lambda v: v["value"]
-        ).alias("values")
-    )
-    documents = per_field.groupBy(*HIT).agg(
-        F.map_from_entries(
-            F.sort_array(F.collect_list(F.struct("field", "values")))
-        ).alias("document")
-    )
-    return hits.join(documents, HIT, "left")
+    small = rows is not None and rows <= BROADCAST_PAGE_ROWS
+    wanted = fields.where(F.col("field").isin(list(names))).select(*HIT, "field", "ord", "value")
+    return wanted.join(F.broadcast(hits) if small else hits, HIT)
 
 
 def suggestion_documents(
-    suggestions: DataFrame, idx: IndexTables, names: Sequence[str]
+    suggestions: DataFrame, idx: IndexTables, names: Sequence[str], rows: int | None = None
 ) -> DataFrame:
-    """Suggestions with fields of the document they come from."""
-    return return_fields(suggestions, idx.fields, names)
+    """Suggestions with fields of their document as map<string, array<string>>.
+
+    Suggestions are few, and each list holds the values of one document.
+    """
+    ids = suggestions.select(*HIT).distinct()
+    per_field = (
+        return_fields(ids, idx.fields, names, rows)
+        .groupBy(*HIT, "field")
+        .agg(
+            F.transform(
+                F.sort_array(F.collect_list(F.struct("ord", "value"))), lambda v: v["value"]
+            ).alias("values")
+        )
+    )
+    documents = per_field.groupBy(*HIT).agg(
+        F.map_from_entries(F.sort_array(F.collect_list(F.struct("field", "values")))).alias(
+            "document"
+        )
+    )
+    small = rows is not None and rows <= BROADCAST_PAGE_ROWS
+    return suggestions.join(F.broadcast(documents) if small else documents, HIT, "left")
 
 
 def suggest(
@@ -150,7 +160,9 @@ def _complete(
     else:
         best = suggestion_dedupe(matching)
     top = top_suggestions(best, results).withColumn("highlight", highlight(F.col("text"), typed))
-    return suggestion_documents(top, idx, returned) if returned and not use_terms else top
+    if not returned or use_terms:
+        return top
+    return suggestion_documents(top, idx, returned, rows=results)
 
 
 def build_suggester(idx: IndexTables, suggester: Suggester) -> DataFrame:

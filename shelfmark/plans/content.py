@@ -82,7 +82,7 @@ def scan_content(spark, sf_dir):
     )
     # Files of a bounded number of documents: one file is one row when it is read back.
     rows.write.format("xml").option("rowTag", "document").option("rootTag", "documents").option(
-        "maxRecordsPerFile", 500
+        "maxRecordsPerFile", 5000
     ).save(target)
     definition = IndexDefinition("exported", "exported", "/", files_include=r"part-.*\.xml")
     found = files.parse_documents(files.scan_content(spark, target, definition))

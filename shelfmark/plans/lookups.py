@@ -190,7 +190,7 @@ def suggestion_documents(spark, sf_dir):
     top = su.top_suggestions(
         su.suggestion_dedupe(su.value_candidates(idx, ["title"], {"title": 2.0})), 15
     )
-    return su.suggestion_documents(top, idx, ["brand", "size"]).select(
+    return su.suggestion_documents(top, idx, ["brand", "size"], rows=15).select(
         "rank",
         "text",
         "doc_id",
@@ -236,12 +236,8 @@ def result_suggestions(spark, sf_dir):
 def return_fields(spark, sf_dir):
     idx = documents(spark, sf_dir)
     page = term_search(idx, "fulltext", "from")
-    shown = F.col("document")
-    return su.return_fields(page, idx.fields, ["source", "quality", "nothing"]).select(
-        "rank",
-        "doc_id",
-        F.array_join(shown["source"], ",").alias("source"),
-        F.array_join(shown["quality"], ",").alias("quality"),
+    return su.return_fields(page, idx.fields, ["source", "quality", "nothing"], rows=100).select(
+        "rank", "doc_id", "field", "ord", "value"
     )
 
 
@@ -430,7 +426,8 @@ FROM post WHERE starts_with(term, 'fro') OR starts_with(term, 'tionh') GROUP BY
 hits AS (SELECT index_name, doc_id, CAST(score AS DOUBLE) AS score FROM w
          WHERE index_name = 'docs-fr')
 {ranked('hits', 10)}""",
-    "return_fields": f"""WITH {tokens()}, {term_hits('hits', 'from')}, page AS ({ranked('hits')})
-SELECT rank, doc_id, source, CAST(quality AS VARCHAR) AS quality
-FROM page JOIN documents USING (doc_id) LEFT JOIN labels USING (doc_id)""",
+    "return_fields": f"""WITH {tokens()}, {VALUES}, {term_hits('hits', 'from')},
+page AS ({ranked('hits')})
+SELECT rank, doc_id, field, 0 AS ord, value FROM page JOIN present USING (index_name, doc_id)
+WHERE field IN ('source', 'quality')""",
 }

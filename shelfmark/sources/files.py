@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmark.functions import paths
+from shelfmark.functions.arrays import runs
 from shelfmark.functions.text import strip_xml_prolog
 from shelfmark.operators.definitions import IndexDefinition
 
@@ -103,16 +104,18 @@ def parse_documents(df: DataFrame, content: str = "content") -> DataFrame:
     docs = parsed.select(
         *others, F.posexplode(F.coalesce("x.document", one)).alias("doc_no", "d")
     ).where(F.col("d.field").isNotNull())
-    same = F.transform(
-        "d.field",
-        lambda f, i: F.struct(
-            f.alias("f"),
-            F.size(
-                F.filter(F.slice(F.col("d.field"), 1, i), lambda g: g["_name"] == f["_name"])
-            ).alias("ord"),
-        ),
+    placed = F.transform(
+        "d.field", lambda f, i: F.struct(f["_name"].alias("name"), i.alias("at"), f.alias("f"))
     )
-    return docs.select(*others, "doc_no", F.explode(same).alias("v")).select(
+    numbered = F.flatten(
+        F.transform(
+            runs(F.sort_array(placed), "name"),
+            lambda run: F.transform(
+                run, lambda v, ord_: F.struct(v["f"].alias("f"), ord_.alias("ord"))
+            ),
+        )
+    )
+    return docs.select(*others, "doc_no", F.explode(numbered).alias("v")).select(
         *others,
         "doc_no",
         F.col("v.f._name").alias("field"),

@@ -126,6 +126,10 @@ def debounce_events(events: DataFrame, delay: str = f"{DELAY_SECONDS} seconds")
 
 def debounce_stream(events: DataFrame, delay: str = f"{DELAY_SECONDS} seconds") -> DataFrame:
     """The same over a stream that has a watermark: rows come out when their period is over."""
+    # Events of a path that come close together are merged before they are shuffled.
+    events.sparkSession.conf.set(
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true"
+    )
     return (
         events.groupBy("index_name", "path", F.session_window("ts", delay).alias("w"))
         .agg(
