@@ -8,7 +8,12 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.paths import file_filter, file_to_path, relative_path
 from shelfmark.operators import build, changes, reports
-from shelfmark.operators.definitions import definition_name, route_index
+from shelfmark.operators.definitions import (
+    IndexDefinition,
+    create_index,
+    definition_name,
+    route_index,
+)
 from shelfmark.plans import corpora
 from shelfmark.plans.corpora import BOOKS, CONTENT_ROOT, DEFINITIONS, documents, talks
 from shelfmark.plans.sql import DOCS, EVENT_CLASS, EVENTS, SNAPSHOTS, VALUES, tokens
@@ -218,8 +223,8 @@ def debounce_stream(spark, sf_dir):
     return _session_columns(spark.read.schema(quiet.schema).parquet(f"{run}/quiet"))
 
 
-def stream_index(spark, sf_dir):
-    """An index kept by a stream: files whose last event is no deletion, seen once they are quiet."""
+def _kept_by_stream(spark, sf_dir):
+    """Path of an index kept by a stream: it holds the files whose last event is no deletion."""
     run = _run_folder(spark, "index")
     files = corpora.file_events(spark, sf_dir).where(~F.col("is_dir"))
     last = files.groupBy("path").agg(
@@ -255,13 +260,67 @@ def stream_index(spark, sf_dir):
         available_now=True,
     )
     query.awaitTermination()
-    return store.read_index(spark, f"{run}/books").docs.select("index_name", "_src", "_path")
+    return f"{run}/books"
+
+
+def stream_index(spark, sf_dir):
+    index = store.read_index(spark, _kept_by_stream(spark, sf_dir))
+    return index.docs.select("index_name", "_src", "_path")
+
+
+def stream_monitor(spark, sf_dir):
+    """Documents per index in the recorded runs of a stream."""
+    runs = indexing.batches(spark, _kept_by_stream(spark, sf_dir))
+    return (
+        runs.where("finished").groupBy("index_name").agg(F.sum("documents").alias("documents"))
+    )
+
+
+def _parts_by_type(spark, sf_dir):
+    """Path of a fresh index of the parts, one index per type, with its registry."""
+    path = _run_folder(spark, "parts")
+    by_type = F.concat(F.lit("type-"), F.lower("type"))
+    docs = corpora.part_docs(spark, sf_dir).withColumn("index_name", by_type)
+    definition = IndexDefinition("types", "type-{name}", "/types/{name}")
+    store.write_index(
+        spark, path, docs, build.field_values(docs, ["title"], ["brand"]), F.lit("types")
+    )
+    store.register(
+        spark, path, create_index(docs.select("index_name").distinct(), [definition])
+    )
+    return path
+
+
+def _known(spark, path):
+    docs = store.read_index(spark, path).docs
+    return reports.list_indexes(store.registry(spark, path), docs).select(
+        "index_name", "exists", "documents"
+    )
+
+
+def clear_index(spark, sf_dir):
+    """One index emptied: still known, without documents."""
+    path = _parts_by_type(spark, sf_dir)
+    store.clear_index(spark, path, ["type-economy"])
+    return _known(spark, path)
+
+
+def delete_index(spark, sf_dir):
+    """One index removed: not known any more."""
+    path = _parts_by_type(spark, sf_dir)
+    store.delete_index(spark, path, "type-economy")
+    return _known(spark, path)
+
+
 
 
 QUERIES = {
     "change_stream": change_stream,
     "debounce_stream": debounce_stream,
     "stream_index": stream_index,
+    "stream_monitor": stream_monitor,
+    "clear_index": clear_index,
+    "delete_index": delete_index,
     "incremental_diff": incremental_diff,
     "incremental_diff_window": incremental_diff_window,
     "apply_changes": apply_changes,
@@ -370,6 +429,18 @@ FROM per""",
 SELECT * FROM quiet WHERE due <= (SELECT epoch_us(max(ts)) - 3600000000 FROM ev)""",
     "change_stream": f"WITH {EVENTS} SELECT path, kind, epoch_us(ts) AS ts,"
     f" {EVENT_CLASS} AS event_class FROM ev",
+    "stream_monitor": f"""WITH {_QUIET},
+seen AS (SELECT DISTINCT index_name, path FROM quiet
+         WHERE due <= (SELECT epoch_us(max(ts)) - 3600000000 FROM ev WHERE NOT is_dir)),
+state AS (SELECT path, last(kind ORDER BY ts, kind) AS kind FROM ev WHERE NOT is_dir GROUP BY path)
+SELECT index_name, count(*) AS documents
+FROM seen JOIN state USING (path) WHERE kind <> 'delete' GROUP BY index_name""",
+    "clear_index": """
+SELECT 'type-' || lower(p_type) AS index_name, p_type <> 'ECONOMY' AS "exists",
+       count(*) FILTER (WHERE p_type <> 'ECONOMY') AS documents FROM part GROUP BY p_type""",
+    "delete_index": """
+SELECT 'type-' || lower(p_type) AS index_name, true AS "exists", count(*) AS documents
+FROM part WHERE p_type <> 'ECONOMY' GROUP BY p_type""",
     "stream_index": f"""WITH {_QUIET},
 seen AS (SELECT DISTINCT index_name, path FROM quiet
          WHERE due <= (SELECT epoch_us(max(ts)) - 3600000000 FROM ev WHERE NOT is_dir)),
