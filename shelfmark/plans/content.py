@@ -352,8 +352,8 @@ def document_preview(spark, sf_dir):
 
 
 def document_preview_one(spark, sf_dir):
-    idx = documents(spark, sf_dir)
-    return reports.document_preview(idx.fields, idx.docs, "/documents/fr/0").select(
+    idx = corpora.parts(spark, sf_dir)
+    return reports.document_preview(idx.fields, idx.docs, "/parts/0").select(
         "path", "field", "date_kind", "tokenized", "text", "truncated"
     )
 
@@ -534,10 +534,12 @@ SELECT _path AS path, field, NULL::VARCHAR AS date_kind, tokenized,
 FROM fv JOIN docs USING (index_name, doc_id)
 UNION ALL SELECT _path, 'date-modified', 'datetime', false,
   strftime(make_timestamp(lm), '%Y-%m-%dT%H:%M:%SZ'), false FROM docs""",
-    "document_preview_one": f"""WITH {_PREVIEW_ROWS}, {DOCS}
-SELECT _path AS path, field, NULL::VARCHAR AS date_kind, tokenized,
-       {_DOC_TEXT} AS text, length(v) > 100 AS truncated
-FROM fv JOIN docs USING (index_name, doc_id) WHERE _path = '/documents/fr/0'""",
+    "document_preview_one": """
+SELECT '/parts/0' AS path, field, NULL::VARCHAR AS date_kind, field IN ('title', 'type') AS tokenized,
+       v AS text, length(v) > 100 AS truncated
+FROM (SELECT unnest(['title', 'type', 'brand', 'size', 'price']) AS field,
+             unnest([p_name, p_type, p_brand, CAST(p_size AS VARCHAR), CAST(p_retailprice AS VARCHAR)]) AS v
+      FROM part WHERE p_partkey = 0)""",
     "visible_fields": """
 SELECT 'docs-' || lang AS index_name, unnest(['lang', 'source', 'n_chars']) AS field,
        count(*) AS n FROM documents GROUP BY lang""",
