@@ -58,7 +58,7 @@ def facets(
     wanted = split_names(fields)
     if not wanted and base is not None:
         wanted = sorted(f for f in idx.untokenized if not f.startswith("_"))
-    matched = base.hits(idx) if base is not None else None
+    matched = base.hits(idx, scored=False) if base is not None else None
     return facet_top_n(facet_counts(idx, wanted, matched), max_values)
 
 
@@ -90,7 +90,7 @@ def search_with_facets(
 ) -> DataFrame:
     """One answer: the page of hits, then the facets of the same hits, told apart by ``part``.
 
-    Both come from the same plan of matches, whose shuffle Spark runs once and reads twice.
+    Facets need to know which documents match, not how well, and so read no statistics.
     """
     from shelfmark.operators.search import find, paging, sort_order
 
@@ -108,7 +108,7 @@ def search_with_facets(
     )
     if not wanted:
         return page_rows
-    counted = facet_top_n(facet_counts(idx, wanted, predicate.hits(idx)), max_values)
+    counted = facet_top_n(facet_counts(idx, wanted, predicate.hits(idx, scored=False)), max_values)
     facet_rows = counted.select(
         F.lit("facet").alias("part"),
         "rank",

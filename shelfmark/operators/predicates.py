@@ -28,7 +28,8 @@ MAX_EXPANSION = 1000
 class Predicate:
     """A condition on documents."""
 
-    def hits(self, idx: IndexTables) -> DataFrame:
+    def hits(self, idx: IndexTables, scored: bool = True) -> DataFrame:
+        """Each matching document once. Unscored hits have score 0 and read no statistics."""
         raise NotImplementedError
 
 
@@ -40,13 +41,13 @@ def _constant(rows: DataFrame, unique: bool) -> DataFrame:
 
 @dataclass(frozen=True)
 class Everything(Predicate):
-    def hits(self, idx: IndexTables) -> DataFrame:
+    def hits(self, idx: IndexTables, scored: bool = True) -> DataFrame:
         return _constant(idx.docs, unique=True)
 
 
 @dataclass(frozen=True)
 class Nothing(Predicate):
-    def hits(self, idx: IndexTables) -> DataFrame:
+    def hits(self, idx: IndexTables, scored: bool = True) -> DataFrame:
         return _constant(idx.docs.where(F.lit(False)), unique=True)
 
 
@@ -57,9 +58,12 @@ class Term(Predicate):
     field: str
     term: str
 
-    def hits(self, idx: IndexTables) -> DataFrame:
+    def hits(self, idx: IndexTables, scored: bool = True) -> DataFrame:
         pairs = [(self.field, self.term)]
-        return score_hits(term_rows(idx, pairs), score_stats(idx, pairs)).select(*HIT, "score")
+        rows = term_rows(idx, pairs)
+        if not scored:
+            return rows.select(*HIT, F.lit(0.0).alias("score"))
+        return score_hits(rows, score_stats(idx, pairs)).select(*HIT, "score")
 
 
 def _moved_back(positions: str, slot: int) -> Column:
@@ -102,7 +106,9 @@ class Phrase(Predicate):
             )
         return found
 
-    def hits(self, idx: IndexTables) -> DataFrame:
+    def hits(self, idx: IndexTables, scored: bool = True) -> DataFrame:
+        if not scored:
+            return self.counts(idx).select(*HIT, F.lit(0.0).alias("score"))
         pairs = [(self.field, term) for term, _ in self.slots]
         # A word used twice counts twice.
         uses = F.create_map(
@@ -138,7 +144,7 @@ class TermsWhere(Predicate):
     condition: Column
     unique: bool = False
 
-    def hits(self, idx: IndexTables) -> DataFrame:
+    def hits(self, idx: IndexTables, scored: bool = True) -> DataFrame:
         rows = idx.postings.where((F.col("field") == self.field) & self.condition)
         return _constant(rows, unique=False)
 
@@ -151,7 +157,7 @@ class Fuzzy(Predicate):
     term: str
     edits: int = MAX_EDITS
 
-    def hits(self, idx: IndexTables) -> DataFrame:
+    def hits(self, idx: IndexTables, scored: bool = True) -> DataFrame:
         near = near_terms(idx, self.field, self.term, self.edits).select("term").distinct()
         rows = idx.postings.where(F.col("field") == self.field).select(*HIT, "term")
         few = near.take(MAX_EXPANSION + 1)
@@ -176,8 +182,10 @@ class Boost(Predicate):
     inner: Predicate
     weight: float
 
-    def hits(self, idx: IndexTables) -> DataFrame:
-        return self.inner.hits(idx).withColumn("score", F.col("score") * F.lit(self.weight))
+    def hits(self, idx: IndexTables, scored: bool = True) -> DataFrame:
+        return self.inner.hits(idx, scored).withColumn(
+            "score", F.col("score") * F.lit(self.weight)
+        )
 
 
 @dataclass(frozen=True)
@@ -186,7 +194,7 @@ class Not(Predicate):
 
     inner: tuple[Predicate, ...]
 
-    def hits(self, idx: IndexTables) -> DataFrame:
+    def hits(self, idx: IndexTables, scored: bool = True) -> DataFrame:
         return Nothing().hits(idx)
 
 
@@ -197,7 +205,7 @@ class Combined(Predicate):
     must_not: tuple[Predicate, ...] = ()
     filters: tuple[Predicate, ...] = ()
 
-    def hits(self, idx: IndexTables) -> DataFrame:
+    def hits(self, idx: IndexTables, scored: bool = True) -> DataFrame:
         if not self.must and not self.should and not self.filters:
             return Nothing().hits(idx)
         # Every clause has a bit, also one that is given twice.
@@ -214,14 +222,14 @@ class Combined(Predicate):
         for i, (clause, role) in enumerate(roles):
             bit = 1 << i
             masks[role] |= bit
-            weight = 1.0 if role in ("must", "should") else 0.0
+            weight = 1.0 if scored and role in ("must", "should") else 0.0
             while isinstance(clause, Boost):
                 clause, weight = clause.inner, weight * clause.weight
             if isinstance(clause, Term):
                 terms.setdefault((clause.field, clause.term), []).append((bit, weight))
                 continue
             tagged.append(
-                clause.hits(idx).select(
+                clause.hits(idx, scored=weight != 0).select(
                     *HIT,
                     F.lit(bit).cast("long").alias("bits"),
                     (F.col("score") * weight).alias("score"),
@@ -250,7 +258,11 @@ def _tagged_terms(
 ) -> DataFrame:
     """All single-term clauses in one scan: each row with the clauses it meets and its score."""
     pairs = list(terms)
-    scored = score_hits(term_rows(idx, pairs), score_stats(idx, pairs))
+    rows = term_rows(idx, pairs)
+    if any(weight for uses in terms.values() for _, weight in uses):
+        scored = score_hits(rows, score_stats(idx, pairs))
+    else:
+        scored = rows.withColumn("score", F.lit(0.0))
     met, weight = F.lit(0).cast("long"), F.lit(0.0)
     for (name, term), uses in terms.items():
         here = (F.col("field") == name) & (F.col("term") == term)

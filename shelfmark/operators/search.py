@@ -69,6 +69,17 @@ def hits_to_documents(
     return docs.join(F.broadcast(page) if small else page, HIT)
 
 
+def after_hit(hits: DataFrame, score: float, index_name: str, doc_id: object) -> DataFrame:
+    """Hits that come after a known one in the order of scores.
+
+    The page after the last hit of a page costs as little as the first page, however deep it lies.
+    """
+    later = (F.col("index_name") > index_name) | (
+        (F.col("index_name") == index_name) & (F.col("doc_id") > F.lit(doc_id))
+    )
+    return hits.where((F.col("score") < score) | ((F.col("score") == score) & later))
+
+
 def search(
     idx: IndexTables,
     predicate: Predicate,

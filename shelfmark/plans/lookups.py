@@ -65,7 +65,7 @@ def facets_grouping_sets(spark, sf_dir):
 
 def facet_semi_join(spark, sf_dir):
     idx = documents(spark, sf_dir)
-    matched = P.term("fulltext", "from").hits(idx)
+    matched = P.term("fulltext", "from").hits(idx, scored=False)
     return fa.facet_semi_join(idx, matched, ["source"])
 
 
@@ -209,7 +209,7 @@ def top_suggestions(spark, sf_dir):
 def build_suggester(spark, sf_dir):
     """The rows of a named suggester, written once per state of its index and read back."""
     idx = parts(spark, sf_dir)
-    suggester = corpora.PARTS.autosuggests[0]
+    suggester = corpora.PARTS.suggester("names")
     rows = su.ensure_suggester(
         spark, corpora.PART_CORPUS.folder(spark, sf_dir) + "-suggest", idx, suggester
     )
@@ -218,7 +218,7 @@ def build_suggester(spark, sf_dir):
 
 def suggest_named(spark, sf_dir):
     idx = parts(spark, sf_dir)
-    suggester = corpora.PARTS.autosuggests[0]
+    suggester = corpora.PARTS.suggester("names")
     rows = su.ensure_suggester(
         spark, corpora.PART_CORPUS.folder(spark, sf_dir) + "-suggest", idx, suggester
     )

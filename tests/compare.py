@@ -24,23 +24,13 @@ def connect(sf_dir: str):
     return con
 
 
-def _plain(value):
-    if isinstance(value, float):
-        return round(value, 9)
-    return value
-
-
 def rows_of(columns, rows):
     """Column names in order, and the rows sorted, their cells in that order."""
     order = sorted(range(len(columns)), key=lambda i: columns[i])
-    cells = [tuple(_plain(row[i]) for i in order) for row in rows]
+    cells = [tuple(row[i] for i in order) for row in rows]
     return [columns[i] for i in order], sorted(cells, key=repr)
 
 
-def kinds(columns, types):
-    return dict(zip(columns, types))
-
-
 SAME = {
     "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
     "boolean": "BOOLEAN", "float": "FLOAT",

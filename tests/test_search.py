@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.analysis import STOP_WORDS
 from shelfmark.operators import facets, search, suggest, terms
-from shelfmark.operators.build import build_index, field_values
+from shelfmark.operators.build import field_values
 from shelfmark.operators.predicates import P, clauses, condition
+from shelfmark.sources import store
 
 TEXTS = {
     1: "the quick brown fox", 2: "quick quick fox jumps", 3: "lazy dog of the north",
@@ -18,12 +19,13 @@ COLORS = {1: "red", 2: "blue", 3: "red", 4: None, 5: "green", 6: "red", 7: "blue
 
 
 @pytest.fixture(scope="module")
-def idx(spark):
+def idx(spark, tmp_path_factory):
     rows = [(f"i{k % 2}", k, TEXTS[k], COLORS[k], k * 10) for k in TEXTS]
     df = spark.createDataFrame(rows, "index_name STRING, doc_id BIGINT, fulltext STRING, color STRING, size INT")
     docs = df.select("index_name", "doc_id", F.concat(F.lit("/d/"), "doc_id").alias("_path"))
     values = field_values(df, ["fulltext"], ["color", "size"])
-    return build_index(docs, values, F.lit("d")).select("i0,i1")
+    path = str(tmp_path_factory.mktemp("search"))
+    return store.write_index(spark, path, docs, values, F.lit("d")).select("i0,i1")
 
 
 def ids(df):
@@ -103,6 +105,25 @@ def test_pages_follow_each_other(idx):
     assert sorted(ranks) == [4, 5, 6]
 
 
+def test_next_page_after_a_hit(idx):
+    hits = search.find(idx, P.any(P.term("fulltext", "fox"), P.term("color", "red")))
+    order = search.sort_order(hits, idx)[1]
+    every = search.paging(hits, order).orderBy("rank").collect()
+    for i, hit in enumerate(every):
+        rest = search.after_hit(hits, hit["score"], hit["index_name"], hit["doc_id"])
+        assert ids(search.paging(rest, order)) == [r["doc_id"] for r in every[i + 1:]]
+
+
+def test_unscored_hits_are_the_same_documents(idx):
+    for predicate in (
+        P.term("fulltext", "fox"),
+        P.text(idx, "fulltext", "quick fox"),
+        P.all(P.any(P.boost(P.term("fulltext", "fox"), 2.0), P.prefix("fulltext", "d")), P.none(P.term("color", "red"))),
+    ):
+        plain = predicate.hits(idx, scored=False).collect()
+        assert sorted(r["doc_id"] for r in plain) == matched(idx, predicate)
+
+
 def test_predicates_need_fields(idx):
     for bad in ("", "fox", "fulltext:fox dog"):
         with pytest.raises(ValueError, match="predicate"):
