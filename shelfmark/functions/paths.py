@@ -9,6 +9,8 @@ from operator import or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from shelfmark.functions.arrays import let
+
 NAME = "{name}"
 # What {name} stands for when routing a path, matching a name, reading a name back.
 NAME_IN_PATH = r"([\w\-]+)"
@@ -54,22 +56,25 @@ def file_name(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 
 
+def _folders(path: Column, dropped: int) -> Column:
+    """``/a``, ``/a/b`` … for the parts of a path but the last ``dropped``, topmost first."""
+    return let(
+        F.filter(F.split(path, "/"), lambda part: part != ""),
+        lambda parts: F.transform(
+            F.slice(parts, 1, F.greatest(F.size(parts) - dropped, F.lit(0))),
+            lambda _, n: F.concat(F.lit("/"), F.array_join(F.slice(parts, 1, n + 1), "/")),
+        ),
+    )
+
+
 def ancestors(path: Column) -> Column:
     """Folders above a path, topmost first: ``/a/b/c`` gives ``[/a, /a/b]``."""
-    parts = F.filter(F.split(path, "/"), lambda part: part != "")
-    depth = F.size(parts)
-    return F.when(
-        depth > 1,
-        F.transform(
-            F.sequence(F.lit(1), depth - 1),
-            lambda n: F.concat(F.lit("/"), F.array_join(F.slice(parts, 1, n), "/")),
-        ),
-    ).otherwise(F.array().cast("array<string>"))
+    return _folders(path, 1)
 
 
 def lineage(path: Column) -> Column:
     """The folders above a path and the path itself."""
-    return F.concat(ancestors(path), F.array(path))
+    return _folders(path, 0)
 
 
 def file_filter(relative: Column, include: str | None, exclude: str | None) -> Column:

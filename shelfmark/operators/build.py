@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions.analysis import Analyzer, analyze_keyword, analyze_standard, term_vector
+from shelfmark.functions.analysis import Analyzer, analyze_standard, term_vector
 
 VALUE_COLUMNS = ("index_name", "doc_id", "field", "ord", "value", "tokenized", "stored", "boost")
 
@@ -67,9 +67,10 @@ def field_values(
 
 def analyze_values(values: DataFrame, analyzer: Analyzer = analyze_standard) -> DataFrame:
     """Value rows with ``length`` (kept tokens) and ``terms`` (term vector). No shuffle."""
-    terms = F.when(F.col("tokenized"), term_vector(analyzer(F.col("value")))).otherwise(
-        term_vector(analyze_keyword(F.col("value")))
+    whole = F.array(
+        F.struct(F.col("value").alias("term"), F.array(F.lit(0)).alias("positions"))
     )
+    terms = F.when(F.col("tokenized"), term_vector(analyzer(F.col("value")))).otherwise(whole)
     analyzed = values.select(*VALUE_COLUMNS, terms.alias("terms"))
     length = F.aggregate(
         "terms", F.lit(0), lambda n, t: n + F.size(t["positions"])

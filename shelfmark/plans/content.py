@@ -205,7 +205,7 @@ def in_index(spark, sf_dir):
 
 
 def route_destinations(spark, sf_dir):
-    events = corpora.file_events(spark, sf_dir).select("event_id", "path")
+    events = corpora.dealt_out(corpora.file_events(spark, sf_dir).select("event_id", "path"))
     return de.route_destinations(events, [SOME_BOOKS], _roots(spark, sf_dir))
 
 

@@ -11,7 +11,9 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,11 +37,11 @@ LAYOUT = {
 BUILT = [name for name in LAYOUT if name != "deletions"]
 
 
-def _write(df: DataFrame, path: str, name: str, version: int, mode: str = "overwrite") -> DataFrame:
+def _write(df: DataFrame, path: str, name: str, version: int) -> DataFrame:
     """Write rows already ranged over tasks, then read them back with the schema of the writer."""
     folders, order = LAYOUT[name]
     target = f"{path}/{name}/version={version}"
-    writer = df.sortWithinPartitions(*order).write.mode(mode)
+    writer = df.sortWithinPartitions(*order).write.mode("overwrite")
     # The whole version is replaced, so that a batch run again leaves no rows of the first attempt.
     writer = writer.option("partitionOverwriteMode", "static")
     (writer.partitionBy(*folders) if folders else writer).parquet(target)
@@ -64,10 +66,18 @@ def _write_fields(
     before they are analyzed, so that what is shuffled is the text and not its tokens.
     """
     order = LAYOUT["fields"][1]
-    for mode, kind in (("overwrite", F.col("tokenized")), ("append", ~F.col("tokenized"))):
-        spread = values.where(kind).repartitionByRange(*order)
-        written = _write(build.analyze_values(spread, analyzer), path, "fields", version, mode)
-    return written
+    texts, short = (
+        build.analyze_values(values.where(kind).repartitionByRange(*order), analyzer)
+        for kind in (F.col("tokenized"), ~F.col("tokenized"))
+    )
+    return _write(texts.unionByName(short), path, "fields", version)
+
+
+def _at_once(spark: SparkSession, *actions: Callable[[], DataFrame]) -> list[DataFrame]:
+    """Run writes that do not need each other side by side, so that none waits for idle cores."""
+    with ThreadPoolExecutor(len(actions)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(action)) for action in actions]
+        return [job.result() for job in running]
 
 
 def write_index(
@@ -82,19 +92,21 @@ def write_index(
 
     Text is read and analyzed once; later tables read the written term vectors.
     """
-    written = {"docs": write_table(docs, path, "docs")}
-    fields = _write_fields(values, path, 0, analyzer)
+    written_docs, fields = _at_once(
+        spark,
+        lambda: write_table(docs, path, "docs"),
+        lambda: _write_fields(values, path, 0, analyzer),
+    )
     catalog = write_table(build.catalog(fields, definition), path, "catalog")
     repeated = build.repeated_fields(catalog)
-    postings = write_table(build.postings(fields, repeated), path, "postings")
-    written |= {
-        "fields": fields,
-        "catalog": catalog,
-        "postings": postings,
-        "dictionary": write_table(build.dictionary(postings, repeated), path, "dictionary"),
-        "field_stats": write_table(build.field_stats(fields, repeated), path, "field_stats"),
-    }
-    _write_manifest(spark, path, 0, {n: df.schema for n, df in written.items()})
+    postings, stats = _at_once(
+        spark,
+        lambda: write_table(build.postings(fields, repeated), path, "postings"),
+        lambda: write_table(build.field_stats(fields, repeated), path, "field_stats"),
+    )
+    dictionary = write_table(build.dictionary(postings, repeated), path, "dictionary")
+    tables = IndexTables(written_docs, fields, postings, dictionary, stats, catalog)
+    _write_manifest(spark, path, 0, {name: getattr(tables, name).schema for name in BUILT})
     return _must_read(spark, path)
 
 
@@ -124,8 +136,11 @@ def append_batch(
     replaced = before.docs.join(files, ["index_name", "_src"], "left_semi").select(*HIT)
     gone = write_table(replaced, path, "deletions", version)
     old = before.fields.join(gone, HIT, "left_semi")
-    written = {"docs": write_table(docs, path, "docs", version)}
-    new = _write_fields(values, path, version, analyzer)
+    new_docs, new = _at_once(
+        spark,
+        lambda: write_table(docs, path, "docs", version),
+        lambda: _write_fields(values, path, version, analyzer),
+    )
     catalog = write_table(build.catalog(new, definition), path, "catalog", version)
     repeated = sorted({*before.repeated, *build.repeated_fields(catalog)})
     postings = write_table(build.postings(new, repeated), path, "postings", version)
@@ -137,16 +152,14 @@ def append_batch(
     stats = _difference(
         build.field_stats(new, repeated), build.field_stats(old, repeated), ["index_name", "field"]
     )
-    written |= {
-        "fields": new,
-        "catalog": catalog,
-        "postings": postings,
-        "dictionary": write_table(terms, path, "dictionary", version),
-        "field_stats": write_table(stats, path, "field_stats", version),
-    }
-    removed = gone.count()
-    schemas = {n: df.schema for n, df in written.items()}
-    _write_manifest(spark, path, version, schemas, removed, label)
+    dictionary, field_stats = _at_once(
+        spark,
+        lambda: write_table(terms, path, "dictionary", version),
+        lambda: write_table(stats, path, "field_stats", version),
+    )
+    tables = IndexTables(new_docs, new, postings, dictionary, field_stats, catalog)
+    schemas = {name: getattr(tables, name).schema for name in BUILT}
+    _write_manifest(spark, path, version, schemas, gone.count(), label)
     return _must_read(spark, path)
 
 
