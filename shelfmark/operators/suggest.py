@@ -9,7 +9,6 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from shelfmark.functions.analysis import words
 from shelfmark.functions.text import highlight, java_quote
@@ -20,6 +19,7 @@ from shelfmark.operators.definitions import Suggester
 from shelfmark.operators.predicates import P, condition
 from shelfmark.operators.scoring import HIT
 from shelfmark.operators.search import BROADCAST_PAGE_ROWS, find, paging, sort_order
+from shelfmark.sources.store import written_once
 
 RESULTS = 10
 MIN_CHARS = 2
@@ -102,27 +102,18 @@ def return_fields(
 def suggestion_documents(
     suggestions: DataFrame, idx: IndexTables, names: Sequence[str], rows: int | None = None
 ) -> DataFrame:
-    """Suggestions with fields of their document as map<string, array<string>>.
+    """Each suggestion as a row without a field, then a row per field value of its document.
 
-    Suggestions are few, and each list holds the values of one document.
+    Values stay rows, as a document may have any number of them.
     """
-    ids = suggestions.select(*HIT).distinct()
-    per_field = (
-        return_fields(ids, idx.fields, names, rows)
-        .groupBy(*HIT, "field")
-        .agg(
-            F.transform(
-                F.sort_array(F.collect_list(F.struct("ord", "value"))), lambda v: v["value"]
-            ).alias("values")
-        )
-    )
-    documents = per_field.groupBy(*HIT).agg(
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct("field", "values")))).alias(
-            "document"
-        )
+    own = suggestions.withColumns(
+        {
+            "field": F.lit(None).cast("string"),
+            "ord": F.lit(None).cast("int"),
+            "value": F.lit(None).cast("string"),
+        }
     )
-    small = rows is not None and rows <= BROADCAST_PAGE_ROWS
-    return suggestions.join(F.broadcast(documents) if small else documents, HIT, "left")
+    return own.unionByName(return_fields(suggestions, idx.fields, names, rows))
 
 
 def suggest(
@@ -213,15 +204,17 @@ def ensure_suggester(
     settings = hashlib.md5(repr(suggester).encode()).hexdigest()
     path = f"{folder}/{suggester.name}-{settings}"
     rows = build_suggester(idx, suggester)
-    try:
-        # The writer leaves its marker only when every task has finished.
-        spark.read.text(f"{path}/done")
-    except AnalysisException:
-        rows.repartitionByRange("index_name", "text").sortWithinPartitions(
-            "index_name", "text"
-        ).write.mode("overwrite").partitionBy("index_name", "suggester").parquet(f"{path}/rows")
-        spark.range(1).select(F.lit("done")).write.mode("overwrite").text(f"{path}/done")
-    return spark.read.schema(rows.schema).parquet(f"{path}/rows")
+    order = ["index_name", "text"]
+    written = written_once(
+        spark,
+        path,
+        lambda folder_: rows.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .write.mode("overwrite")
+        .partitionBy("index_name", "suggester")
+        .parquet(folder_),
+    )
+    return spark.read.schema(rows.schema).parquet(written)
 
 
 def use_suggester(

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from shelfmark.functions import paths, text
@@ -12,8 +10,7 @@ from shelfmark.operators.definitions import IndexDefinition
 from shelfmark.plans import corpora
 from shelfmark.plans.corpora import BOOKS, DEFINITIONS, DOCUMENTS, PAGES, documents
 from shelfmark.plans.sql import DOCS, EVENTS, PAGE_DOCS, VALUES, tokens
-from shelfmark.session import shared_dir
-from shelfmark.sources import files
+from shelfmark.sources import files, store
 
 SOME_BOOKS = IndexDefinition(
     "some-books",
@@ -72,18 +69,22 @@ def parse_index_documents(spark, sf_dir):
 
 
 def scan_content(spark, sf_dir):
-    """Documents written as XML files, found again by a file filter and parsed."""
-    target = f"{shared_dir(spark)}/shelfmark/content/{uuid.uuid4().hex}"
+    """Documents written as XML files once, found again by a file filter and parsed."""
     rows = corpora.table(spark, sf_dir, "documents").select(
         F.array(
             F.struct(F.col("doc_id").cast("string").alias("_VALUE"), F.lit("id").alias("_name")),
             F.struct(F.col("text").alias("_VALUE"), F.lit("fulltext").alias("_name")),
         ).alias("field")
     )
-    # Files of a bounded number of documents: one file is one row when it is read back.
-    rows.write.format("xml").option("rowTag", "document").option("rootTag", "documents").option(
-        "maxRecordsPerFile", 5000
-    ).save(target)
+
+    def export(folder):
+        # Files of a bounded number of documents: one file is one row when it is read back.
+        writer = rows.write.mode("overwrite").format("xml").option("maxRecordsPerFile", 5000)
+        writer.option("rowTag", "document").option("rootTag", "documents").save(folder)
+
+    target = store.written_once(
+        spark, corpora.DOCUMENT_CORPUS.folder(spark, sf_dir) + "-xml", export
+    )
     definition = IndexDefinition("exported", "exported", "/", files_include=r"part-.*\.xml")
     found = files.parse_documents(files.scan_content(spark, target, definition))
     by_document = ["path", "doc_no"]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from shelfmark.functions.analysis import analyze_keyword, analyze_standard, tokens as token_rows
@@ -20,13 +18,11 @@ from shelfmark.plans.sql import (
     SPLIT,
     STOP_LIST,
     VALUES,
-    field_hits,
     ranked,
     term_hits,
     tokens,
     top_facets,
 )
-from shelfmark.session import shared_dir
 
 FACET = ("field", "value", "count", "rank")
 
@@ -154,12 +150,7 @@ def suggest_documents(spark, sf_dir):
     found = su.suggest(
         parts(spark, sf_dir), "RI", "title", return_fields="brand,type", results=10
     )
-    return found.select(
-        *SUGGESTION,
-        "doc_id",
-        F.array_join(F.col("document")["brand"], ",").alias("brand"),
-        F.array_join(F.col("document")["type"], ",").alias("type"),
-    )
+    return found.select(*SUGGESTION, "doc_id", "field", "value")
 
 
 def suggest_two_words(spark, sf_dir):
@@ -191,11 +182,7 @@ def suggestion_documents(spark, sf_dir):
         su.suggestion_dedupe(su.value_candidates(idx, ["title"], {"title": 2.0})), 15
     )
     return su.suggestion_documents(top, idx, ["brand", "size"], rows=15).select(
-        "rank",
-        "text",
-        "doc_id",
-        F.array_join(F.col("document")["brand"], ",").alias("brand"),
-        F.array_join(F.col("document")["size"], ",").alias("size"),
+        "rank", "text", "doc_id", "field", "ord", "value"
     )
 
 
@@ -224,7 +211,7 @@ def suggest_named(spark, sf_dir):
     )
     return su.use_suggester(idx, rows, suggester, "e").unionByName(
         su.use_suggester(idx, rows, suggester, "ec")
-    ).select(*SUGGESTION, "doc_id", F.array_join(F.col("document")["brand"], ",").alias("brand"))
+    ).select(*SUGGESTION, "doc_id", "field", "value")
 
 
 def result_suggestions(spark, sf_dir):
@@ -312,6 +299,20 @@ def _marked(words: str) -> str:
     return rf"regexp_replace(text, '(^|[^\p{{L}}\p{{N}}])({words})', '\1<b>\2</b>', 'gi')"
 
 
+def _with_fields(suggestions: str, columns: dict[str, str], keys: str) -> str:
+    """Suggestions, then the named columns of their parts as (field, value) rows."""
+    rows = "".join(
+        f" UNION ALL SELECT {keys}, '{field}', CAST({column} AS VARCHAR)"
+        " FROM s JOIN part ON p_partkey = doc_id"
+        for field, column in columns.items()
+    )
+    return (
+        f"SELECT {keys}, field, value FROM (WITH s AS ({suggestions})"
+        f" SELECT {keys}, NULL::VARCHAR AS field, NULL::VARCHAR AS value FROM s{rows})"
+    )
+
+
+_KEYS = "rank, text, highlight, weight, doc_id"
 _PART_TEXTS = """
 heaviest AS (
   SELECT text, max(weight) AS weight,
@@ -391,8 +392,7 @@ FROM dict WHERE starts_with(term, 'fro') GROUP BY ALL) {_suggestions('cand')}"""
     "suggest_documents": f"""WITH {_cand(('p_name', 1.0))}, m AS (
 SELECT h.*, {_marked('ri')} AS highlight FROM heaviest h
 WHERE regexp_matches(lower(text), '(?:^|[^\\p{{L}}\\p{{N}}])ri'))
-{_suggestions('(SELECT m.*, p_brand AS brand, p_type AS "type" FROM m JOIN part ON p_partkey = doc_id)',
-              more=', doc_id, brand, "type"')}""",
+{_with_fields(_suggestions('m', more=', doc_id'), {'brand': 'p_brand', 'type': 'p_type'}, _KEYS)}""",
     "suggest_two_words": f"""WITH {_cand(('p_name', 1.0))}, m AS (
 SELECT h.*, {_marked('wid|re')} AS highlight FROM heaviest h
 WHERE regexp_matches(lower(text), '(?:^|[^\\p{{L}}\\p{{N}}])wid')
@@ -406,19 +406,21 @@ WHERE regexp_matches(lower(text), '(?:^|[^\\p{{L}}\\p{{N}}])re')) {_suggestions(
     "suggestion_dedupe": "SELECT p_name AS text, 1.0::DOUBLE AS weight, min(p_partkey) AS doc_id"
     " FROM part GROUP BY ALL",
     "suggestion_documents": """WITH c AS (
-SELECT p_name AS text, min(p_partkey) AS doc_id FROM part GROUP BY ALL ORDER BY text LIMIT 15)
-SELECT CAST(row_number() OVER (ORDER BY text) AS INTEGER) AS rank, text, doc_id, p_brand AS brand,
-       CAST(p_size AS VARCHAR) AS size
-FROM c JOIN part ON p_partkey = doc_id""",
+SELECT p_name AS text, min(p_partkey) AS doc_id FROM part GROUP BY ALL ORDER BY text LIMIT 15),
+s AS (SELECT CAST(row_number() OVER (ORDER BY text) AS INTEGER) AS rank, * FROM c)
+SELECT rank, text, doc_id, NULL::VARCHAR AS field, NULL::INTEGER AS ord, NULL::VARCHAR AS value FROM s
+UNION ALL SELECT rank, text, doc_id, 'brand', 0, p_brand FROM s JOIN part ON p_partkey = doc_id
+UNION ALL SELECT rank, text, doc_id, 'size', 0, CAST(p_size AS VARCHAR)
+FROM s JOIN part ON p_partkey = doc_id""",
     "top_suggestions": """SELECT CAST(row_number() OVER (ORDER BY count(*) DESC, source) AS INTEGER)
  AS rank, source AS text, count(*) * 0.5::DOUBLE AS weight
 FROM documents GROUP BY source ORDER BY weight DESC, text LIMIT 10""",
     "build_suggester": f"""WITH {_cand(('p_name', 2.0), ('p_type', 1.0))}
 SELECT 'parts' AS index_name, 'names' AS suggester, text, weight, doc_id FROM heaviest""",
     "suggest_named": f"""WITH {_cand(('p_name', 2.0), ('p_type', 1.0))}, m AS (
-SELECT h.*, {_marked('ec')} AS highlight, p_brand AS brand
-FROM heaviest h JOIN part ON p_partkey = doc_id
-WHERE regexp_matches(lower(text), '(?:^|[^\\p{{L}}\\p{{N}}])ec')) {_suggestions('m', more=', doc_id, brand')}""",
+SELECT h.*, {_marked('ec')} AS highlight FROM heaviest h
+WHERE regexp_matches(lower(text), '(?:^|[^\\p{{L}}\\p{{N}}])ec'))
+{_with_fields(_suggestions('m', more=', doc_id'), {'brand': 'p_brand', 'type': 'p_type'}, _KEYS)}""",
     "result_suggestions": f"""WITH {tokens()}, w AS (
 SELECT index_name, doc_id, max(CASE WHEN starts_with(term, 'fro') THEN 1.0 ELSE 0.0 END)
        + max(CASE WHEN starts_with(term, 'tionh') THEN 1.0 ELSE 0.0 END) AS score

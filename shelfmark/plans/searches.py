@@ -5,23 +5,20 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfmark.operators import search
-from shelfmark.operators.predicates import P, Phrase, clauses, condition
+from shelfmark.operators.predicates import P, Phrase, condition
 from shelfmark.operators.scoring import score_hits, score_stats, term_rows
 from shelfmark.plans import corpora
 from shelfmark.plans.corpora import documents, parts, talks
 from shelfmark.plans.sql import (
     DOCS,
-    IDF,
-    VALUES,
-    bm25,
     field_hits,
     phrase_hits,
     ranked,
     term_hits,
     tokens,
 )
-from shelfmark.sources import files
 from shelfmark.session import shared_dir
+from shelfmark.sources import files
 
 HIT_COLUMNS = ("rank", "index_name", "doc_id", "score")
 

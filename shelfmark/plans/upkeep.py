@@ -16,7 +16,7 @@ from shelfmark.operators.definitions import (
 )
 from shelfmark.plans import corpora
 from shelfmark.plans.corpora import BOOKS, CONTENT_ROOT, DEFINITIONS, documents, talks
-from shelfmark.plans.sql import DOCS, EVENT_CLASS, EVENTS, SNAPSHOTS, VALUES, tokens
+from shelfmark.plans.sql import DOCS, EVENT_CLASS, EVENTS, SNAPSHOTS, VALUES
 from shelfmark.session import shared_dir
 from shelfmark.sources import store
 from shelfmark.streaming import events as ev

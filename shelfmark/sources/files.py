@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,9 +38,16 @@ DOCUMENTS = T.StructType(
 )
 
 
-def _clean(path: Column) -> Column:
-    """Plain path of a ``file:`` URI; other URIs stay."""
-    return F.regexp_replace(path, "^file:(?://)?", "")
+# Local files come as URIs but are named by plain paths; other URIs stay.
+_LOCAL = "^file:(?://)?"
+
+
+def plain_path(path: Column) -> Column:
+    return F.regexp_replace(path, _LOCAL, "")
+
+
+def plain_root(root: str) -> str:
+    return re.sub(_LOCAL, "", root)
 
 
 def list_folder(spark: SparkSession, root: str) -> DataFrame:
@@ -48,7 +56,7 @@ def list_folder(spark: SparkSession, root: str) -> DataFrame:
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .load(root)
-        .select(_clean(F.col("path")).alias("path"), "modificationTime", "length")
+        .select(plain_path(F.col("path")).alias("path"), "modificationTime", "length")
     )
 
 
@@ -61,9 +69,11 @@ def scan_content(spark: SparkSession, root: str, definition: IndexDefinition) ->
     include, exclude = definition.files_include, definition.files_exclude
     if include is None and exclude is None:
         reader = reader.option("pathGlobFilter", PATTERNS["psml"])
-    files = reader.load(root).withColumn("path", _clean(F.col("path")))
+    files = reader.load(root).withColumn("path", plain_path(F.col("path")))
     return files.where(
-        paths.file_filter(paths.relative_path(F.col("path"), root), include, exclude)
+        paths.file_filter(
+            paths.relative_path(F.col("path"), plain_root(root)), include, exclude
+        )
     )
 
 

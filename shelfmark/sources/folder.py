@@ -14,7 +14,13 @@ from shelfmark.operators.build import VALUE_COLUMNS
 from shelfmark.operators.changes import incremental_diff
 from shelfmark.operators.definitions import IndexDefinition
 from shelfmark.sources import store
-from shelfmark.sources.files import CREATOR, list_folder, parse_documents
+from shelfmark.sources.files import (
+    CREATOR,
+    list_folder,
+    parse_documents,
+    plain_path,
+    plain_root,
+)
 
 # Up to this many changed files are named to the reader, so that no other content is read.
 NAMED_FILES = 10_000
@@ -46,8 +52,9 @@ def read_files(spark: SparkSession, root: str, wanted: DataFrame) -> DataFrame:
         files = reader.option("ignoreMissingFiles", "true").load(named)
     else:
         files = reader.option("recursiveFileLookup", "true").load(root)
-    plain = F.regexp_replace("path", "^file:(?://)?", "")
-    return files.select(plain.alias("_src"), "modificationTime", "content").join(wanted, "_src")
+    return files.select(
+        plain_path(F.col("path")).alias("_src"), "modificationTime", "content"
+    ).join(wanted, "_src")
 
 
 def present(
@@ -71,7 +78,7 @@ def present(
             "index_name",
             "doc_id",
             "_src",
-            paths.file_to_path(F.col("_src"), root).alias("_path"),
+            paths.file_to_path(F.col("_src"), plain_root(root)).alias("_path"),
             paths.file_name(F.col("_src")).alias("_filename"),
             F.col("modificationTime").cast("timestamp").alias("_lastmodified"),
             F.lit(CREATOR).alias("_creator"),
@@ -116,10 +123,10 @@ def index_folder(
     # Written down, so that the run works off one state of the folder, whatever happens to it.
     run = f"{path}/runs/{uuid.uuid4().hex}"
     incremental_diff(
-        listed, existing, root, folder, path_regex, modified_after, use_index_date, accepted
+        listed, existing, plain_root(root), folder, path_regex, modified_after, use_index_date, accepted
     ).write.parquet(f"{run}/diff")
     diff = spark.read.parquet(f"{run}/diff")
-    inside = F.concat(F.lit("/"), paths.relative_path(F.col("_src"), root))
+    inside = F.concat(F.lit("/"), paths.relative_path(F.col("_src"), plain_root(root)))
     routed = diff.where(F.col("action") != "ignore").select(
         definition.route(inside).alias("index_name"), "_src", "action"
     )

@@ -303,6 +303,20 @@ def source_fingerprint(spark: SparkSession, files: Sequence[str]) -> str:
     return f"{total['n']} files {total['h']}"
 
 
+def written_once(spark: SparkSession, path: str, write: Callable[[str], None]) -> str:
+    """Have ``write`` fill a folder below ``path`` unless that was done before; gives the folder.
+
+    The marker comes last, so that what a failed attempt left is written over.
+    """
+    folder = f"{path}/rows"
+    try:
+        spark.read.text(f"{path}/done")
+    except AnalysisException:
+        write(folder)
+        spark.range(1).select(F.lit("done")).write.mode("overwrite").text(f"{path}/done")
+    return folder
+
+
 def ensure_index(
     spark: SparkSession, folder: str, build_at: Callable[[str], IndexTables]
 ) -> IndexTables:

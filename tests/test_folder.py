@@ -46,7 +46,7 @@ def places(tmp_path):
 
 def test_index_folder(spark, places):
     root, path = places
-    first = actions(folder.index_folder(spark, path, root, BOOKS), root)
+    first = actions(folder.index_folder(spark, path, f"file://{root}", BOOKS), root)
     assert set(first.values()) == {"insert"} and "books/b/skip.txt" not in first
     assert found(spark, path, "red") == [("book-a", "one.psml"), ("book-b", "two.psml")]
     assert found(spark, path, "blue") == [("book-a", "one.psml#1")]
