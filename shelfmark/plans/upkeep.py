@@ -270,7 +270,7 @@ def stream_index(spark, sf_dir):
 
 def stream_monitor(spark, sf_dir):
     """Documents per index in the recorded runs of a stream."""
-    runs = indexing.batches(spark, _kept_by_stream(spark, sf_dir))
+    runs = store.batches(spark, _kept_by_stream(spark, sf_dir))
     return (
         runs.where("finished").groupBy("index_name").agg(F.sum("documents").alias("documents"))
     )

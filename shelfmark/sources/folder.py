@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 
@@ -133,9 +134,12 @@ def index_folder(
     touched = routed.where(F.col("index_name").isNotNull())
     to_read = touched.where(F.col("action") != "delete").select("index_name", "_src")
     if not touched.isEmpty():
+        begun = time.time()
         content = read_files(spark, root, to_read)
         docs, values = present(content, root, mapping, f"{run}/values")
+        computed = time.time()
         store.append_batch(spark, path, run, touched, docs, values, name, analyzer)
+        store.record_batch(spark, path, run, begun, computed)
     return diff
 
 

@@ -9,6 +9,7 @@ up the versions gives the counts of the live documents. A version counts once it
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -303,6 +304,42 @@ def source_fingerprint(spark: SparkSession, files: Sequence[str]) -> str:
     return f"{total['n']} files {total['h']}"
 
 
+BATCH = (
+    "batch_id BIGINT, index_name STRING, documents BIGINT, created TIMESTAMP, started TIMESTAMP,"
+    " finished BOOLEAN, index_ms BIGINT, compute_ms BIGINT"
+)
+
+
+def record_batch(
+    spark: SparkSession, path: str, label: str, begun: float, computed: float
+) -> None:
+    """Record a finished batch: documents per index, time to compute them and time to index them.
+
+    ``begun`` and ``computed`` are the times (epoch seconds) work began and contents were there.
+    """
+    version = version_of(spark, path, label)
+    docs = spark.read.schema("index_name STRING").parquet(f"{path}/docs/version={version}")
+    start = F.timestamp_seconds(F.lit(begun))
+    docs.groupBy("index_name").agg(F.count("*").alias("documents")).select(
+        F.lit(version).cast("long").alias("batch_id"),
+        "index_name",
+        "documents",
+        start.alias("created"),
+        start.alias("started"),
+        F.lit(True).alias("finished"),
+        F.lit(int((time.time() - computed) * 1000)).cast("long").alias("index_ms"),
+        F.lit(int((computed - begun) * 1000)).cast("long").alias("compute_ms"),
+    ).write.mode("overwrite").parquet(f"{path}/batches/version={version}")
+
+
+def batches(spark: SparkSession, path: str) -> DataFrame:
+    """Recorded runs of the index under ``path``."""
+    try:
+        return spark.read.schema(BATCH).parquet(f"{path}/batches")
+    except AnalysisException:
+        return spark.createDataFrame([], BATCH)
+
+
 def written_once(spark: SparkSession, path: str, write: Callable[[str], None]) -> str:
     """Have ``write`` fill a folder below ``path`` unless that was done before; gives the folder.
 

@@ -5,10 +5,9 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
 from shelfmark.functions.analysis import Analyzer, analyze_standard
 from shelfmark.operators.definitions import IndexDefinition, definition_name, route_destinations
@@ -18,12 +17,6 @@ from shelfmark.streaming.events import DELAY_SECONDS, debounce
 # What lies in the files looked at now: (index_name, _src) -> (docs, values); absent files give none.
 Load = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
 
-BATCH = (
-    "batch_id BIGINT, index_name STRING, documents BIGINT, created TIMESTAMP, started TIMESTAMP,"
-    " finished BOOLEAN, index_ms BIGINT, compute_ms BIGINT"
-)
-
-
 def stream_index(
     events: DataFrame,
     path: str,
@@ -36,7 +29,7 @@ def stream_index(
 ) -> StreamingQuery:
     """Route events, wait until files are quiet, then look at the files again and update the index.
 
-    A deleted file is looked at like a changed one and, being absent, is removed. A batch run again
+    Every run is recorded: see ``store.batches``. A deleted file is looked at like a changed one and, being absent, is removed. A batch run again
     after a failure is known by its number and the checkpoint it belongs to.
     """
     due = debounce(route_destinations(events, definitions), delay_seconds)
@@ -49,6 +42,7 @@ def stream_index(
             if touched.isEmpty():
                 return
             docs, values = load(touched)
+            loaded = time.time()
             label = f"{checkpoint}#{batch_id}"
             store.append_batch(
                 spark,
@@ -60,34 +54,9 @@ def stream_index(
                 definition_name(F.col("index_name"), definitions),
                 analyzer,
             )
-            stream_monitor(spark, path, label, begun)
+            store.record_batch(spark, path, label, begun, loaded)
         finally:
             touched.unpersist()
 
     writer = due.writeStream.foreachBatch(update).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
-
-
-def stream_monitor(spark: SparkSession, path: str, label: str, begun: float) -> None:
-    """Record a finished batch: documents per index and how long it took."""
-    version = store.version_of(spark, path, label)
-    docs = spark.read.schema("index_name STRING").parquet(f"{path}/docs/version={version}")
-    spent = int((time.time() - begun) * 1000)
-    docs.groupBy("index_name").agg(F.count("*").alias("documents")).select(
-        F.lit(version).cast("long").alias("batch_id"),
-        "index_name",
-        "documents",
-        F.timestamp_seconds(F.lit(begun)).alias("created"),
-        F.timestamp_seconds(F.lit(begun)).alias("started"),
-        F.lit(True).alias("finished"),
-        F.lit(spent).cast("long").alias("index_ms"),
-        F.lit(0).cast("long").alias("compute_ms"),
-    ).write.mode("overwrite").parquet(f"{path}/batches/version={version}")
-
-
-def batches(spark: SparkSession, path: str) -> DataFrame:
-    """Recorded runs of the index under ``path``."""
-    try:
-        return spark.read.schema(BATCH).parquet(f"{path}/batches")
-    except AnalysisException:
-        return spark.createDataFrame([], BATCH)

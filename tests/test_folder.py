@@ -62,6 +62,12 @@ def test_index_folder(spark, places):
     assert found(spark, path, "green") == [("book-a", "one.psml")]
     assert found(spark, path, "blue") == []
 
+    runs = store.batches(spark, path).orderBy("batch_id", "index_name").collect()
+    assert [(r["batch_id"], r["index_name"], r["documents"]) for r in runs] == [
+        (1, "book-a", 2), (1, "book-b", 1), (2, "book-a", 1), (2, "book-b", 1),
+    ]
+    assert all(r["finished"] and r["index_ms"] > 0 for r in runs)
+
     third = actions(folder.index_folder(spark, path, root, BOOKS, folder="books"), root)
     assert third == {}
     again = actions(

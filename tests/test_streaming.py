@@ -153,6 +153,6 @@ def test_index_kept_by_a_stream(spark, shelf):
     idx = run()
     assert bodies(idx) == [("book-1", "/c/book-1/a.psml", "changed")]
     assert [r["doc_id"] for r in idx.postings.where("term = 'one'").collect()] == []
-    runs = indexing.batches(spark, path)
+    runs = store.batches(spark, path)
     assert runs.agg(F.sum("documents")).head()[0] == 3
     assert all(r["finished"] for r in runs.collect())
