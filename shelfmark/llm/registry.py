@@ -6,7 +6,9 @@ import importlib
 
 MODULES = [
     importlib.import_module(f"shelfmark.llm.{name}")
-    for name in ("exact_dedup", "line_dedup", "bpe")
+    for name in (
+        "exact_dedup", "line_dedup", "bpe", "quality", "simhash",
+    )
 ]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 SQL = {name: sql for module in MODULES for name, sql in module.SQL.items()}
