@@ -7,7 +7,7 @@ import importlib
 MODULES = [
     importlib.import_module(f"shelfmark.llm.{name}")
     for name in (
-        "exact_dedup", "line_dedup", "bpe", "quality", "simhash",
+        "exact_dedup", "line_dedup", "bpe", "quality", "simhash", "decontaminate",
     )
 ]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
