@@ -8,7 +8,7 @@ MODULES = [
     importlib.import_module(f"shelfmark.llm.{name}")
     for name in (
         "exact_dedup", "line_dedup", "bpe", "quality", "simhash", "decontaminate",
-        "token_files", "language",
+        "token_files", "language", "personal",
     )
 ]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
