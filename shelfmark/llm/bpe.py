@@ -24,7 +24,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from shelfmark.llm.common import documents, narrow
+from shelfmark.llm.common import documents, mapped, narrow
 
 TOKENIZER = "byte_bpe_50k.json"
 #: White space as the pre-tokenizer's pattern understands it.
@@ -276,7 +276,7 @@ def encode_decode(
     schema = "n_tokens long, ids_sha256 string, decoded_sha256 string"
     schema += ", ids array<int>, decoded string" if whole else ""
     names = [column.split(" ")[0] for column in schema.split(", ")]
-    return narrow(docs, id_col, text_col).mapInPandas(encode, f"doc_id long, {schema}")
+    return mapped(narrow(docs, id_col, text_col), encode, schema)
 
 
 def op5_bpe(spark, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,18 @@ def narrow(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     )
 
 
+def mapped(rows: DataFrame, work: Callable, schema: str) -> DataFrame:
+    """``mapInPandas`` over rows with a doc_id, which pandas sees as text.
+
+    A long column with nulls would come to pandas as floating-point numbers and lose digits.
+    """
+    return (
+        rows.withColumn("doc_id", F.col("doc_id").cast("string"))
+        .mapInPandas(work, f"doc_id string, {schema}")
+        .withColumn("doc_id", F.col("doc_id").cast("long"))
+    )
+
+
 def ascii_lower(column: Column) -> Column:
     return F.translate(column, UPPER, LOWER)
 

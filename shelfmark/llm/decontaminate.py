@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import documents, narrow, only, written
+from shelfmark.llm.common import documents, mapped, narrow, only, written
 
 #: Edits per code point of an item, at most: similarity 0.8 or more.
 MOST_EDITS = 0.2
@@ -215,12 +215,8 @@ def find_passages(
                 start += len(some)
             yield pd.DataFrame(found, columns=["doc_id", "region", "hashes"])
 
-    regions = written(
-        narrow(docs, id_col, text_col)
-        .mapInPandas(search, "doc_id long, region string, hashes array<long>")
-        .withColumn("at", F.monotonically_increasing_id()),
-        "regions",
-    )
+    around = mapped(narrow(docs, id_col, text_col), search, "region string, hashes array<long>")
+    regions = written(around.withColumn("at", F.monotonically_increasing_id()), "regions")
     pairs = (
         regions.select("at", F.explode("hashes").alias("h"))
         .join(known.select("item_id", F.explode("hashes").alias("h")), "h")
@@ -235,11 +231,13 @@ def find_passages(
             yield out[out["distance"] <= most_edits * out["length"]]
 
     named = known.select(F.col("item_id").alias("of_item"), "item")
-    return (
+    candidates = (
         pairs.join(regions.drop("hashes"), "at")
         .join(named, F.col("item_id").eqNullSafe(F.col("of_item")))
         .select("doc_id", "item_id", "region", "item")
-        .mapInPandas(verify, "doc_id long, item_id string, distance long, length long")
+    )
+    return (
+        mapped(candidates, verify, "item_id string, distance long, length long")
         .groupBy("doc_id", "item_id")
         .agg(
             F.min("distance").alias("distance"),

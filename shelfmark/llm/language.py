@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import documents, held_out, narrow
+from shelfmark.llm.common import documents, held_out, mapped, narrow
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -215,7 +215,7 @@ def identify(docs: DataFrame, network: Network | None) -> DataFrame:
                     langs[k] = network.languages[b]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "lang_pred": langs, "score": scores})
 
-    return narrow(docs).mapInPandas(work, "doc_id long, lang_pred string, score double")
+    return mapped(narrow(docs), work, "lang_pred string, score double")
 
 
 def op6_language(spark, sf_dir: str) -> DataFrame:

@@ -11,11 +11,11 @@ Only the sampled rows' bucket counts come to the driver, and only the folded buc
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import documents, held_out, narrow
@@ -169,8 +169,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarray:
                 {
                     "doc_id": batch["doc_id"],
                     "label": batch["label"],
-                    "ids": [i.astype(np.int32) for i, _ in pairs],
-                    "counts": [c.astype(np.int32) for _, c in pairs],
+                    "ids": [i.astype(np.int32).tobytes() for i, _ in pairs],
+                    "counts": [c.astype(np.int32).tobytes() for _, c in pairs],
                 }
             )
 
@@ -178,28 +178,31 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarray:
     rows = (
         narrow(docs)
         .join(F.broadcast(chosen), "doc_id")
-        .mapInPandas(count, "doc_id long, label int, ids array<int>, counts array<int>")
+        .mapInPandas(count, "doc_id long, label int, ids binary, counts binary")
         .toPandas()
         .sort_values("doc_id", kind="stable")
     )
-    return train(list(zip(rows["ids"], rows["counts"], rows["label"], strict=True)))
+    return train(
+        [
+            (np.frombuffer(i, np.int32), np.frombuffer(c, np.int32), y)
+            for i, c, y in zip(rows["ids"], rows["counts"], rows["label"], strict=True)
+        ]
+    )
 
 
-def scored(docs: DataFrame, weights: np.ndarray, schema: str, text_at: str) -> DataFrame:
-    """The rows of ``docs`` with ``score`` appended; a null or empty text scores by the bias alone."""
-    sent = docs.sparkSession.sparkContext.broadcast(weights)
+def scorer(spark: SparkSession, weights: np.ndarray) -> Callable[[Column], Column]:
+    """A column function: the score of a text; a null or empty one scores by the bias alone."""
+    sent = spark.sparkContext.broadcast(weights)
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        weights = sent.value
-        table, bias = weights[:-1].astype(np.float32), weights[-1]
-        for batch in batches:
-            logits = np.full(len(batch), bias)
-            for k, text in enumerate(batch[text_at].tolist()):
-                if text:
-                    logits[k] += float(table[buckets(text.encode())].mean(dtype=np.float64))
-            yield batch.assign(score=1 / (1 + np.exp(-logits)))
+    def score(texts: pd.Series) -> pd.Series:
+        table, bias = sent.value[:-1].astype(np.float32), sent.value[-1]
+        logits = np.full(len(texts), bias)
+        for k, text in enumerate(texts.tolist()):
+            if text:
+                logits[k] += float(table[buckets(text.encode())].mean(dtype=np.float64))
+        return pd.Series(1 / (1 + np.exp(-logits)))
 
-    return docs.mapInPandas(score, schema)
+    return F.pandas_udf(score, "double")
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
@@ -208,23 +211,17 @@ def score_quality(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataF
     Null and empty texts score like a document without words. With nothing to learn from, every
     score is 0.5. Repeated rows score alike; an empty table gives no rows.
     """
-    rows = narrow(docs)
-    return scored(rows, fit(docs, labels), "doc_id long, text string, score double", "text").select(
-        "doc_id", "score", (F.col("score") >= cut).cast("int").alias("predicted")
+    score = scorer(docs.sparkSession, fit(docs, labels))
+    return (
+        narrow(docs)
+        .select("doc_id", score("text").alias("score"))
+        .select("doc_id", "score", (F.col("score") >= cut).cast("int").alias("predicted"))
     )
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
     """The rows that the classifier does not reject, with their columns, nothing shuffled."""
-    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
-    text = f"c{docs.columns.index('text')}"
-    schema = ", ".join(f"{n} {kind}" for n, kind in numbered.dtypes) + ", score double"
-    return (
-        scored(numbered, fit(docs, labels), schema, text)
-        .where(F.col("score") >= cut)
-        .drop("score")
-        .toDF(*docs.columns)
-    )
+    return docs.where(scorer(docs.sparkSession, fit(docs, labels))("text") >= cut)
 
 
 def op1_quality(spark, sf_dir: str) -> DataFrame:

@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
-import importlib
+from shelfmark.llm import (
+    bpe,
+    decontaminate,
+    exact_dedup,
+    language,
+    line_dedup,
+    personal,
+    quality,
+    simhash,
+    token_counts,
+    token_files,
+)
 
-MODULES = [
-    importlib.import_module(f"shelfmark.llm.{name}")
-    for name in (
-        "exact_dedup", "line_dedup", "bpe", "quality", "simhash", "decontaminate",
-        "token_files", "language", "personal",
-    )
-]
+MODULES = (
+    quality, token_counts, exact_dedup, line_dedup, bpe, language, decontaminate, token_files,
+    personal, simhash,
+)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 SQL = {name: sql for module in MODULES for name, sql in module.SQL.items()}

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import documents, narrow, only, written
+from shelfmark.llm.common import documents, mapped, narrow, only, written
 from shelfmark.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -65,7 +65,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             found = np.array([fingerprint(t) for t in batch["text"].tolist()], np.uint64)
             yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": found.view(np.int64)})
 
-    return narrow(docs, id_col, text_col).mapInPandas(work, "doc_id long, fp long")
+    return mapped(narrow(docs, id_col, text_col), work, "fp long")
 
 
 def _split(points: np.ndarray) -> tuple[np.uint64, int] | None:

@@ -247,7 +247,7 @@ def pack_documents(
         held: list[tuple[object, np.ndarray]] = []
 
         def block() -> pd.DataFrame:
-            known = np.array([d is not pd.NA and d == d and d is not None for d, _ in held], bool)
+            known = np.array([d is not None for d, _ in held], bool)
             numbers = np.array([int(d) if k else 0 for (d, _), k in zip(held, known, strict=True)], np.int64)
             ids = np.concatenate([i for _, i in held])
             packed = pack(numbers, known, ids, np.array([i.size for _, i in held]), names)
@@ -267,6 +267,7 @@ def pack_documents(
         narrow(docs, id_col, text_col)
         .repartitionByRange(F.col("doc_id").asc_nulls_first())
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
+        .select(F.col("doc_id").cast("string").alias("doc_id"), "text")
         .mapInPandas(work, "part int, seq int, n_ids long, block binary")
     )
 
