@@ -1,14 +1,14 @@
 """Personal data, and terms that give it away.
 
 Patterns find e-mail and IP addresses, card and phone numbers. The corpus then tells which words
-reveal such a value: over distinct lines, the pointwise mutual information of a word and a value near
-each other is compared with the information of the value itself. A word that holds at least
-``DISCLOSED`` of it, and was seen with it at least ``LEAST_TOGETHER`` times, is marked wherever it
-stands in a document with that value. Marked spans are generalised to their kind.
+reveal such a value: over all lines, the pointwise mutual information of a word and a value near each
+other is compared with the information of the value itself. A word that holds at least ``DISCLOSED``
+of it, and was seen with it in at least ``LEAST_TOGETHER`` different surroundings (copies are one), is
+marked wherever it stands in a document with that value. Marked spans are generalised to their kind.
 
 Everything is column functions and joins. Words near a value are taken from a bounded stretch, so the
-pairs grow with the number of values; they are counted before and after the shuffle, so that a value
-or word in very many lines is few rows when it meets. Copies of a line count once.
+pairs grow with the number of values; words are counted before they are shuffled and before they meet
+the pairs, so that a word or value in very many lines is one row of each task.
 """
 
 from __future__ import annotations
@@ -132,28 +132,23 @@ def _telling_words(
         based.where(F.size("base") > 0)
         .select("text", F.explode("base").alias("s"))
         .select(F.col("s.value").alias("value"), near.alias("near"))
-        .select("value", F.xxhash64("near").alias("where"), _terms(F.col("near")).alias("terms"))
-        .distinct()
+        .groupBy("value", "near")
+        .agg(F.count("*").alias("times"))
     )
-    values = meetings.groupBy("value").agg(F.count_distinct("where").alias("n_value")).where(F.col("n_value") >= together)
+    values = meetings.groupBy("value").agg(F.count("*").alias("apart"), F.sum("times").alias("n_value"))
+    values = values.where(F.col("apart") >= together).select("value", "n_value")
     pairs = (
         meetings.join(values.select("value"), "value", "left_semi")
-        .select("value", "where", F.explode("terms").alias("term"))
+        .select("value", "times", F.explode(_terms(F.col("near"))).alias("term"))
         .groupBy("value", "term")
-        .agg(F.count_distinct("where").alias("n_both"))
-        .where(F.col("n_both") >= together)
+        .agg(F.count("*").alias("apart"), F.sum("times").alias("n_both"))
+        .where(F.col("apart") >= together)
     )
     pairs = written(pairs, "pairs")
-    lines = rows.select(F.explode(F.split("text", "\n", -1)).alias("line")).select(
-        "line", F.xxhash64("line").alias("h")
-    )
-    words = (
-        lines.select("h", F.explode(_terms(F.col("line"))).alias("term"))
-        .join(pairs.select("term").distinct(), "term", "left_semi")
-        .groupBy("term")
-        .agg(F.count_distinct("h").alias("n_term"))
-    )
-    total = float(lines.agg(F.count_distinct("h")).first()[0])
+    lines = rows.select(F.explode(F.split("text", "\n", -1)).alias("line"))
+    words = lines.select(F.explode(_terms(F.col("line"))).alias("term")).groupBy("term")
+    words = words.agg(F.count("*").alias("n_term"))
+    total = float(lines.count())
     bits = F.log2(F.lit(total) * F.col("n_both") / (F.greatest("n_term", "n_both") * F.col("n_value")))
     own = F.log2(F.lit(total) / F.col("n_value"))
     return (
