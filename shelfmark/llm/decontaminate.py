@@ -14,6 +14,7 @@ whole item to any part of the region, by bit-parallel dynamic programming.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,7 +34,9 @@ SAMPLED = 20
 #: LEAST_ITEM are too short to count as passages.
 WINDOW = (12, 32)
 LEAST_ITEM = 24
+#: Bits of the Bloom filter, as a power of two, and of the blocks it is built in.
 BLOOM_BITS = 27
+BLOOM_BLOCK = 1 << 17
 AT_ONCE = 2 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xD6E8FEB86659FD93)
@@ -193,15 +196,30 @@ def find_passages(
     def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for hashes in batch["hashes"]:
-                both = np.concatenate(bloom_places(np.asarray(hashes, np.int64).view(np.uint64)))
-                yield pd.DataFrame({"byte": (both >> np.uint64(3)).astype(np.int32), "bits": np.left_shift(1, (both & np.uint64(7)).astype(np.int32))})
+                both = np.unique(np.concatenate(bloom_places(np.asarray(hashes, np.int64).view(np.uint64))))
+                yield pd.DataFrame({"block": (both // BLOOM_BLOCK).astype(np.int32), "bit": (both % BLOOM_BLOCK).astype(np.int32)})
 
-    set_bits = known.mapInPandas(places, "byte int, bits int").groupBy("byte").agg(F.bit_or("bits").alias("bits")).toPandas()
-    bloom = np.zeros(1 << (BLOOM_BITS - 3), np.uint8)
-    bloom[set_bits["byte"].to_numpy(np.int64)] = set_bits["bits"].to_numpy(np.int64).astype(np.uint8)
-    sent = docs.sparkSession.sparkContext.broadcast(bloom)
+    def filled(block: pd.DataFrame) -> pd.DataFrame:
+        bits = np.zeros(BLOOM_BLOCK, np.uint8)
+        bits[block["bit"]] = 1
+        packed = zlib.compress(np.packbits(bits, bitorder="little").tobytes(), 1)
+        return pd.DataFrame({"block": block["block"].head(1), "packed": [packed]})
+
+    blocks = (
+        known.mapInPandas(places, "block int, bit int")
+        .distinct()
+        .groupBy("block")
+        .applyInPandas(filled, "block int, packed binary")
+        .collect()
+    )
+    bloom = np.zeros((1 << BLOOM_BITS) // BLOOM_BLOCK * (BLOOM_BLOCK // 8), np.uint8).reshape(-1, BLOOM_BLOCK // 8)
+    for row in blocks:
+        bloom[row.block] = np.frombuffer(zlib.decompress(row.packed), np.uint8)
+    sent = docs.sparkSession.sparkContext.broadcast(zlib.compress(bloom.tobytes(), 1))
+    del bloom, blocks
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bloom = np.frombuffer(zlib.decompress(sent.value), np.uint8)
         for batch in batches:
             ids, texts, start = batch["doc_id"], batch["text"].tolist(), 0
             found: list[tuple] = []
@@ -210,7 +228,7 @@ def find_passages(
                 while start + len(some) < len(texts) and (not some or size < AT_ONCE):
                     some.append(normal(texts[start + len(some)]).encode())
                     size += len(some[-1])
-                for doc, region, hashes in _regions(some, walks, sent.value, reach):
+                for doc, region, hashes in _regions(some, walks, bloom, reach):
                     found.append((ids.iloc[start + doc], region, hashes.view(np.int64)))
                 start += len(some)
             yield pd.DataFrame(found, columns=["doc_id", "region", "hashes"])

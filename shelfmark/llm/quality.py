@@ -95,8 +95,10 @@ def _power_of(n: int) -> np.uint64:
     return _POWERS[n]
 
 
-def counted(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(buckets(data), return_counts=True)
+def shares(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct buckets of a text and what part of all each one makes up."""
+    found, counts = np.unique(buckets(data), return_counts=True)
+    return found.astype(np.int32), (counts / max(1, counts.sum())).astype(np.float16)
 
 
 def train(
@@ -107,18 +109,18 @@ def train(
 ) -> np.ndarray:
     """The folded weights: one number per bucket, and the bias at the end.
 
-    ``rows`` holds buckets, their counts, and the label of each document.
+    ``rows`` holds the buckets, their shares of the text, and the label of each document.
     """
     random = np.random.default_rng(seed)
     vectors = (random.random((BUCKETS, DIMENSIONS), np.float32) - 0.5) / DIMENSIONS
     output = np.zeros((DIMENSIONS, 2), np.float32)
     bias = np.zeros(2, np.float32)
-    known = [(i, (c / max(1, c.sum())).astype(np.float32), y) for i, c, y in rows]
-    steps = max(1, epochs * len(known))
+    steps = max(1, epochs * len(rows))
     done = 0
     for _ in range(epochs):
-        for k in random.permutation(len(known)):
-            ids, share, label = known[k]
+        for k in random.permutation(len(rows)):
+            ids, share, label = rows[k]
+            share = share.astype(np.float32)
             pace = np.float32(rate * (1 - done / steps))
             done += 1
             mean = share @ vectors[ids]
@@ -164,13 +166,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarray:
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            pairs = [counted(t.encode()) for t in batch["text"]]
+            pairs = [shares(t.encode()) for t in batch["text"]]
             yield pd.DataFrame(
                 {
                     "doc_id": batch["doc_id"],
                     "label": batch["label"],
-                    "ids": [i.astype(np.int32).tobytes() for i, _ in pairs],
-                    "counts": [c.astype(np.int32).tobytes() for _, c in pairs],
+                    "ids": [i.tobytes() for i, _ in pairs],
+                    "shares": [s.tobytes() for _, s in pairs],
                 }
             )
 
@@ -178,14 +180,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarray:
     rows = (
         narrow(docs)
         .join(F.broadcast(chosen), "doc_id")
-        .mapInPandas(count, "doc_id long, label int, ids binary, counts binary")
+        .mapInPandas(count, "doc_id long, label int, ids binary, shares binary")
         .toPandas()
         .sort_values("doc_id", kind="stable")
     )
     return train(
         [
-            (np.frombuffer(i, np.int32), np.frombuffer(c, np.int32), y)
-            for i, c, y in zip(rows["ids"], rows["counts"], rows["label"], strict=True)
+            (np.frombuffer(i, np.int32), np.frombuffer(s, np.float16), y)
+            for i, s, y in zip(rows["ids"], rows["shares"], rows["label"], strict=True)
         ]
     )
 
