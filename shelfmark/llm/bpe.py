@@ -6,7 +6,8 @@ parts of its word and, beside it, the merge ranks of adjacent parts. Each step f
 rank of every row, merges there, deletes one boundary and refreshes the two ranks next to it. As a
 step takes one part from every row that goes on, the rows stay contiguous and of one length.
 
-Long words, where repeated scans would take quadratic time, use a heap of the same ranks.
+Long words, where repeated scans would take quadratic time, and a few words by themselves, where
+matrices do not pay, use a heap of the same ranks.
 """
 
 from __future__ import annotations
@@ -40,6 +41,7 @@ CHUNK = re.compile(
 )
 PLAIN = re.compile(f" ?[{LATIN}]+| ?[{MARKS}]+")
 LONG_WORD = 200
+FEW_WORDS = 16
 NO_RANK = np.int32(2**31 - 1)
 #: Remembered chunks of a worker, and characters of text taken at once; both bound memory only.
 REMEMBERED = 600_000
@@ -175,6 +177,8 @@ class Bpe:
 
     def encode_words(self, words: list[bytes]) -> list[np.ndarray]:
         """Ids of each pre-token, given as its bytes."""
+        if len(words) < FEW_WORDS:
+            return [self._long(word) for word in words]
         found: list[np.ndarray] = [np.empty(0, np.int32)] * len(words)
         lengths: dict[int, list[int]] = {}
         for i, word in enumerate(words):

@@ -21,6 +21,8 @@ from shelfmark.llm.common import documents, mapped, narrow
 
 #: Characters behind its end that decide where a segment ends.
 AHEAD = 2
+#: Documents whose new chunks are encoded together.
+AT_ONCE = 800
 EDITS = "array<struct<start:long,stop:long,text:string>>"
 
 
@@ -143,8 +145,8 @@ def build_trees(docs: DataFrame, path: str, edits: DataFrame | None = None) -> D
         for batch in batches:
             chars, tokens = [], []
             texts = batch["text"].tolist()
-            for start in range(0, len(texts), 200):
-                cut = [CHUNK.findall(t) for t in texts[start : start + 200]]
+            for start in range(0, len(texts), AT_ONCE):
+                cut = [CHUNK.findall(t) for t in texts[start : start + AT_ONCE]]
                 bpe.learn({c for chunks in cut for c in chunks})
                 known = bpe.known
                 for chunks in cut:
