@@ -9,6 +9,7 @@ end falls where one was; from there on nothing can differ. Sums are then updated
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -92,30 +93,35 @@ class CountTree:
             end = begin + len(text)
             region = text[: start - begin] + new + text[stop - begin :]
             segments = CHUNK.findall(region)
-            ends = np.cumsum([len(s) for s in segments], dtype=np.int64)
+            ends = list(accumulate(map(len, segments)))
             if end == total:
                 taken, stays = len(segments), len(old)
                 break
-            were = np.cumsum([len(s) for s in old], dtype=np.int64)
             shift = len(new) - (stop - start)
-            # ends of segments that lie behind the edit, where one ended before, and that are certain
-            good = (ends >= start - begin + len(new)) & (ends + AHEAD <= len(region)) & np.isin(ends - shift, were)
-            if good.any():
-                taken = int(good.argmax()) + 1
-                stays = int(np.searchsorted(were, ends[taken - 1] - shift, side="right"))
+            were = {place + shift: n for n, place in enumerate(accumulate(map(len, old)), 1)}
+            # the first end that lies behind the edit, where a segment ended before, and that is certain
+            behind = start - begin + len(new)
+            taken = next((n for n, e in enumerate(ends, 1) if behind <= e <= len(region) - AHEAD and e in were), 0)
+            if taken:
+                stays = were[ends[taken - 1]]
                 break
             more = range(last + 1, min(last + 1 + step, self.n))
             old += [self.segment(k) for k in more]
             last, step = more[-1], 2 * step
         segments = segments[:taken]
-        bpe.learn(set(segments))
+        if not all(s in bpe.known for s in segments):
+            bpe.learn(set(segments))
         self.reencoded += sum(map(len, segments))
         self._set(first, "".join(segments), sum(len(bpe.known[s]) for s in segments) // 4)
         for k in range(first + 1, first + stays):
             self._set(k, "", 0)
 
     def whole(self) -> str:
-        return "".join(self.segment(k) for k in range(self.n))
+        parts, at = [], 0
+        for k in sorted(self.changed):
+            parts += [self.text[at : self.begins[k]], self.changed[k]]
+            at = self.begins[k + 1] if k + 1 < len(self.begins) else len(self.text)
+        return "".join([*parts, self.text[at:]])
 
 
 def build_trees(docs: DataFrame, path: str, edits: DataFrame | None = None) -> DataFrame:
