@@ -8,7 +8,7 @@ end falls where one was; from there on nothing can differ. Sums are then updated
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -22,8 +22,9 @@ from shelfmark.llm.common import documents, mapped, narrow
 
 #: Characters behind its end that decide where a segment ends.
 AHEAD = 2
-#: Documents whose new chunks are encoded together.
-AT_ONCE = 800
+#: Characters of the documents whose new chunks are encoded together; bounds memory only.
+AT_ONCE = 1_000_000
+COUNTS = ("n_tokens_before", "n_tokens", "n_edits", "n_segments", "n_chars_reencoded")
 EDITS = "array<struct<start:long,stop:long,text:string>>"
 
 
@@ -124,12 +125,8 @@ class CountTree:
         return "".join([*parts, self.text[at:]])
 
 
-def build_trees(docs: DataFrame, path: str, edits: DataFrame | None = None) -> DataFrame:
-    """One row per row of ``docs``: doc_id, text, its segments' lengths and token counts, and edits.
-
-    ``edits`` (doc_id, seq, start, stop, text) is gathered per document in the order of ``seq``; an
-    ``edits`` column of ``docs`` is taken where there is no such table. A null text is empty.
-    """
+def _with_edits(docs: DataFrame, edits: DataFrame | None) -> DataFrame:
+    """doc_id, text and the edits of each row, from a table of edits or a column of ``docs``."""
     rows = narrow(docs)
     if edits is not None:
         gathered = edits.groupBy(F.col("doc_id").alias("of_id")).agg(
@@ -140,38 +137,43 @@ def build_trees(docs: DataFrame, path: str, edits: DataFrame | None = None) -> D
                 ),
             ).alias("edits")
         )
-        rows = rows.join(gathered, F.col("doc_id").eqNullSafe(F.col("of_id")), "left").drop("of_id")
-    elif "edits" in docs.columns:
-        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.col("edits").cast(EDITS).alias("edits"))
-    else:
-        rows = rows.withColumn("edits", F.array().cast(EDITS))
+        return rows.join(gathered, F.col("doc_id").eqNullSafe(F.col("of_id")), "left").drop("of_id")
+    if "edits" in docs.columns:
+        return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.col("edits").cast(EDITS).alias("edits"))
+    return rows.withColumn("edits", F.array().cast(EDITS))
 
+
+def _groups(texts: list[str]) -> Iterator[slice]:
+    """Neighbouring texts of up to ``AT_ONCE`` characters, a longer text by itself."""
+    start, size = 0, 0
+    for end, text in enumerate(texts):
+        if end > start and size + len(text) > AT_ONCE:
+            yield slice(start, end)
+            start, size = end, 0
+        size += len(text)
+    if texts:
+        yield slice(start, len(texts))
+
+
+def _building(path: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = load(path)
         for batch in batches:
-            chars, tokens = [], []
-            texts = batch["text"].tolist()
-            for start in range(0, len(texts), AT_ONCE):
-                cut = [CHUNK.findall(t) for t in texts[start : start + AT_ONCE]]
+            for part in _groups(batch["text"].tolist()):
+                rows, chars, tokens = batch.iloc[part], [], []
+                cut = [CHUNK.findall(t) for t in rows["text"].tolist()]
                 bpe.learn({c for chunks in cut for c in chunks})
                 known = bpe.known
                 for chunks in cut:
                     chars.append(_packed(np.array([len(c) for c in chunks], np.int64)))
                     tokens.append(_packed(np.array([len(known[c]) for c in chunks], np.int64) // 4))
-            yield batch.assign(chars=chars, tokens=tokens)
+                yield rows.assign(chars=chars, tokens=tokens)
 
-    return mapped(rows, build, f"text string, edits {EDITS}, chars binary, tokens binary")
+    return build
 
 
-def apply_edits(trees: DataFrame, path: str) -> DataFrame:
-    """One row per tree: doc_id, text after its edits, and counts.
-
-    ``n_tokens_before`` and ``n_tokens`` count the tokens of the text before and after, special
-    tokens' strings being ordinary text; ``n_segments`` the segments before, ``n_chars_reencoded`` what
-    was encoded anew. Edits apply one after the other, each to the text the last one left; places
-    beyond the text are moved to its ends, an edit without a place is left out, and one without a
-    text deletes. Repeated rows are edited alike; an empty table gives no rows.
-    """
+def _editing(path: str, with_text: bool) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    names = ["doc_id", *["text"] * with_text, *COUNTS]
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = load(path)
@@ -187,13 +189,45 @@ def apply_edits(trees: DataFrame, path: str) -> DataFrame:
                     if not (pd.isna(place) or pd.isna(stop)):
                         tree.edit(int(place), int(stop), edit["text"] or "", bpe)
                         done += 1
-                text = tree.whole() if done else text
-                out.append((doc, text, before, int(tree.tokens[1]), done, len(tree.begins) - 1, tree.reencoded))
+                counts = (before, int(tree.tokens[1]), done, len(tree.begins) - 1, tree.reencoded)
+                out.append((doc, *[tree.whole()] * with_text, *counts))
             yield pd.DataFrame(out, columns=names)
 
-    names = ["doc_id", "text", "n_tokens_before", "n_tokens", "n_edits", "n_segments", "n_chars_reencoded"]
-    schema = "text string, " + ", ".join(f"{n} long" for n in names[2:])
-    return mapped(trees, work, schema)
+    return work
+
+
+def build_trees(docs: DataFrame, path: str, edits: DataFrame | None = None) -> DataFrame:
+    """One row per row of ``docs``: doc_id, text, its segments' lengths and token counts, and edits.
+
+    ``edits`` (doc_id, seq, start, stop, text) is gathered per document in the order of ``seq``; an
+    ``edits`` column of ``docs`` is taken where there is no such table. A null text is empty.
+    """
+    return mapped(
+        _with_edits(docs, edits), _building(path), f"text string, edits {EDITS}, chars binary, tokens binary"
+    )
+
+
+def apply_edits(trees: DataFrame, path: str) -> DataFrame:
+    """One row per tree: doc_id, text after its edits, and counts.
+
+    ``n_tokens_before`` and ``n_tokens`` count the tokens of the text before and after, special
+    tokens' strings being ordinary text; ``n_segments`` the segments before, ``n_chars_reencoded`` what
+    was encoded anew. Edits apply one after the other, each to the text the last one left; places
+    beyond the text are moved to its ends, an edit without a place is left out, and one without a
+    text deletes. Repeated rows are edited alike; an empty table gives no rows.
+    """
+    schema = "text string, " + ", ".join(f"{n} long" for n in COUNTS)
+    return mapped(trees, _editing(path, with_text=True), schema)
+
+
+def recount(docs: DataFrame, path: str, edits: DataFrame | None = None) -> DataFrame:
+    """The counts of ``apply_edits`` over ``build_trees``, without texts.
+
+    Trees are made and edited in the same task, so that they need not leave it.
+    """
+    build, edit = _building(path), _editing(path, with_text=False)
+    schema = ", ".join(f"{n} long" for n in COUNTS)
+    return mapped(_with_edits(docs, edits), lambda batches: edit(build(batches)), schema)
 
 
 def some_edits() -> Column:
@@ -212,9 +246,7 @@ def some_edits() -> Column:
 def op2_token_counts(spark, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
     docs = documents(spark, sf_dir).select("doc_id", "text", some_edits().alias("edits"))
-    return apply_edits(build_trees(docs, path), path).select(
-        "doc_id", "n_tokens_before", "n_tokens", "n_edits", "n_segments", "n_chars_reencoded"
-    )
+    return recount(docs, path)
 
 
 QUERIES = {"op2_token_counts": op2_token_counts}

@@ -198,6 +198,8 @@ def test_token_counts(spark, docs, none):
         assert r.n_tokens == len(library.encode(r.text, add_special_tokens=False).ids)
     assert len(got) == len(AWKWARD) and max(r.n_chars_reencoded for r in got) < 100
     assert token_counts.apply_edits(token_counts.build_trees(none, path), path).count() == 0
+    counts = sorted(map(str, token_counts.recount(docs, path, edits).collect()))
+    assert counts == sorted(str(type(r)(**{k: v for k, v in r.asDict().items() if k != "text"})) for r in got)
 
 
 def brute_fingerprint(text):
