@@ -16,6 +16,9 @@ NAME = "{name}"
 NAME_IN_PATH = r"([\w\-]+)"
 NAME_IN_MATCH = "(.*)"
 NAME_IN_INVERSE = "(.+)"
+# Fixed value: what an index may be called.
+INDEX_NAME = r"[\w\-@$.]+"
+INDEX_NAME_CHARS = 255
 # Fixed value: the extension hidden in document paths, all lower or all upper case.
 CONTENT_EXTENSION = r"\.(?:psml|PSML)$"
 
@@ -107,7 +110,7 @@ def is_excluded(path: Column, patterns: Sequence[str], below: bool = True) -> Co
 def valid_index_name(name: Column) -> Column:
     """Word characters and ``- @ $ .`` only, 255 characters at most, never null."""
     return F.coalesce(
-        (F.length(name) <= 255) & full_match(name, r"[\w\-@$.]+"), F.lit(False)
+        (F.length(name) <= INDEX_NAME_CHARS) & full_match(name, INDEX_NAME), F.lit(False)
     )
 
 

@@ -16,6 +16,9 @@ DATE_FORMS = (
     (r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})(\d{2})(?:\d{3})?$", "$1-$2-$3T$4:$5:$6Z"),
 )
 PREVIEW_CHARS = 100
+# As XML's grammar has them: ``<?xml … ?>``; ``<!DOCTYPE name external-id [ subset ] >``.
+XML_DECLARATION = r"<\?xml\b[^?]*\?>"
+DOCTYPE = r"<!DOCTYPE\s[^\[>]*(?:\[[^\]]*\]\s*)?>"
 
 
 def _date_shape(value: Column) -> Column:
@@ -45,8 +48,8 @@ def truncate_text(value: Column, size: int = PREVIEW_CHARS) -> Column:
 
 
 def strip_xml_prolog(xml: Column) -> Column:
-    """Remove XML and document type declarations."""
-    return F.regexp_replace(xml, r"<(?:!DOCTYPE|\?xml)[^>]+>", "")
+    """Remove XML and document type declarations, an internal subset (``[…]``) included."""
+    return F.regexp_replace(xml, XML_DECLARATION + "|" + DOCTYPE, "")
 
 
 def _pairs(text: Column) -> Column:

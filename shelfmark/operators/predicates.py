@@ -21,8 +21,8 @@ from shelfmark.operators.build import IndexTables
 from shelfmark.operators.scoring import HIT, bm25, score_hits, score_stats, term_rows
 
 
-# Terms a fuzzy clause may name in a filter; with more of them it joins the dictionary instead.
-MAX_EXPANSION = 1000
+# Clauses a column of bits can tell apart.
+BITS = 62
 
 
 class Predicate:
@@ -160,10 +160,8 @@ class Fuzzy(Predicate):
     def hits(self, idx: IndexTables, scored: bool = True) -> DataFrame:
         near = near_terms(idx, self.field, self.term, self.edits).select("term").distinct()
         rows = idx.postings.where(F.col("field") == self.field).select(*HIT, "term")
-        few = near.take(MAX_EXPANSION + 1)
-        if len(few) <= MAX_EXPANSION:
-            # Usual case: the terms become part of the scan's filter, and no posting is shuffled.
-            return _constant(rows.where(F.col("term").isin([r["term"] for r in few])), unique=False)
+        # The near terms are a slice of the dictionary; adaptive execution sends them to every task
+        # where their size allows.
         return _constant(rows.join(near, "term", "left_semi"), unique=False)
 
 
@@ -208,53 +206,66 @@ class Combined(Predicate):
     def hits(self, idx: IndexTables, scored: bool = True) -> DataFrame:
         if not self.must and not self.should and not self.filters:
             return Nothing().hits(idx)
-        # Every clause has a bit, also one that is given twice.
-        roles = [
-            (clause, role)
-            for role in ("must", "filters", "should", "must_not")
-            for clause in getattr(self, role)
-        ]
-        if len(roles) > 62:
-            raise ValueError("at most 62 clauses in one combination; nest the rest")
-        masks = dict.fromkeys(("must", "filters", "should", "must_not"), 0)
+        # All optional clauses share one place and all forbidden ones another; a required clause has
+        # its own, which a term given twice shares. Places beyond a column of bits go to the next.
         terms: dict[tuple[str, str], list[tuple[int, float]]] = {}
-        tagged = []
-        for i, (clause, role) in enumerate(roles):
-            bit = 1 << i
-            masks[role] |= bit
-            weight = 1.0 if scored and role in ("must", "should") else 0.0
-            while isinstance(clause, Boost):
-                clause, weight = clause.inner, weight * clause.weight
-            if isinstance(clause, Term):
-                terms.setdefault((clause.field, clause.term), []).append((bit, weight))
-                continue
-            tagged.append(
-                clause.hits(idx, scored=weight != 0).select(
-                    *HIT,
-                    F.lit(bit).cast("long").alias("bits"),
-                    (F.col("score") * weight).alias("score"),
-                )
+        others: list[tuple[Predicate, int, float]] = []
+        required: dict[object, int] = {}
+        for role in ("must", "filters", "should", "must_not"):
+            for given in getattr(self, role):
+                clause, weight = given, 1.0 if scored and role in ("must", "should") else 0.0
+                while isinstance(clause, Boost):
+                    clause, weight = clause.inner, weight * clause.weight
+                single = isinstance(clause, Term)
+                key = (clause.field, clause.term) if single else len(required)
+                if role in ("must", "filters"):
+                    place = required.setdefault(key, len(required) + 2)
+                else:
+                    place = 0 if role == "should" else 1
+                if single:
+                    terms.setdefault(key, []).append((place, weight))
+                else:
+                    others.append((clause, place, weight))
+        columns = (len(required) + 1) // BITS + 1
+        tagged = [
+            clause.hits(idx, scored=weight != 0).select(
+                *HIT,
+                *[b.alias(f"bits{n}") for n, b in enumerate(_bit_columns([place], columns))],
+                (F.col("score") * weight).alias("score"),
             )
-        must = masks["must"] | masks["filters"]
+            for clause, place, weight in others
+        ]
         if terms:
-            tagged.insert(0, _tagged_terms(idx, terms))
-        seen = F.col("seen")
-        keep = seen.bitwiseAND(F.lit(masks["must_not"])) == 0
-        if must:
-            keep = keep & (seen.bitwiseAND(F.lit(must)) == must)
+            tagged.insert(0, _tagged_terms(idx, terms, columns))
+        forbidden = F.col("seen0").bitwiseAND(F.lit(2)) != 0
+        if required:
+            keep = ~forbidden
+            for n, wanted in enumerate(_bit_columns(list(required.values()), columns)):
+                keep = keep & (F.col(f"seen{n}").bitwiseAND(wanted) == wanted)
         else:
-            keep = keep & (seen.bitwiseAND(F.lit(masks["should"])) != 0)
+            keep = ~forbidden & (F.col("seen0").bitwiseAND(F.lit(1)) != 0)
         return (
             reduce(DataFrame.unionByName, tagged)
             .groupBy(*HIT)
-            .agg(F.bit_or("bits").alias("seen"), F.sum("score").alias("score"))
+            .agg(
+                *[F.bit_or(f"bits{n}").alias(f"seen{n}") for n in range(columns)],
+                F.sum("score").alias("score"),
+            )
             .where(keep)
             .select(*HIT, "score")
         )
 
 
+def _bit_columns(places: Sequence[int], columns: int) -> list[Column]:
+    """The places as bits, one number per column of bits."""
+    masks = [0] * columns
+    for place in places:
+        masks[place // BITS] |= 1 << place % BITS
+    return [F.lit(mask).cast("long") for mask in masks]
+
+
 def _tagged_terms(
-    idx: IndexTables, terms: dict[tuple[str, str], list[tuple[int, float]]]
+    idx: IndexTables, terms: dict[tuple[str, str], list[tuple[int, float]]], columns: int
 ) -> DataFrame:
     """All single-term clauses in one scan: each row with the clauses it meets and its score."""
     pairs = list(terms)
@@ -263,13 +274,18 @@ def _tagged_terms(
         scored = score_hits(rows, score_stats(idx, pairs))
     else:
         scored = rows.withColumn("score", F.lit(0.0))
-    met, weight = F.lit(0).cast("long"), F.lit(0.0)
+    # One flat choice per column, however many terms there are.
+    chosen = [F] * (columns + 1)
     for (name, term), uses in terms.items():
         here = (F.col("field") == name) & (F.col("term") == term)
-        mask = reduce(lambda x, y: x | y, [bit for bit, _ in uses])
-        met = F.when(here, F.lit(mask).cast("long")).otherwise(met)
-        weight = F.when(here, F.lit(sum(w for _, w in uses))).otherwise(weight)
-    return scored.select(*HIT, met.alias("bits"), (F.col("score") * weight).alias("score"))
+        values = [*_bit_columns([place for place, _ in uses], columns), F.lit(sum(w for _, w in uses))]
+        chosen = [so_far.when(here, value) for so_far, value in zip(chosen, values, strict=True)]
+    *met, weight = chosen
+    return scored.select(
+        *HIT,
+        *[m.otherwise(F.lit(0).cast("long")).alias(f"bits{n}") for n, m in enumerate(met)],
+        (F.col("score") * weight.otherwise(F.lit(0.0))).alias("score"),
+    )
 
 
 class P:

@@ -12,7 +12,6 @@ from shelfmark.operators.build import IndexTables
 from shelfmark.operators.definitions import IndexDefinition, definition_name
 
 RECENT_BATCHES = 200
-MANY_DOCUMENTS = 1000
 
 
 def visible_fields(df: DataFrame, column: str = "field") -> DataFrame:
@@ -84,30 +83,24 @@ def document_preview(
 ) -> DataFrame:
     """One row per field value of the document at ``path``, or of every document."""
     keys = ["index_name", "doc_id"]
-    chosen = docs.select(*keys, "_path")
+    chosen = docs.select(*keys, F.col("_path").alias("path"))
     if path is not None:
-        chosen = chosen.where(F.col("_path") == path)
-        # Few documents share a path: naming them in the filter of the scan spares the join's
-        # shuffle of all fields. Many of them are joined all the same.
-        few = chosen.select(*keys).take(MANY_DOCUMENTS)
-        if len(few) < MANY_DOCUMENTS:
-            fields = fields.where(
-                F.col("index_name").isin(sorted({r["index_name"] for r in few}))
-                & F.col("doc_id").isin([r["doc_id"] for r in few])
-            )
-    fields = fields.join(chosen, keys)
-    shown = fields.withColumn("shown", date_iso(F.col("field"), F.col("value")))
-    return shown.select(
-        "index_name",
-        F.col("_path").alias("path"),
+        chosen = chosen.where(F.col("path") == path)
+    # Texts are cut before they meet the documents, so that no whole text is shuffled.
+    shown = truncate_text(date_iso(F.col("field"), F.col("value")))
+    short = fields.select(
+        *keys,
         "field",
         "ord",
         date_kind(F.col("field"), F.col("value")).alias("date_kind"),
         "boost",
         "stored",
         "tokenized",
-        truncate_text(F.col("shown")).alias("cut"),
-    ).select("*", "cut.text", "cut.truncated").drop("cut")
+        shown.alias("cut"),
+    )
+    return short.join(chosen, keys).select(
+        "index_name", "path", "field", "ord", "date_kind", "boost", "stored", "tokenized", "cut.text", "cut.truncated"
+    )
 
 
 def batch_stats(batches: DataFrame) -> DataFrame:

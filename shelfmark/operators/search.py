@@ -12,8 +12,6 @@ from shelfmark.operators.predicates import P, Predicate, clauses
 from shelfmark.operators.scoring import HIT, SCORE_DECIMALS
 
 PAGE_SIZE = 100
-# A page of at most this many rows is small enough to send to every task.
-BROADCAST_PAGE_ROWS = 50_000
 NUMERIC = ("int", "long", "float", "double")
 
 
@@ -39,7 +37,9 @@ def sort_order(
     reverse = sort.startswith("-")
     name = sort.removeprefix("-")
     value = F.col("value").try_cast(kind) if kind in NUMERIC else F.col("value")
+    # Only values of documents hit are kept, so that hits are what is built and shuffled.
     keys = idx.fields.where(F.col("field") == name).select(*HIT, value.alias("sort_value"))
+    keys = keys.join(hits.select(*HIT), HIT, "left_semi")
     if idx.is_repeated(name):
         keys = keys.groupBy(*HIT).agg(F.min("sort_value").alias("sort_value"))
     joined = hits.join(keys, HIT, "left")
@@ -61,12 +61,9 @@ def paging(
     return best.withColumn("rank", rank)
 
 
-def hits_to_documents(
-    page: DataFrame, docs: DataFrame, rows: int | None = None
-) -> DataFrame:
-    """Stored columns of the documents hit. ``rows`` is the known size of the page, if any."""
-    small = rows is not None and rows <= BROADCAST_PAGE_ROWS
-    return docs.join(F.broadcast(page) if small else page, HIT)
+def hits_to_documents(page: DataFrame, docs: DataFrame) -> DataFrame:
+    """Stored columns of the documents hit. A page is sent to every task if its bytes allow."""
+    return docs.join(page, HIT)
 
 
 def after_hit(hits: DataFrame, score: float, index_name: str, doc_id: object) -> DataFrame:

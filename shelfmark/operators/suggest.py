@@ -18,7 +18,7 @@ from shelfmark.operators.build import IndexTables
 from shelfmark.operators.definitions import Suggester
 from shelfmark.operators.predicates import P, condition
 from shelfmark.operators.scoring import HIT
-from shelfmark.operators.search import BROADCAST_PAGE_ROWS, find, paging, sort_order
+from shelfmark.operators.search import find, paging, sort_order
 from shelfmark.sources.store import written_once
 
 RESULTS = 10
@@ -79,28 +79,22 @@ def term_candidates(idx: IndexTables, fields: Sequence[str], weights: dict[str,
 
 
 def value_candidates(idx: IndexTables, fields: Sequence[str], weights: dict[str, float]) -> DataFrame:
-    """(text, weight, index_name, doc_id): whole field values."""
-    return idx.fields.where(F.col("field").isin(list(fields))).select(
+    """(text, weight, index_name, doc_id): whole field values that are stored."""
+    return idx.fields.where(F.col("field").isin(list(fields)) & F.col("stored")).select(
         F.col("value").alias("text"),
         field_weight(F.col("field"), weights).alias("weight"),
         *HIT,
     )
 
 
-def return_fields(
-    hits: DataFrame, fields: DataFrame, names: Sequence[str], rows: int | None = None
-) -> DataFrame:
-    """All values of the asked-for fields of each hit: one row per hit and value.
-
-    ``rows`` is the known number of hits, if any; only a small page is sent to every task.
-    """
-    small = rows is not None and rows <= BROADCAST_PAGE_ROWS
-    wanted = fields.where(F.col("field").isin(list(names))).select(*HIT, "field", "ord", "value")
-    return wanted.join(F.broadcast(hits) if small else hits, HIT)
+def return_fields(hits: DataFrame, fields: DataFrame, names: Sequence[str]) -> DataFrame:
+    """All stored values of the asked-for fields of each hit: one row per hit and value."""
+    asked = F.col("field").isin(list(names)) & F.col("stored")
+    return fields.where(asked).select(*HIT, "field", "ord", "value").join(hits, HIT)
 
 
 def suggestion_documents(
-    suggestions: DataFrame, idx: IndexTables, names: Sequence[str], rows: int | None = None
+    suggestions: DataFrame, idx: IndexTables, names: Sequence[str]
 ) -> DataFrame:
     """Each suggestion as a row without a field, then a row per field value of its document.
 
@@ -113,7 +107,7 @@ def suggestion_documents(
             "value": F.lit(None).cast("string"),
         }
     )
-    return own.unionByName(return_fields(suggestions, idx.fields, names, rows))
+    return own.unionByName(return_fields(suggestions, idx.fields, names))
 
 
 def suggest(
@@ -153,7 +147,7 @@ def _complete(
     top = top_suggestions(best, results).withColumn("highlight", highlight(F.col("text"), typed))
     if not returned or use_terms:
         return top
-    return suggestion_documents(top, idx, returned, rows=results)
+    return suggestion_documents(top, idx, returned)
 
 
 def build_suggester(idx: IndexTables, suggester: Suggester) -> DataFrame:

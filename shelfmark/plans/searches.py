@@ -117,7 +117,7 @@ def repeated_field_phrase(spark, sf_dir):
 def hits_to_documents(spark, sf_dir):
     idx = documents(spark, sf_dir)
     page = search.term_search(idx, "fulltext", "ha", results=50)
-    return search.hits_to_documents(page, idx.docs, rows=50).select(
+    return search.hits_to_documents(page, idx.docs).select(
         "rank", "doc_id", "index_name", "_src", "_path", "lang", "source", "n_chars"
     )
 
@@ -215,7 +215,7 @@ def write_results(spark, sf_dir):
 
     idx = documents(spark, sf_dir)
     page = search.term_search(idx, "fulltext", "from")
-    results = search.hits_to_documents(page, idx.docs, rows=search.PAGE_SIZE).select(
+    results = search.hits_to_documents(page, idx.docs).select(
         "rank",
         "score",
         F.struct("index_name", "doc_id", "lang", "source").alias("document"),

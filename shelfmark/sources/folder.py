@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfmark.functions import paths
 from shelfmark.functions.analysis import Analyzer, analyze_standard
@@ -19,13 +22,9 @@ from shelfmark.sources.files import (
     CREATOR,
     list_folder,
     parse_documents,
-    plain_path,
     plain_root,
 )
 
-# Up to this many changed files are named to the reader, so that no other content is read.
-NAMED_FILES = 10_000
-
 # Content (index_name, _src, content) -> value rows; one file may give several documents.
 Mapping = Callable[[DataFrame], DataFrame]
 
@@ -39,23 +38,39 @@ def index_documents(content: DataFrame) -> DataFrame:
     ).select("_src", *VALUE_COLUMNS)
 
 
+def _open(name: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a plain path or a URI (hdfs, s3, gs and the others that Arrow knows)."""
+    if "://" not in name:
+        return fs.LocalFileSystem(), name
+    return fs.FileSystem.from_uri(name.replace("s3a://", "s3://", 1))
+
+
+def _contents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        # A file at a time, so that a task holds no more than one content.
+        for n, name in enumerate(batch["_src"].tolist()):
+            system, path = _open(name)
+            info = system.get_file_info(path)
+            if info.type != fs.FileType.File:
+                continue
+            try:
+                with system.open_input_stream(path) as file:
+                    content = file.read()
+            except FileNotFoundError:
+                continue
+            modified = pd.Timestamp(info.mtime_ns // 1_000_000, unit="ms")
+            yield batch.iloc[[n]].assign(modificationTime=modified, content=[content])
+
+
 def read_files(spark: SparkSession, root: str, wanted: DataFrame) -> DataFrame:
-    """Content of the files named in ``wanted`` (index_name, _src) that are there."""
-    few = wanted.select("_src").distinct().take(NAMED_FILES + 1)
-    if not few:
-        return wanted.where(F.lit(False)).select(
-            "*", F.lit(None).cast("timestamp").alias("modificationTime"), F.lit(b"").alias("content")
-        )
-    reader = spark.read.format("binaryFile")
-    if len(few) <= NAMED_FILES:
-        named = [r["_src"] for r in few]
-        # Files gone since they were listed are passed over.
-        files = reader.option("ignoreMissingFiles", "true").load(named)
-    else:
-        files = reader.option("recursiveFileLookup", "true").load(root)
-    return files.select(
-        plain_path(F.col("path")).alias("_src"), "modificationTime", "content"
-    ).join(wanted, "_src")
+    """Content of the files named in ``wanted`` (index_name, _src) that are there.
+
+    Names stay rows, dealt over tasks that open one file after the other; whatever their number,
+    nothing else is read, a name is not taken for a pattern, and a file that is gone gives no row.
+    """
+    names = wanted.select("_src", "index_name")
+    schema = T.StructType(names.schema.fields).add("modificationTime", "timestamp").add("content", "binary")
+    return names.repartition("_src").mapInPandas(_contents, schema)
 
 
 def present(
@@ -117,7 +132,9 @@ def index_folder(
             F.lit(b"").alias("content"),
         )
         index = store.write_index(spark, path, *present(nothing, root, mapping), name, analyzer)
-    existing = index.docs.select("_src", "_lastmodified").distinct()
+    # Other definitions may keep indexes of the same files here; these are not looked at.
+    own = index.docs.where(definition.matches_name(F.col("index_name")))
+    existing = own.groupBy("_src").agg(F.min("_lastmodified").alias("_lastmodified"))
     accepted = paths.file_filter(
         F.col("rel"), definition.files_include, definition.files_exclude
     )
@@ -139,7 +156,7 @@ def index_folder(
         docs, values = present(content, root, mapping, f"{run}/values")
         computed = time.time()
         store.append_batch(spark, path, run, touched, docs, values, name, analyzer)
-        store.record_batch(spark, path, run, begun, computed)
+        store.record_batch(spark, path, run, begun, computed, touched)
     return diff
 
 

@@ -9,6 +9,7 @@ up the versions gives the counts of the live documents. A version counts once it
 from __future__ import annotations
 
 import json
+import re
 import time
 import uuid
 from collections.abc import Callable, Sequence
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from shelfmark.functions import paths
 from shelfmark.functions.analysis import Analyzer, analyze_standard
 from shelfmark.operators import build
 from shelfmark.operators.build import IndexTables
@@ -191,11 +193,18 @@ def _write_manifest(
     ).write.mode("overwrite").json(f"{path}/manifest/version={version}")
 
 
+def _only_absent(error: AnalysisException) -> None:
+    """A table that is not there yet is no fault; anything else that hinders reading is one."""
+    if error.getCondition() != "PATH_NOT_FOUND":
+        raise error
+
+
 def _manifests(spark: SparkSession, path: str, upto: int | None) -> list:
     schema = "schemas STRING, removed BIGINT, label STRING, version BIGINT"
     try:
         rows = spark.read.schema(schema).json(f"{path}/manifest").collect()
-    except AnalysisException:
+    except AnalysisException as error:
+        _only_absent(error)
         return []
     return sorted(
         (r for r in rows if upto is None or r["version"] <= upto), key=lambda r: r["version"]
@@ -223,10 +232,14 @@ def read_index(spark: SparkSession, path: str, upto: int | None = None) -> Index
         return None
     versions = [r["version"] for r in manifests]
     changed = any(r["removed"] for r in manifests)
-    schemas = {
-        name: T.StructType.fromJson(json.loads(text))
-        for name, text in json.loads(manifests[0]["schemas"]).items()
-    }
+    schemas: dict[str, T.StructType] = {}
+    for manifest in manifests:
+        for name, text in json.loads(manifest["schemas"]).items():
+            # Columns that first came with a later batch are null in the rows before.
+            known = schemas.setdefault(name, T.StructType())
+            for column in T.StructType.fromJson(json.loads(text)).fields:
+                if column.name not in known.names:
+                    known.add(column)
     read = {name: _read_table(spark, path, name, schemas[name], versions) for name in BUILT}
     if changed:
         ids = T.StructType([schemas["docs"][c] for c in HIT])
@@ -242,6 +255,9 @@ def read_index(spark: SparkSession, path: str, upto: int | None = None) -> Index
                 & (df["version"] < F.col("_until")),
                 "left_anti",
             )
+    read["catalog"] = read["catalog"].groupBy("definition", "field").agg(
+        *[F.bool_or(flag).alias(flag) for flag in ("tokenized", "stored", "repeated")]
+    )
     return build.with_catalog(IndexTables(**{n: df.drop("version") for n, df in read.items()}))
 
 
@@ -285,7 +301,8 @@ def latest_build(spark: SparkSession, folder: str) -> str | None:
             .agg(F.min("file").alias("file"))
             .head()
         )
-    except AnalysisException:
+    except AnalysisException as error:
+        _only_absent(error)
         return None
     return row["file"].split("/manifest/")[0] if row["file"] else None
 
@@ -311,19 +328,20 @@ BATCH = (
 
 
 def record_batch(
-    spark: SparkSession, path: str, label: str, begun: float, computed: float
+    spark: SparkSession, path: str, label: str, begun: float, computed: float, touched: DataFrame
 ) -> None:
     """Record a finished batch: documents per index, time to compute them and time to index them.
 
-    ``begun`` and ``computed`` are the times (epoch seconds) work began and contents were there.
+    Every index of ``touched`` has a record, also one that only lost documents. ``begun`` and ``computed`` are the times (epoch seconds) work began and contents were there.
     """
     version = version_of(spark, path, label)
     docs = spark.read.schema("index_name STRING").parquet(f"{path}/docs/version={version}")
     start = F.timestamp_seconds(F.lit(begun))
-    docs.groupBy("index_name").agg(F.count("*").alias("documents")).select(
+    counts = docs.groupBy("index_name").agg(F.count("*").alias("documents"))
+    touched.select("index_name").distinct().join(counts, "index_name", "left").select(
         F.lit(version).cast("long").alias("batch_id"),
         "index_name",
-        "documents",
+        F.coalesce("documents", F.lit(0)).alias("documents"),
         start.alias("created"),
         start.alias("started"),
         F.lit(True).alias("finished"),
@@ -336,7 +354,8 @@ def batches(spark: SparkSession, path: str) -> DataFrame:
     """Recorded runs of the index under ``path``."""
     try:
         return spark.read.schema(BATCH).parquet(f"{path}/batches")
-    except AnalysisException:
+    except AnalysisException as error:
+        _only_absent(error)
         return spark.createDataFrame([], BATCH)
 
 
@@ -348,7 +367,8 @@ def written_once(spark: SparkSession, path: str, write: Callable[[str], None]) -
     folder = f"{path}/rows"
     try:
         spark.read.text(f"{path}/done")
-    except AnalysisException:
+    except AnalysisException as error:
+        _only_absent(error)
         write(folder)
         spark.range(1).select(F.lit("done")).write.mode("overwrite").text(f"{path}/done")
     return folder
@@ -391,7 +411,8 @@ def registry(spark: SparkSession, path: str) -> DataFrame:
     schema = "definition STRING, index_name STRING"
     try:
         return spark.read.schema(schema).parquet(f"{path}/registry")
-    except AnalysisException:
+    except AnalysisException as error:
+        _only_absent(error)
         return spark.createDataFrame([], schema)
 
 
@@ -404,8 +425,16 @@ def _drop(spark: SparkSession, pattern: str) -> bool:
     return bool(found) and all([system.delete(folder, True) for folder in found])
 
 
+def _checked(name: str) -> str:
+    """The name if an index can have it; patterns that would match several indexes cannot be one."""
+    if len(name) > paths.INDEX_NAME_CHARS or not re.fullmatch(paths.INDEX_NAME, name, re.ASCII):
+        raise ValueError(f"invalid index name {name!r}")
+    return name
+
+
 def clear_index(spark: SparkSession, path: str, names: Sequence[str]) -> list[str]:
     """Empty indexes but keep them known; gives the names that had data."""
+    names = [_checked(name) for name in names]
     return [
         name
         for name in names

@@ -54,7 +54,7 @@ def stream_index(
                 definition_name(F.col("index_name"), definitions),
                 analyzer,
             )
-            store.record_batch(spark, path, label, begun, loaded)
+            store.record_batch(spark, path, label, begun, loaded, touched)
         finally:
             touched.unpersist()
 

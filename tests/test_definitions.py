@@ -32,7 +32,7 @@ def test_name_and_path_agree(name, path, valid):
     if valid:
         IndexDefinition("d", name, path)
     else:
-        with pytest.raises(ValueError, match="both dynamic or both static"):
+        with pytest.raises(ValueError, match="or into neither"):
             IndexDefinition("d", name, path)
 
 

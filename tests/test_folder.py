@@ -88,3 +88,46 @@ def test_loader_passes_over_missing_files(spark, places):
     assert docs.count() == 2 and values.select(F.countDistinct("doc_id")).head()[0] == 2
     none = load(touched.where(F.lit(False)))
     assert none[0].count() == 0 and none[1].count() == 0
+
+
+def test_names_are_no_patterns_and_gone_files_give_nothing(spark, places):
+    root, path = places
+    for name in ("two[1].psml", "x{y}.psml", "st*r.psml", "wh?t.psml"):
+        write(root, f"books/a/{name}", "odd name")
+    folder.index_folder(spark, path, root, BOOKS)
+    assert [n for _, n in found(spark, path, "odd")] == ["st*r.psml", "two[1].psml", "wh?t.psml", "x{y}.psml"]
+    rows = [("book-a", f"{root}/books/a/st*r.psml"), ("book-a", f"{root}/books/a/never.psml"), ("book-a", f"{root}/books")]
+    wanted = spark.createDataFrame(rows, "index_name string, _src string")
+    assert [r["_src"] for r in folder.read_files(spark, root, wanted).collect()] == [rows[0][1]]
+    assert folder.read_files(spark, root, wanted.where("false")).count() == 0
+
+
+def test_two_definitions_over_one_root(spark, places):
+    root, path = places
+    other = IndexDefinition("all", "everything", "/books")
+    folder.index_folder(spark, path, root, BOOKS)
+    folder.index_folder(spark, path, root, other)
+    docs = store.read_index(spark, path).docs
+    assert {r["index_name"] for r in docs.select("index_name").distinct().collect()} == {"book-a", "book-b", "everything"}
+    again = actions(folder.index_folder(spark, path, root, other), root)
+    assert not [name for name in again if name.startswith("books/")]
+    catalog = store.read_index(spark, path).catalog
+    assert catalog.count() == catalog.select("definition", "field").distinct().count()
+
+
+def test_a_run_of_deletions_is_recorded(spark, places):
+    root, path = places
+    folder.index_folder(spark, path, root, BOOKS)
+    os.remove(os.path.join(root, "books/b/two.psml"))
+    folder.index_folder(spark, path, root, BOOKS)
+    runs = store.batches(spark, path).orderBy("batch_id").collect()
+    assert (runs[-1]["index_name"], runs[-1]["documents"]) == ("book-b", 0)
+
+
+def test_patterns_are_no_index_names(spark, places):
+    root, path = places
+    folder.index_folder(spark, path, root, BOOKS)
+    for name in ("*", "book-?", "", "a/b", "{book-a,book-b}"):
+        with pytest.raises(ValueError, match="invalid index name"):
+            store.clear_index(spark, path, [name])
+    assert found(spark, path, "red")

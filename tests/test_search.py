@@ -201,3 +201,15 @@ def test_suggestions_start_at_two_letters(idx):
     texts = [r["text"] for r in suggest.suggest(idx, "fo qu", "fulltext").collect()]
     assert sorted(texts) == sorted([TEXTS[1], TEXTS[2]])
     assert [r["text"] for r in suggest.suggest(idx, "QU", "fulltext", use_terms=True).collect()] == ["quick"]
+
+
+def test_any_number_of_clauses(idx):
+    fox, red = P.term("fulltext", "fox"), P.term("color", "red")
+    nowhere = [P.term("fulltext", f"none{n}") for n in range(200)]
+    found = lambda p: sorted(r["doc_id"] for r in search.find(idx, p).collect())
+    assert found(P.any(*nowhere, fox)) == [1, 2, 4]
+    assert found(P.bool(must=[fox], must_not=[*nowhere, red])) == [2, 4]
+    assert found(P.bool(must=[fox] * 70, filters=[red] * 70)) == [1]
+    assert found(P.bool(must=[fox, *nowhere[:100]])) == []
+    wide = [P.prefix("fulltext", "fo") for _ in range(3)]
+    assert found(P.bool(must=[fox, *wide], filters=[P.term("fulltext", "fox")])) == [1, 2, 4]
