@@ -217,14 +217,14 @@ def file_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_file_events(table(spark, sf_dir, "events"))
 
 
-def file_event_stream(spark: SparkSession, sf_dir: str, watermark: str = "1 hour") -> DataFrame:
-    """The same events as a stream."""
+def file_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same events as a stream, without a watermark."""
     rows = (
         spark.readStream.schema(table(spark, sf_dir, "events").schema)
         .option("pathGlobFilter", "events.parquet")
         .parquet(sf_dir)
     )
-    return as_file_events(rows).withWatermark("ts", watermark)
+    return as_file_events(rows)
 
 
 def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:

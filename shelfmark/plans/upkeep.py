@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from shelfmark.functions.paths import file_filter, file_to_path, relative_path
+from shelfmark.functions.paths import ancestors, file_filter, file_to_path, relative_path
 from shelfmark.operators import build, changes, reports
 from shelfmark.operators.definitions import (
     IndexDefinition,
@@ -208,10 +208,17 @@ def change_stream(spark, sf_dir):
 
 
 def debounce_stream(spark, sf_dir):
-    """Quiet periods that are over by the time the stream has seen every event."""
+    """Quiet periods of a stream. A heartbeat after the last event, a row without path, ends them all."""
     run = _run_folder(spark, "debounce")
-    routed = route_index(corpora.file_event_stream(spark, sf_dir), BOOKS)
-    quiet = ev.debounce_stream(routed, "2 hours")
+    last = corpora.file_events(spark, sf_dir).agg(F.max("ts").alias("ts"))
+    beat = last.select(
+        *[F.lit(None).cast(t).alias(c) for c, t in (("path", "string"), ("kind", "string"), ("is_dir", "boolean"))],
+        (F.col("ts") + F.expr("interval 4 hours")).alias("ts"),
+    )
+    beat.write.parquet(f"{run}/beats")
+    beats = ev.change_stream(spark, f"{run}/beats", watermark=None)
+    events = corpora.file_event_stream(spark, sf_dir).drop("event_id").unionByName(beats)
+    quiet = ev.debounce_stream(route_index(events.withWatermark("ts", "1 hour"), BOOKS), "2 hours")
     query = (
         quiet.writeStream.format("parquet")
         .option("path", f"{run}/quiet")
@@ -224,40 +231,49 @@ def debounce_stream(spark, sf_dir):
 
 
 def _kept_by_stream(spark, sf_dir):
-    """Path of an index kept by a stream: it holds the files whose last event is no deletion."""
+    """Path of an index kept by a stream of all events.
+
+    There are the files whose last event is no deletion and, in every folder, a file ``index`` that
+    has no event of its own. Indexed before is a file ``old`` per folder, which is there no more.
+    """
     run = _run_folder(spark, "index")
-    files = corpora.file_events(spark, sf_dir).where(~F.col("is_dir"))
-    last = files.groupBy("path").agg(
-        F.max(F.struct("ts", "kind")).getField("kind").alias("kind"), F.max("ts").alias("last")
+    events = corpora.file_events(spark, sf_dir)
+    last = events.where(~F.col("is_dir")).groupBy("path").agg(
+        F.max(F.struct("ts", "kind")).getField("kind").alias("kind")
+    )
+    folders = events.select(F.regexp_replace("path", r"/[^/]*\.psml$", "").alias("folder")).distinct()
+    files = last.where(F.col("kind") != "delete").select("path").unionByName(
+        folders.select(F.concat("folder", F.lit("/index.psml")).alias("path"))
     )
 
-    def load(touched):
-        present = touched.join(
-            last.where(F.col("kind") != "delete"), touched["_src"] == last["path"]
-        )
-        docs = present.select(
+    def rows(found):
+        docs = found.select(
             "index_name",
             F.col("_src").alias("doc_id"),
             "_src",
             file_to_path(F.col("_src"), "/psml").alias("_path"),
-            F.col("last").alias("_lastmodified"),
+            F.timestamp_seconds(F.lit(0)).alias("_lastmodified"),
         )
-        values = build.field_values(present.withColumnRenamed("_src", "doc_id"), [], ["kind"])
-        return docs, values
+        return docs, build.field_values(docs, [], ["_path"])
 
-    nothing = load(
-        spark.createDataFrame([], "index_name STRING, _src STRING")
-    )
+    def load(touched):
+        return rows(touched.join(files, touched["_src"] == files["path"]).select("index_name", "_src"))
+
+    def listing(added):
+        below = files.select("path", F.explode(ancestors(F.col("path"))).alias("folder"))
+        return below.join(added, "folder", "left_semi").select("path").distinct()
+
+    old = folders.select(F.concat("folder", F.lit("/old.psml")).alias("_src"))
     definition = definition_name(F.col("index_name"), DEFINITIONS)
-    store.write_index(spark, f"{run}/books", *nothing, definition)
+    store.write_index(spark, f"{run}/books", *rows(route_index(old, BOOKS, "_src")), definition)
     query = indexing.stream_index(
-        corpora.file_event_stream(spark, sf_dir).where(~F.col("is_dir")),
+        corpora.file_event_stream(spark, sf_dir),
         f"{run}/books",
         load,
         [BOOKS],
         f"{run}/state",
-        delay_seconds=7200,
         available_now=True,
+        listing=listing,
     )
     query.awaitTermination()
     return f"{run}/books"
@@ -371,6 +387,15 @@ quiet AS (
   FROM n GROUP BY index_name, path, session)"""
 
 
+_KEPT = f"""{EVENTS},
+state AS (SELECT path, last(kind ORDER BY ts, kind) AS kind FROM ev WHERE NOT is_dir GROUP BY path),
+folders AS (
+  SELECT regexp_replace(path, '/[^/]*\\.psml$', '') AS folder,
+         coalesce(bool_or({EVENT_CLASS} = 'folder-added'), false) AS added,
+         coalesce(bool_or({EVENT_CLASS} = 'folder-deleted'), false) AS deleted
+  FROM ev GROUP BY folder)"""
+
+
 def _expanded(event_class: str) -> str:
     return f"""WITH {EVENTS},
 folders AS (SELECT path AS folder, epoch_us(max(ts)) AS ts, count(*) AS events
@@ -424,29 +449,27 @@ SELECT md5('base=%facets=lang%' || sum(CAST('0x' || substr(md5(state), 1, 12) AS
 FROM per""",
     "classify_event": f"WITH {EVENTS} SELECT event_id, path, {EVENT_CLASS} AS event_class FROM ev",
     "debounce_events": f"""WITH {_QUIET} SELECT * FROM quiet""",
-    # A stream knows that a period is over once an event an hour (the watermark) past its end came.
-    "debounce_stream": f"""WITH {_QUIET}
-SELECT * FROM quiet WHERE due <= (SELECT epoch_us(max(ts)) - 3600000000 FROM ev)""",
+    "debounce_stream": f"WITH {_QUIET} SELECT * FROM quiet",
     "change_stream": f"WITH {EVENTS} SELECT path, kind, epoch_us(ts) AS ts,"
     f" {EVENT_CLASS} AS event_class FROM ev",
-    "stream_monitor": f"""WITH {_QUIET},
-seen AS (SELECT DISTINCT index_name, path FROM quiet
-         WHERE due <= (SELECT epoch_us(max(ts)) - 3600000000 FROM ev WHERE NOT is_dir)),
-state AS (SELECT path, last(kind ORDER BY ts, kind) AS kind FROM ev WHERE NOT is_dir GROUP BY path)
-SELECT index_name, count(*) AS documents
-FROM seen JOIN state USING (path) WHERE kind <> 'delete' GROUP BY index_name""",
+    # Documents brought in by the stream; an index that only lost some is there with none.
+    "stream_monitor": f"""WITH {_KEPT}, looked AS (
+  SELECT path, kind <> 'delete' AS brought FROM state
+  UNION ALL SELECT folder || '/index.psml', true FROM folders WHERE added
+  UNION ALL SELECT folder || '/old.psml', false FROM folders WHERE deleted)
+SELECT index_name, count(*) FILTER (WHERE brought) AS documents
+FROM (SELECT brought, {_ROUTED} FROM looked) GROUP BY index_name""",
     "clear_index": """
 SELECT 'type-' || lower(p_type) AS index_name, p_type <> 'ECONOMY' AS "exists",
        count(*) FILTER (WHERE p_type <> 'ECONOMY') AS documents FROM part GROUP BY p_type""",
     "delete_index": """
 SELECT 'type-' || lower(p_type) AS index_name, true AS "exists", count(*) AS documents
 FROM part WHERE p_type <> 'ECONOMY' GROUP BY p_type""",
-    "stream_index": f"""WITH {_QUIET},
-seen AS (SELECT DISTINCT index_name, path FROM quiet
-         WHERE due <= (SELECT epoch_us(max(ts)) - 3600000000 FROM ev WHERE NOT is_dir)),
-state AS (SELECT path, last(kind ORDER BY ts, kind) AS kind FROM ev WHERE NOT is_dir GROUP BY path)
-SELECT index_name, path AS _src, regexp_replace(substr(path, 6), '\\.psml$', '') AS _path
-FROM seen JOIN state USING (path) WHERE kind <> 'delete'""",
+    "stream_index": f"""WITH {_KEPT}, kept AS (
+  SELECT path FROM state WHERE kind <> 'delete'
+  UNION ALL SELECT folder || '/index.psml' FROM folders WHERE added
+  UNION ALL SELECT folder || '/old.psml' FROM folders WHERE NOT deleted)
+SELECT {_ROUTED}, path AS _src, regexp_replace(substr(path, 6), '\\.psml$', '') AS _path FROM kept""",
     "debounce_off": f"""WITH {EVENTS} SELECT {_ROUTED}, path, epoch_us(ts) AS first_event,
 epoch_us(ts) AS last_event, epoch_us(ts) AS due, 1::BIGINT AS events, kind FROM ev""",
     "folder_added": f"""{_expanded('folder-added')}

@@ -17,6 +17,7 @@ from shelfmark.functions.analysis import Analyzer, analyze_standard
 from shelfmark.operators.build import VALUE_COLUMNS
 from shelfmark.operators.changes import incremental_diff
 from shelfmark.operators.definitions import IndexDefinition
+from shelfmark.session import shared_dir
 from shelfmark.sources import store
 from shelfmark.sources.files import (
     CREATOR,
@@ -160,8 +161,34 @@ def index_folder(
     return diff
 
 
+def list_below(folders: DataFrame) -> DataFrame:
+    """Paths of the files below folders (folder), listed by tasks; one that is gone has none."""
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for name in batch["folder"].tolist():
+                system, path = _open(name)
+                scheme = name[: len(name) - len(path)] if name.endswith(path) else ""
+                found = system.get_file_info(fs.FileSelector(path, allow_not_found=True, recursive=True))
+                yield pd.DataFrame(
+                    {"path": [scheme + f.path for f in found if f.type == fs.FileType.File]}, dtype="object"
+                )
+
+    names = folders.select("folder").distinct()
+    return names.repartition("folder").mapInPandas(work, "path string").distinct()
+
+
 def folder_loader(
     spark: SparkSession, root: str, mapping: Mapping = index_documents
 ) -> Callable[[DataFrame], tuple[DataFrame, DataFrame]]:
-    """What a stream of events needs to look at files again."""
-    return lambda touched: present(read_files(spark, root, touched), root, mapping)
+    """What a stream of events needs to look at files again.
+
+    The values of a batch are written once, below the folder of ``spark.checkpoint.dir``, so that
+    all tables come from one state of the files.
+    """
+
+    def load(touched: DataFrame) -> tuple[DataFrame, DataFrame]:
+        staging = f"{shared_dir(spark)}/shelfmark/looked-at/{uuid.uuid4().hex}"
+        return present(read_files(spark, root, touched), root, mapping, staging)
+
+    return load

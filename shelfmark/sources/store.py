@@ -110,7 +110,7 @@ def write_index(
     dictionary = write_table(build.dictionary(postings, repeated), path, "dictionary")
     tables = IndexTables(written_docs, fields, postings, dictionary, stats, catalog)
     _write_manifest(spark, path, 0, {name: getattr(tables, name).schema for name in BUILT})
-    return _must_read(spark, path)
+    return must_read(spark, path)
 
 
 def append_batch(
@@ -130,7 +130,7 @@ def append_batch(
     that of the batch. ``label`` tells batches apart: one that is already part of the index changes
     nothing, and one that failed half-way is written anew.
     """
-    before = _must_read(spark, path)
+    before = must_read(spark, path)
     known = _manifests(spark, path, None)
     if any(r["label"] == label for r in known):
         return before
@@ -163,7 +163,7 @@ def append_batch(
     tables = IndexTables(new_docs, new, postings, dictionary, field_stats, catalog)
     schemas = {name: getattr(tables, name).schema for name in BUILT}
     _write_manifest(spark, path, version, schemas, gone.count(), label)
-    return _must_read(spark, path)
+    return must_read(spark, path)
 
 
 def _difference(new: DataFrame, old: DataFrame, keys: list[str]) -> DataFrame:
@@ -261,7 +261,7 @@ def read_index(spark: SparkSession, path: str, upto: int | None = None) -> Index
     return build.with_catalog(IndexTables(**{n: df.drop("version") for n, df in read.items()}))
 
 
-def _must_read(spark: SparkSession, path: str, upto: int | None = None) -> IndexTables:
+def must_read(spark: SparkSession, path: str, upto: int | None = None) -> IndexTables:
     index = read_index(spark, path, upto)
     if index is None:
         raise ValueError(f"no index at {path}")
@@ -270,7 +270,7 @@ def _must_read(spark: SparkSession, path: str, upto: int | None = None) -> Index
 
 def pending_deletions(spark: SparkSession, path: str) -> DataFrame:
     """Deletions held beside the build: (index_name, doc_id), one row per document version."""
-    index = _must_read(spark, path)
+    index = must_read(spark, path)
     versions = [r["version"] for r in _manifests(spark, path, None) if r["removed"]]
     ids = T.StructType([index.docs.schema[c] for c in HIT])
     if not versions:
@@ -286,7 +286,7 @@ def compact(
     analyzer: Analyzer = analyze_standard,
 ) -> IndexTables:
     """Write the live documents as a fresh build, without pending deletions."""
-    live = _must_read(spark, path)
+    live = must_read(spark, path)
     values = live.fields.select(*build.VALUE_COLUMNS)
     return write_index(spark, target, live.docs, values, definition, analyzer)
 
@@ -386,7 +386,7 @@ def ensure_index(
         return build_at(f"{folder}/{uuid.uuid4().hex}")
     key = (spark.sparkContext.applicationId, found)
     if key not in _OPEN:
-        _OPEN[key] = _must_read(spark, found)
+        _OPEN[key] = must_read(spark, found)
     return _OPEN[key]
 
 

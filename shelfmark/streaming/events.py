@@ -23,14 +23,10 @@ DELAY_SECONDS = 5
 KINDS = ("create", "delete", "modify")
 
 
-def change_stream(spark: SparkSession, log: str, watermark: str = "1 minute") -> DataFrame:
+def change_stream(spark: SparkSession, log: str, watermark: str | None = "1 minute") -> DataFrame:
     """Events of a log of Parquet files, as a stream."""
-    return (
-        spark.readStream.schema(EVENT)
-        .option("recursiveFileLookup", "true")
-        .parquet(log)
-        .withWatermark("ts", watermark)
-    )
+    events = spark.readStream.schema(EVENT).option("recursiveFileLookup", "true").parquet(log)
+    return events if watermark is None else events.withWatermark("ts", watermark)
 
 
 def event_class(path: Column, kind: Column, is_dir: Column) -> Column:
@@ -126,10 +122,6 @@ def debounce_events(events: DataFrame, delay: str = f"{DELAY_SECONDS} seconds")
 
 def debounce_stream(events: DataFrame, delay: str = f"{DELAY_SECONDS} seconds") -> DataFrame:
     """The same over a stream that has a watermark: rows come out when their period is over."""
-    # Events of a path that come close together are merged before they are shuffled.
-    events.sparkSession.conf.set(
-        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true"
-    )
     return (
         events.groupBy("index_name", "path", F.session_window("ts", delay).alias("w"))
         .agg(
@@ -150,6 +142,26 @@ def debounce_stream(events: DataFrame, delay: str = f"{DELAY_SECONDS} seconds")
     )
 
 
+def quiet_by_the_clock(seen: DataFrame, delay_seconds: int = DELAY_SECONDS) -> DataFrame:
+    """Paths (path, event_class) of a stream once no event of theirs came for so many seconds.
+
+    What counts is when an event is seen. Heartbeats, rows with an empty path, move the time on, so that
+    a period ends without any later event.
+    """
+    beats = (
+        seen.sparkSession.readStream.format("rate")
+        .option("rowsPerSecond", 1)
+        .load()
+        .select(*[F.lit("").alias(c) for c in ("path", "event_class")])
+    )
+    timed = seen.unionByName(beats).withColumn("ts", F.current_timestamp()).withWatermark("ts", "0 seconds")
+    return (
+        timed.groupBy("path", "event_class", F.session_window("ts", f"{delay_seconds} seconds").alias("w"))
+        .agg(F.count("*").alias("events"))
+        .select("path", "event_class", "events")
+    )
+
+
 def debounce(events: DataFrame, delay_seconds: int = DELAY_SECONDS) -> DataFrame:
     """Debounce with a delay; without one every event stands for itself."""
     if delay_seconds <= 0:

@@ -10,12 +10,61 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfmark.functions.analysis import Analyzer, analyze_standard
+from shelfmark.functions.paths import lineage, relative_path
+from shelfmark.operators.build import IndexTables
 from shelfmark.operators.definitions import IndexDefinition, definition_name, route_destinations
 from shelfmark.sources import store
-from shelfmark.streaming.events import DELAY_SECONDS, debounce
+from shelfmark.streaming.events import DELAY_SECONDS, classify_event, quiet_by_the_clock
 
 # What lies in the files looked at now: (index_name, _src) -> (docs, values); absent files give none.
 Load = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
+# Files that lie below folders now: (folder) -> (path).
+Listing = Callable[[DataFrame], DataFrame]
+
+
+def existing_roots(index: IndexTables, definitions: Sequence[IndexDefinition]) -> DataFrame:
+    """(index_name, root) of the indexes that hold something: where their content lies."""
+    names = index.field_stats.select("index_name").distinct()
+    root = F.coalesce(
+        *[F.when(d.matches_name(F.col("index_name")), d.content_path(F.col("index_name"))) for d in definitions],
+        F.lit(None).cast("string"),
+    )
+    return names.withColumn("root", root).where(F.col("root").isNotNull())
+
+
+def to_look_at(
+    due: DataFrame,
+    index: IndexTables,
+    definitions: Sequence[IndexDefinition],
+    listing: Listing,
+    root: str = "/",
+) -> DataFrame:
+    """Files to look at again, (index_name, _src), for quiet events (path, event_class).
+
+    A changed file stands for itself, an added folder for the files below it, a deleted one for the
+    documents indexed from below it. Paths are routed by what lies below the content root, to the
+    indexes of the definitions and to existing ones whose content holds them.
+    """
+
+    def of(kind: str, column: str) -> DataFrame:
+        return due.where(F.col("event_class") == kind).select(F.col("path").alias(column)).distinct()
+
+    files = of("file-changed", "_src").unionByName(
+        listing(of("folder-added", "folder")).select(F.col("path").alias("_src"))
+    )
+    inside = F.concat(F.lit("/"), relative_path(F.col("_src"), root))
+    routed = route_destinations(
+        files.distinct().withColumn("_inside", inside),
+        definitions,
+        existing_roots(index, definitions),
+        "_inside",
+    )
+    indexed = index.docs.select("index_name", "_src")
+    below = indexed.withColumn("folder", F.explode(lineage(F.col("_src"))))
+    gone = below.join(of("folder-deleted", "folder"), "folder", "left_semi")
+    both = routed.select("index_name", "_src").unionByName(gone.select("index_name", "_src"))
+    return both.distinct()
+
 
 def stream_index(
     events: DataFrame,
@@ -26,20 +75,39 @@ def stream_index(
     delay_seconds: int = DELAY_SECONDS,
     analyzer: Analyzer = analyze_standard,
     available_now: bool = False,
+    listing: Listing | None = None,
+    root: str = "/",
 ) -> StreamingQuery:
-    """Route events, wait until files are quiet, then look at the files again and update the index.
+    """Wait until paths are quiet, then look at the files again and update the index.
+
+    ``events`` are file events as they come, without a watermark; ``listing`` gives the files below
+    added folders (``folder.list_below`` for real ones; without it folders added hold nothing new).
+    Quiet periods are measured by the clock and end without further events. A run over what a log
+    holds now (``available_now``) waits for nothing: every path in it is looked at once per batch.
+    The two ways need checkpoints of their own.
 
-    Every run is recorded: see ``store.batches``. A deleted file is looked at like a changed one and, being absent, is removed. A batch run again
-    after a failure is known by its number and the checkpoint it belongs to.
+    Every run is recorded: see ``store.batches``. A deleted file is looked at like a changed one
+    and, being absent, is removed. A batch run again after a failure is known by its number and the
+    checkpoint it belongs to.
     """
-    due = debounce(route_destinations(events, definitions), delay_seconds)
+    seen = classify_event(events).where(F.col("event_class") != "ignored")
+    seen = seen.select("path", "event_class")
+    waits = delay_seconds > 0 and not available_now
+    due = quiet_by_the_clock(seen, delay_seconds) if waits else seen
 
     def update(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         begun = time.time()
-        touched = batch.select("index_name", F.col("path").alias("_src")).distinct().persist()
+        looked = batch.where(F.col("path") != "").select("path", "event_class").distinct().persist()
+        touched = None
         try:
-            if touched.isEmpty():
+            # Counted, not tested, so that state is read through once and in whole.
+            if looked.count() == 0:
+                return
+            below = listing or (lambda folders: folders.select(F.col("folder").alias("path")).where("false"))
+            index = store.must_read(spark, path)
+            touched = to_look_at(looked, index, definitions, below, root).persist()
+            if touched.count() == 0:
                 return
             docs, values = load(touched)
             loaded = time.time()
@@ -56,7 +124,11 @@ def stream_index(
             )
             store.record_batch(spark, path, label, begun, loaded, touched)
         finally:
-            touched.unpersist()
+            looked.unpersist()
+            if touched is not None:
+                touched.unpersist()
 
     writer = due.writeStream.foreachBatch(update).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+    if available_now:
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=f"{max(1, delay_seconds // 4)} seconds").start()

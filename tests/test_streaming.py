@@ -1,14 +1,17 @@
 """Events, quiet periods, and an index kept by a stream."""
 
 import datetime as dt
+import os
 import random
+import shutil
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.operators.build import field_values
 from shelfmark.operators.definitions import IndexDefinition, route_index
-from shelfmark.sources import store
+from shelfmark.sources import folder, store
 from shelfmark.streaming import events as ev
 from shelfmark.streaming import indexing
 
@@ -122,7 +125,7 @@ def shelf(spark, tmp_path):
     )
 
     def run():
-        stream = ev.change_stream(spark, log, "1 second")
+        stream = ev.change_stream(spark, log, None)
         query = indexing.stream_index(
             stream, path, load, [BOOKS], str(tmp_path / "state"), delay_seconds=5, available_now=True
         )
@@ -142,7 +145,6 @@ def test_index_kept_by_a_stream(spark, shelf):
     far = ("/c/elsewhere", "modify", False, 1000)
     write_log(spark, log, [("/c/book-1/a.psml", "create", False, 0), ("/c/book-2/b.psml", "create", False, 1),
                            ("/c/none.psml", "create", False, 1), far])
-    # The last event is of no index; it must still move time on, so one more of an index comes late.
     write_log(spark, log, [("/c/book-9/late.psml", "create", False, 1000)])
     assert bodies(run()) == [("book-1", "/c/book-1/a.psml", "one"), ("book-2", "/c/book-2/b.psml", "two")]
     # A change and a deletion, picked up by a restarted stream.
@@ -156,3 +158,47 @@ def test_index_kept_by_a_stream(spark, shelf):
     runs = store.batches(spark, path)
     assert runs.agg(F.sum("documents")).head()[0] == 3
     assert all(r["finished"] for r in runs.collect())
+
+
+def put(root, name, title):
+    os.makedirs(os.path.dirname(os.path.join(root, name)), exist_ok=True)
+    with open(os.path.join(root, name), "w") as out:
+        out.write(f"<documents><document><field name='title'>{title}</field></document></documents>")
+
+
+def titles(spark, path):
+    rows = store.read_index(spark, path).fields.where("field = 'title'").collect()
+    return sorted((r["index_name"], os.path.basename(r["doc_id"]), r["value"]) for r in rows)
+
+
+@pytest.mark.parametrize("waiting", [False, True])
+def test_folders_of_a_real_root(spark, tmp_path, waiting):
+    """Files and folders come and go below a content root; nothing happens after the last event."""
+    root, path, log = (str(tmp_path / n) for n in ("content", "index", "log"))
+    books = IndexDefinition("books", "book-{name}", "/books/{name}")
+    put(root, "books/a/old/one.psml", "one")
+    put(root, "books/a/two.psml", "two")
+    folder.index_folder(spark, path, root, books)
+    shutil.rmtree(os.path.join(root, "books/a/old"))
+    put(root, "books/a/new/deep/three.psml", "three")
+    put(root, "books/a/two.psml", "changed")
+    write_log(spark, log, [
+        (f"{root}/books/a/old", "delete", True, 0), (f"{root}/books/a/new", "create", True, 0),
+        (f"{root}/books/a/two.psml", "modify", False, 0), (f"{root}/elsewhere.psml", "modify", False, 0),
+    ])
+    query = indexing.stream_index(
+        ev.change_stream(spark, log, None), path, folder.folder_loader(spark, root), [books],
+        str(tmp_path / "state"), delay_seconds=2, available_now=not waiting, listing=folder.list_below, root=root,
+    )
+    wanted = [("book-a", "three.psml", "three"), ("book-a", "two.psml", "changed")]
+    try:
+        until = time.time() + 40
+        while waiting and query.isActive and time.time() < until and titles(spark, path) != wanted:
+            time.sleep(1)
+        if not waiting:
+            query.awaitTermination()
+    finally:
+        query.stop()
+    assert query.exception() is None, str(query.exception())[:2000]
+    assert titles(spark, path) == wanted
+    assert store.batches(spark, path).where("batch_id > 1").agg(F.sum("documents")).head()[0] == 2
