@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import documents, mapped, narrow, only, written
+from shelfmark.llm.common import documents, mapped, narrow, written
 from shelfmark.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -206,12 +206,6 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return marked.join(by_class, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without those that are linked to a smaller id, with all their columns."""
-    dropped = near_groups(docs).where("doc_id <> component_id")
-    return only(docs, dropped, "left_anti")
-
-
 def op10_simhash(spark, sf_dir: str) -> DataFrame:
     return near_groups(documents(spark, sf_dir)).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"

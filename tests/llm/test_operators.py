@@ -18,6 +18,7 @@ from shelfmark.llm import (
     exact_dedup,
     language,
     line_dedup,
+    near_copies,
     personal,
     quality,
     simhash,
@@ -249,6 +250,55 @@ def test_vantage_points_lose_no_link():
                 assert least(int(p)) == least(int(q))
 
 
+def edited(words, share, rng):
+    """The words with a share of them replaced."""
+    at = set(rng.sample(range(len(words)), round(share * len(words))))
+    return [f"new{rng.randrange(10**9)}" if i in at else w for i, w in enumerate(words)]
+
+
+def test_near_copies_at_four_fifths_of_shingles(spark, docs, none):
+    rng = random.Random(6)
+    rows = []
+    for k in range(300):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.randrange(150, 400))]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(edited(words, (0.005, 0.01, 0.02, 0.05)[k % 4], rng)))]
+    sets = {i: {tuple(t.split()[j : j + 5]) for j in range(len(t.split()) - 4)} for i, t in rows}
+    near = {i: len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) for i in range(0, 600, 2)}
+    close = {i + 1 for i, s in near.items() if s >= 0.8}
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = {r.doc_id for r in near_copies.keep_one_of_each(table).collect()}
+    dropped = {i for i, _ in rows} - kept
+    assert dropped <= close and len(dropped) >= 0.98 * len(close) and len(close) > 150
+    got = near_copies.near_groups(docs).collect()
+    assert len(got) == len(AWKWARD)
+    assert {r.component_id for r in got if r.doc_id in (1, 2, 3)} == {1}
+    assert {r.component_id for r in got if r.doc_id in (4, 5)} == {4}
+    assert near_copies.keep_one_of_each(docs).columns == docs.columns
+    assert near_copies.near_groups(none).count() == 0
+
+
+def test_similar_links_lose_none():
+    rng = np.random.default_rng(9)
+    sets = []
+    for _ in range(20):
+        base = rng.integers(0, 2**63, 100, np.uint64)
+        for _ in range(10):
+            base = base.copy()
+            base[rng.integers(0, 100, 6)] = rng.integers(0, 2**63, 6, np.uint64)
+            sets.append(np.unique(base))
+    root = list(range(len(sets)))
+    for a, b in near_copies.similar_links(sets):
+        root = [root[a] if r == root[b] else r for r in root]
+    want = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            both = np.intersect1d(a, b).size
+            if both >= 0.8 * (a.size + b.size - both):
+                want = [want[j] if r == want[i] else r for r in want]
+    groups = lambda of: sorted(tuple(i for i, r in enumerate(of) if r == k) for k in set(of))
+    assert groups(root) == groups(want)
+
+
 def test_components(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, 105), (105, 101), (7, 7), (200, 201), (201, 200)]
     got = {r.u: r.v for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
