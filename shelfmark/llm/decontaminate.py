@@ -4,8 +4,9 @@ Texts are read in windows sized after the items. Each window is embedded by CGK
 copies the byte it stands on and, by a random bit that depends on step and byte, stays or moves on.
 Two windows a few edits apart give walks that mostly agree, so that edit distance shows as Hamming
 distance, for which sampling positions is a locality-sensitive hash. Several walks, and several
-samples of each, are tried; a document's windows come at a stride of half a window and an item's at
-every byte, so that a passage holds many windows of which one has to agree.
+samples of each, are tried; a document's windows come at a stride of a quarter window and an item's at
+every byte, so that a passage holds many windows of which one has to agree. Windows are short, for one
+of them to lie where a passage at the threshold happens to hold few edits.
 
 Hashes of item windows are known to all tasks as a Bloom filter of a fixed size. Windows that pass
 are gathered to regions, joined with the items by hash, and verified: the least edit distance of the
@@ -29,10 +30,11 @@ from shelfmark.llm.common import documents, mapped, narrow, only, written
 MOST_EDITS = 0.2
 WALKS = 3
 SAMPLES = 3
-SAMPLED = 20
+#: Steps sampled for each byte of a window at up to MOST_EDITS; fewer for more edits.
+SAMPLED = 0.75
 #: Window bytes are a third of the shortest item, within these bounds; items of fewer bytes than
 #: LEAST_ITEM are too short to count as passages.
-WINDOW = (12, 32)
+WINDOW = (12, 20)
 LEAST_ITEM = 24
 #: Bits of the Bloom filter, as a power of two, and of the blocks it is built in.
 BLOOM_BITS = 27
@@ -48,23 +50,25 @@ def normal(text: str) -> str:
 
 @dataclass
 class Walks:
-    """The random choices that all windows share, fixed by the window's size."""
+    """The random choices that all windows share, fixed by the window's size and the share of edits."""
 
     window: int
+    most_edits: float = MOST_EDITS
 
     def __post_init__(self) -> None:
         random = np.random.default_rng(20 + self.window)
         steps = 2 * self.window
         self.moves = random.integers(0, 2, (WALKS, steps, 256)).astype(np.intp)
         self.moves[:, :, 0] = 0  # nothing lies behind the end of a window
+        sampled = max(6, round(SAMPLED * self.window * min(1, MOST_EDITS / max(self.most_edits, 1e-9))))
         self.picked = [
-            [np.sort(random.choice(steps, min(SAMPLED, steps), replace=False)) for _ in range(SAMPLES)]
+            [np.sort(random.choice(steps, sampled, replace=False)) for _ in range(SAMPLES)]
             for _ in range(WALKS)
         ]
 
     @property
     def stride(self) -> int:
-        return self.window // 2
+        return self.window // 4
 
     def hashes(self, data: np.ndarray, stride: int) -> Iterator[tuple[int, np.ndarray]]:
         """Blocks of windows: the number of the first, and one row of hashes per sample."""
@@ -127,8 +131,9 @@ def least_distance(item: str, text: str) -> tuple[int, int]:
 
 def _regions(
     docs: list[bytes], walks: Walks, bloom: np.ndarray, reach: int
-) -> Iterator[tuple[int, str, np.ndarray]]:
-    """Of a few documents: number, text around windows that the filter lets pass, their hashes."""
+) -> Iterator[tuple[int, str, int, int, np.ndarray]]:
+    """Of a few documents: number, text around windows that the filter lets pass, the bytes of it
+    before the first and after the last of these, their hashes."""
     data = np.frombuffer(b"\0".join(docs), np.uint8)
     starts = np.concatenate([[0], np.cumsum([len(d) + 1 for d in docs])])
     places, passed = [], []
@@ -152,7 +157,8 @@ def _regions(
             doc = int(of[some[0]])
             a = max(0, int(at[some[0]] - starts[doc]) - reach)
             b = int(at[some[-1]] - starts[doc]) + walks.window + reach
-            yield doc, docs[doc][a:b].decode("utf-8", "ignore"), np.unique(hashes[some])
+            lead, tail = int(at[some[0]] - starts[doc]) - a, max(0, min(b, len(docs[doc])) - b + reach)
+            yield doc, docs[doc][a:b].decode("utf-8", "ignore"), lead, tail, np.unique(hashes[some])
 
 
 def find_passages(
@@ -173,7 +179,7 @@ def find_passages(
     lengths = items.select(F.col("text").alias("text")).where(F.octet_length("text") >= LEAST_ITEM)
     sizes = lengths.agg(F.min(F.octet_length("text")), F.max(F.octet_length("text"))).first()
     shortest, reach = sizes[0] or LEAST_ITEM, (sizes[1] or LEAST_ITEM) * 3 // 2
-    walks = Walks(min(max(shortest // 3, WINDOW[0]), WINDOW[1]))
+    walks = Walks(min(max(shortest // 3, WINDOW[0]), WINDOW[1]), most_edits)
 
     def read_items(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -228,12 +234,12 @@ def find_passages(
                 while start + len(some) < len(texts) and (not some or size < AT_ONCE):
                     some.append(normal(texts[start + len(some)]).encode())
                     size += len(some[-1])
-                for doc, region, hashes in _regions(some, walks, bloom, reach):
-                    found.append((ids.iloc[start + doc], region, hashes.view(np.int64)))
+                for doc, region, lead, tail, hashes in _regions(some, walks, bloom, reach):
+                    found.append((ids.iloc[start + doc], region, lead, tail, hashes.view(np.int64)))
                 start += len(some)
-            yield pd.DataFrame(found, columns=["doc_id", "region", "hashes"])
+            yield pd.DataFrame(found, columns=["doc_id", "region", "lead", "tail", "hashes"])
 
-    around = mapped(narrow(docs, id_col, text_col), search, "region string, hashes array<long>")
+    around = mapped(narrow(docs, id_col, text_col), search, "region string, lead int, tail int, hashes array<long>")
     regions = written(around.withColumn("at", F.monotonically_increasing_id()), "regions")
     pairs = (
         regions.select("at", F.explode("hashes").alias("h"))
@@ -242,9 +248,15 @@ def find_passages(
         .distinct()
     )
 
+    def _around(item: str, region: str, lead: int, tail: int) -> str:
+        """What a passage through one of the region's windows can reach, by bytes on either side."""
+        data, far = region.encode(), int(len(item.encode()) + 4 * most_edits * len(item)) + 4
+        return data[max(0, lead - far) : len(data) - max(0, tail - far)].decode("utf-8", "ignore")
+
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            far = [least_distance(i, r)[0] for i, r in zip(batch["item"], batch["region"], strict=True)]
+            columns = (batch[c] for c in ("item", "region", "lead", "tail"))
+            far = [least_distance(i, _around(i, *r))[0] for i, *r in zip(*columns, strict=True)]
             out = batch[["doc_id", "item_id"]].assign(distance=far, length=batch["item"].str.len())
             yield out[out["distance"] <= most_edits * out["length"]]
 
@@ -252,7 +264,7 @@ def find_passages(
     candidates = (
         pairs.join(regions.drop("hashes"), "at")
         .join(named, F.col("item_id").eqNullSafe(F.col("of_item")))
-        .select("doc_id", "item_id", "region", "item")
+        .select("doc_id", "item_id", "region", "lead", "tail", "item")
     )
     return (
         mapped(candidates, verify, "item_id string, distance long, length long")

@@ -321,6 +321,24 @@ def test_decontaminate(spark, docs, none):
     assert decontaminate.find_passages(docs, items.where("false")).count() == 0
 
 
+def test_decontaminate_finds_passages_at_the_threshold(spark):
+    rng = random.Random(7)
+    syllables = [rng.choice("bcdfglmnrst") + rng.choice("aeiou") for _ in range(40)]
+    say = lambda n: "".join(rng.choice(syllables) + rng.choice(["", "", " "]) for _ in range(n))
+    texts, rows = [say(rng.randrange(50, 150)).strip() for _ in range(60)], []
+    for k, text in enumerate(texts):
+        letters = list(text)
+        for at in rng.sample(range(len(letters)), int(0.2 * len(letters))):
+            letters[at] = rng.choice(["", "z", letters[at] + "z"])
+        rows.append((k, say(200) + "".join(letters) + say(200)))
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    got = decontaminate.find_passages(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()
+    exact = {(k, k): brute_distance(decontaminate.normal(t), decontaminate.normal(rows[k][1])) for k, t in enumerate(texts)}
+    assert all(d <= 0.2 * len(texts[k]) for (k, _), d in exact.items())
+    found = {(r.doc_id, r.item_id): r.distance for r in got if r.doc_id == r.item_id}
+    assert found == {k: exact[k] for k in found} and len(found) >= 0.9 * len(texts)
+
+
 def brute_distance(item, text):
     row = [0] * (len(text) + 1)
     for i, a in enumerate(item, 1):
