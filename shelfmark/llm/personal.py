@@ -1,14 +1,15 @@
 """Personal data, and terms that give it away.
 
 Patterns find e-mail and IP addresses, card and phone numbers. The corpus then tells which words
-reveal such a value: over all lines, the pointwise mutual information of a word and a value near each
-other is compared with the information of the value itself. A word that holds at least ``DISCLOSED``
-of it, and was seen with it in at least ``LEAST_TOGETHER`` different surroundings (copies are one), is
-marked wherever it stands in a document with that value. Marked spans are generalised to their kind.
-
-Everything is column functions and joins. Words near a value are taken from a bounded stretch, so the
-pairs grow with the number of values; words are counted before they are shuffled and before they meet
-the pairs, so that a word or value in very many lines is one row of each task.
+reveal such a value: over all lines, the pointwise mutual information of a word and a value of the
+same line is compared with the information of the value itself. A word that holds at least
+``DISCLOSED`` of it, and was seen with it in at least ``LEAST_TOGETHER`` different lines (copies are
+one), is marked wherever it stands, in documents without the value as well. Marked spans are
+generalised to their kind.
+
+Everything is column functions and joins. Words and pairs are counted before they are shuffled, so that
+a word or value in very many lines is one row of each task. Telling words meet the documents as one row
+each, so that adaptive execution can split the documents of a frequent one.
 """
 
 from __future__ import annotations
@@ -31,7 +32,6 @@ PATTERNS = {
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
 BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 TERM = r"[\p{L}\p{N}]{3,}"
-NEAR_CHARS = 120
 LEAST_TOGETHER = 3
 DISCLOSED = 0.9
 
@@ -119,37 +119,50 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
 
 
-def _telling_words(
-    rows: DataFrame, based: DataFrame, near_chars: int, together: int, disclosed: float
-) -> DataFrame:
+def _outside(text: Column, spans: Column) -> Column:
+    """The text without its spans, a line end in place of each."""
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+
+    def add(state: Column, s: Column) -> Column:
+        gap = F.substr(text, state["at"].cast("int") + 1, F.greatest(s["start"] - state["at"], F.lit(0)).cast("int"))
+        end = F.greatest(s["end"], state["at"])
+        return F.struct(end.alias("at"), F.concat(state["out"], gap, F.lit("\n")).alias("out"))
+
+    state = F.aggregate(spans, start, add)
+    return F.concat(state["out"], F.substr(text, state["at"].cast("int") + 1, F.char_length(text)))
+
+
+def _telling_words(rows: DataFrame, together: int, disclosed: float) -> DataFrame:
     """value and the terms that disclose it."""
-    before = F.substr("text", F.greatest(F.col("s.start") - near_chars, F.lit(0)).cast("int") + 1, F.least(F.col("s.start"), F.lit(near_chars)).cast("int"))
-    after = F.substr("text", F.col("s.end").cast("int") + 1, F.lit(near_chars))
-    near = F.concat(
-        F.regexp_extract(before, r"[^\n]*$", 0), F.lit("\n"), F.regexp_extract(after, r"^[^\n]*", 0)
-    )
+    lines = rows.select(F.explode(F.split("text", "\n", -1)).alias("line"))
     meetings = (
-        based.where(F.size("base") > 0)
-        .select("text", F.explode("base").alias("s"))
-        .select(F.col("s.value").alias("value"), near.alias("near"))
-        .groupBy("value", "near")
+        lines.where(F.col("line").rlike("[0-9@]"))
+        .groupBy("line")
         .agg(F.count("*").alias("times"))
+        .withColumn("base", _base_spans(F.col("line")))
+        .where(F.size("base") > 0)
+        .select(
+            "times", F.array_distinct("base.value").alias("values"),
+            _outside(F.col("line"), F.col("base")).alias("line"),
+        )
     )
-    values = meetings.groupBy("value").agg(F.count("*").alias("apart"), F.sum("times").alias("n_value"))
-    values = values.where(F.col("apart") >= together).select("value", "n_value")
+    meetings = written(meetings, "meetings")
+    values = meetings.select("times", F.explode("values").alias("value")).groupBy("value")
+    values = values.agg(F.count("*").alias("apart"), F.sum("times").alias("n_value"))
+    values = written(values.where(F.col("apart") >= together).select("value", "n_value"), "values")
     pairs = (
-        meetings.join(values.select("value"), "value", "left_semi")
-        .select("value", "times", F.explode(_terms(F.col("near"))).alias("term"))
+        meetings.select("line", "times", F.explode("values").alias("value"))
+        .join(values.select("value"), "value", "left_semi")
+        .select("value", "times", F.explode(_terms(F.col("line"))).alias("term"))
         .groupBy("value", "term")
         .agg(F.count("*").alias("apart"), F.sum("times").alias("n_both"))
         .where(F.col("apart") >= together)
     )
     pairs = written(pairs, "pairs")
-    lines = rows.select(F.explode(F.split("text", "\n", -1)).alias("line"))
     words = lines.select(F.explode(_terms(F.col("line"))).alias("term")).groupBy("term")
     words = words.agg(F.count("*").alias("n_term"))
     total = float(lines.count())
-    bits = F.log2(F.lit(total) * F.col("n_both") / (F.greatest("n_term", "n_both") * F.col("n_value")))
+    bits = F.log2(F.lit(total) * F.col("n_both") / (F.col("n_term") * F.col("n_value")))
     own = F.log2(F.lit(total) / F.col("n_value"))
     return (
         pairs.join(words, "term")
@@ -163,7 +176,6 @@ def find_personal(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    near_chars: int = NEAR_CHARS,
     together: int = LEAST_TOGETHER,
     disclosed: float = DISCLOSED,
 ) -> DataFrame:
@@ -181,23 +193,16 @@ def find_personal(
             F.array().cast("array<struct<start:long,kind:int,end:long,value:string>>")
         ),
     )
-    held = written(
-        based.select("doc_id", "h", "base", F.when(F.size("base") > 0, F.col("text")).alias("text")), "personal"
-    )
-    telling = written(_telling_words(rows, held, near_chars, together, disclosed), "telling")
+    held = written(based.select("doc_id", "h", "base"), "personal")
+    telling = written(_telling_words(rows, together, disclosed).select("term").distinct(), "telling")
     told = (
-        held.where(F.size("base") > 0)
-        .select("doc_id", "h", F.explode("base.value").alias("value"))
-        .join(telling, "value")
-        .groupBy("doc_id", "h")
+        rows.select("doc_id", F.xxhash64("text").alias("h"), F.explode(_terms(F.col("text"))).alias("term"))
+        .join(telling, "term")
+        .groupBy(F.col("doc_id").alias("of_id"), F.col("h").alias("of_h"))
         .agg(F.collect_set("term").alias("terms"))
     )
-    same = held["doc_id"].eqNullSafe(F.col("of_id")) & (held["h"] == F.col("of_h"))
-    texts = (
-        held.where(F.size("base") > 0)
-        .dropDuplicates(["doc_id", "h"])
-        .join(told.select(F.col("doc_id").alias("of_id"), F.col("h").alias("of_h"), "terms"), same)
-    )
+    same = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("h") == F.col("of_h"))
+    texts = based.join(written(told, "told"), same).dropDuplicates(["doc_id", "h"])
     words = F.regexp_extract_all("text", F.lit(TERM), F.lit(0))
     so_far = Window.partitionBy("doc_id", "h").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.char_length("w.gap") + F.char_length("w.word")).over(so_far)

@@ -442,3 +442,15 @@ def test_telling_words_are_marked_and_generalised(spark):
     assert not any(spans[i] for i in range(6, 46))
     clean = {r.doc_id: r.text for r in personal.sanitise(rows).collect()}
     assert clean[0] == "[term] answers at [email] near sea0" and clean[10] == texts[10]
+
+
+def test_telling_words_are_marked_without_their_value(spark):
+    far = "sea " * 60
+    texts = [f"zarquon {far} number {i} answers at bob@x.example" for i in range(6)]
+    texts += ["zarquon is at the sea"] + [f"who answers near the sea at {i}" for i in range(400)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = {r.doc_id: [(s.start, s.end, s.kind) for s in r.spans] for r in personal.find_personal(rows).collect()}
+    assert spans[0][0] == (0, 7, 4) and spans[6] == [(0, 7, 4)]
+    assert not any(spans[i] for i in range(7, 407))
+    clean = {r.doc_id: r.text for r in personal.sanitise(rows).collect()}
+    assert clean[6] == "[term] is at the sea"
