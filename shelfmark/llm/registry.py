@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from shelfmark.llm import (
     bpe,
+    chat,
     decontaminate,
     exact_dedup,
     language,
@@ -17,7 +18,7 @@ from shelfmark.llm import (
 
 MODULES = (
     quality, token_counts, exact_dedup, line_dedup, bpe, language, decontaminate, token_files,
-    personal, simhash,
+    personal, simhash, chat,
 )
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 SQL = {name: sql for module in MODULES for name, sql in module.SQL.items()}
