@@ -261,7 +261,7 @@ WITH said AS (
     SELECT e.conv_id, l.block, 0, turn, role, text, cost, chars FROM earliest e
     JOIN later l ON e.conv_id IS NOT DISTINCT FROM l.conv_id AND e.block < l.block
 ), summed AS (
-    SELECT *, row_number() OVER o AS at,
+    SELECT *, row_number() OVER o AS place,
         sum(CASE WHEN kind > 0 THEN cost ELSE 0 END) OVER o
             - coalesce(sum(cost) FILTER (kind = 1) OVER b, 0) AS done,
         role = '{SYSTEM}' AND sum(CASE WHEN role = '{SYSTEM}' THEN 1 ELSE 0 END) OVER o = 1 AS system
@@ -279,11 +279,11 @@ WITH said AS (
         OR max(done) OVER s - min(start) OVER s <= room THEN 0 ELSE 1 END END AS span
     FROM slots WINDOW s AS (PARTITION BY conv_id, block, slot)
 ), begun AS (
-    SELECT conv_id, block, span, min(start) AS start, min(at) AS at FROM spans WHERE kind = 2 GROUP BY ALL
+    SELECT conv_id, block, span, min(start) AS start, min(place) AS place FROM spans WHERE kind = 2 GROUP BY ALL
 ), repeated AS (
     SELECT b.conv_id, r.chars, r.system, row_number() OVER
-        (PARTITION BY b.conv_id, b.block, b.span, r.system ORDER BY r.at DESC) AS back
-    FROM begun b JOIN spans r ON b.conv_id IS NOT DISTINCT FROM r.conv_id AND b.block = r.block AND r.at < b.at
+        (PARTITION BY b.conv_id, b.block, b.span, r.system ORDER BY r.place DESC) AS back
+    FROM begun b JOIN spans r ON b.conv_id IS NOT DISTINCT FROM r.conv_id AND b.block = r.block AND r.place < b.place
     WHERE r.system OR (r.role <> '{SYSTEM}' AND r.start >= b.start - {HISTORY})
 ), formatted AS (
     SELECT conv_id, chars FROM turns
