@@ -14,11 +14,12 @@ from shelfmark.llm import (
     simhash,
     token_counts,
     token_files,
+    whitening,
 )
 
 MODULES = (
     quality, token_counts, exact_dedup, line_dedup, bpe, language, decontaminate, token_files,
-    personal, simhash, chat,
+    personal, simhash, whitening, chat,
 )
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 SQL = {name: sql for module in MODULES for name, sql in module.SQL.items()}
