@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from shelfmark.llm import (
+    alignment,
     bpe,
     chat,
     decontaminate,
@@ -19,7 +20,7 @@ from shelfmark.llm import (
 
 MODULES = (
     quality, token_counts, exact_dedup, line_dedup, bpe, language, decontaminate, token_files,
-    personal, simhash, whitening, chat,
+    personal, simhash, alignment, whitening, chat,
 )
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 SQL = {name: sql for module in MODULES for name, sql in module.SQL.items()}

@@ -38,13 +38,13 @@ STATE = "part long, n long, sums binary, eigenvalues binary, eigenvectors binary
 
 
 def _between(a, b, c, low, high):
-    """The root of a t^2 - b t + c inside (low, high), else their middle."""
+    """The root of a t^2 - b t + c from low to high (0, a pole, is none), else their middle."""
     half = np.sqrt(np.maximum(b * b - 4 * a * c, 0)) * np.where(b < 0, -1, 1) + b
     with np.errstate(divide="ignore", invalid="ignore"):
         near, far = 2 * c / half, half / (2 * a)
     inside = (low + high) / 2
     for root in (far, near):
-        inside = np.where((root > low) & (root < high), root, inside)
+        inside = np.where((root >= low) & (root <= high) & (root != 0), root, inside)
     return inside
 
 
@@ -68,13 +68,15 @@ def secular_roots(d: np.ndarray, weights: np.ndarray) -> np.ndarray:
     pole_left, pole_right = np.where(right, -gap, 0.0), np.where(right, 0.0, gap)
     left = np.arange(k)[:, None] <= np.arange(k)
     root = (low + high) / 2
+    found = np.zeros(k, bool)
     for _ in range(60):
         distance = delta - root
         terms = w / distance
         slopes = terms / distance
         psi, phi = (terms * left).sum(0), (terms * ~left).sum(0)
         value = 1 + psi + phi
-        if (np.abs(value) <= 4 * EPS * (1 + np.abs(psi) + np.abs(phi))).all():
+        found |= np.abs(value) <= 16 * EPS * (1 + np.abs(psi) + np.abs(phi))
+        if found.all():
             break
         low, high = np.where(value < 0, root, low), np.where(value < 0, high, root)
         # psi is replaced by r + s / (left pole - t), phi likewise, equal here in value and slope.
@@ -84,11 +86,7 @@ def secular_roots(d: np.ndarray, weights: np.ndarray) -> np.ndarray:
         s, t = s * to_left**2, t * to_right**2
         b = a * (pole_left + pole_right) + s + t
         c = a * pole_left * pole_right + s * pole_right + t * pole_left
-        new = _between(a, b, c, low, high)
-        if (np.abs(new - root) <= EPS * np.abs(root)).all():
-            root = new
-            break
-        root = new
+        root = np.where(found, root, _between(a, b, c, low, high))
     return delta - root
 
 
