@@ -1,6 +1,6 @@
 """Alignment of two tokenizers over the same bytes.
 
-Each document is encoded by both. The cumulative byte ends of its tokens become two dictionaries, end
+Each text is encoded by both. The cumulative byte ends of its tokens become two dictionaries, end
 to index; the ends that both hold, in order, cut both id lists into groups. In a group, tokens that
 end together are linked.
 
@@ -13,8 +13,12 @@ pair that is in every document is one row per block, and a document's links are
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
+from struct import pack
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -25,14 +29,18 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from shelfmark.llm.bpe import byte_letters
+from shelfmark.llm.bpe import SPACE, byte_letters
 from shelfmark.llm.common import documents, narrow, written
 
 BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Characters of a block, unless one document has more; bounds memory and the rows of the count.
 BLOCK_CHARS = 4_000_000
+#: Chunks that a worker remembers, and characters encoded at once; both bound memory only.
+REMEMBERED, AT_ONCE = 500_000, 500_000
 #: The sign that stands for a space in pieces.
 PIECE_SPACE = "▁"
+#: From a single space before a word to the next such space.
+CHUNK = re.compile(f" [^{SPACE}]+(?:(?!(?<! ) [^{SPACE}])[\\s\\S])*|(?:(?!(?<! ) [^{SPACE}])[\\s\\S])+")
 
 
 class ByteLevel:
@@ -71,38 +79,82 @@ class Pieces:
         return self.model.encode(texts, num_threads=1)
 
 
+class Chunk(NamedTuple):
+    """A stretch of text, aligned: whether both sides give it back, numbers, groups and links."""
+
+    same: bool
+    n_a: int
+    n_b: int
+    n_groups: int
+    groups: str
+    links: bytes
+
+
+#: The columns of no chunks.
+NOTHING: tuple[list, ...] = ([],) * 6
+
+
 class Aligner:
+    """Both tokenizers, and the chunks of text met so far.
+
+    Both sides begin a token at a single space before a word, so both begin a group there: a chunk
+    runs from one to the next, and each distinct chunk is encoded and aligned once. Where a piece of
+    the vocabulary goes over from a word to a space, this does not follow, and a text is one chunk.
+    """
+
     def __init__(self, path_a: str, path_b: str) -> None:
-        self.sides = (ByteLevel(path_a), Pieces(path_b))
-        self.lengths = [np.array([len(t) for t in side.tokens], np.int64) for side in self.sides]
-        self.numerals = [[str(i) for i in range(len(side.tokens))] for side in self.sides]
+        self.a, self.b = ByteLevel(path_a), Pieces(path_b)
+        self.lengths = [[len(t) for t in side.tokens] for side in (self.a, self.b)]
+        self.numerals = [[str(i) for i in range(len(side.tokens))] for side in (self.a, self.b)]
+        self.in_chunks = not any(b" " in token.lstrip(b" ") for token in self.b.tokens)
+        self.known: dict[str, Chunk] = {}
 
-    def groups(self, a: list[int], b: list[int]) -> list[tuple[int, int]]:
+    def ends(self, a: list[int], b: list[int]) -> list[tuple[int, int]]:
         """The last index in ``a`` and in ``b`` of every group, in order."""
-        ends_a, ends_b = (
-            dict(zip(np.cumsum(lengths[ids]).tolist(), range(len(ids)), strict=True))
-            for lengths, ids in zip(self.lengths, (a, b), strict=True)
-        )
+        of_a, of_b = self.lengths
+        ends_a = {end: i for i, end in enumerate(accumulate([of_a[x] for x in a]))}
+        ends_b = {end: i for i, end in enumerate(accumulate([of_b[x] for x in b]))}
         return [(ends_a[end], ends_b[end]) for end in sorted(ends_a.keys() & ends_b.keys())]
 
-    def align(self, texts: list[str]) -> Iterator[tuple[list[int], list[int], list[tuple[int, int]]]]:
-        """Ids of both sides and the ends of groups; nothing where a text has no tokens."""
-        for text, a, b in zip(texts, *[side.encode(texts) for side in self.sides], strict=True):
-            whole = b" " + text.encode()
-            same = all(
-                b"".join([side.tokens[i] for i in ids]) == whole
-                for side, ids in zip(self.sides, (a, b), strict=True)
-            )
-            yield (a, b, self.groups(a, b)) if text and same else ([], [], [])
-
-    def written_groups(self, a: list[int], b: list[int], ends: list[tuple[int, int]]) -> str:
-        """``a1,a2|b1;a3|b2,b3``."""
-        of_a, of_b = ([n[i] for i in ids] for n, ids in zip(self.numerals, (a, b), strict=True))
-        out, i, j = [], 0, 0
+    def align(self, chunk: str, a: list[int], b: list[int]) -> Chunk:
+        """The ids of one chunk, sliced into groups; the last two of a group end together."""
+        whole, of_a, of_b = chunk.encode(), self.a.tokens, self.b.tokens
+        if b"".join([of_a[x] for x in a]) != whole or b"".join([of_b[x] for x in b]) != whole:
+            return Chunk(False, 0, 0, 0, "", b"")
+        of_a, of_b = self.numerals
+        of_a, of_b = [of_a[x] for x in a], [of_b[x] for x in b]
+        groups, links, i, j = [], [], 0, 0
+        ends = self.ends(a, b)
         for last_a, last_b in ends:
-            out.append(f"{','.join(of_a[i : last_a + 1])}|{','.join(of_b[j : last_b + 1])}")
+            groups.append(f"{','.join(of_a[i : last_a + 1])}|{','.join(of_b[j : last_b + 1])}")
+            links.append(a[last_a] << 32 | b[last_b])
             i, j = last_a + 1, last_b + 1
-        return ";".join(out)
+        return Chunk(True, len(a), len(b), len(ends), ";".join(groups), pack(f"<{len(links)}q", *links))
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Aligns chunks not known yet, a bounded number of characters at a time."""
+        start = 0
+        while start < len(chunks):
+            end, size = start + 1, len(chunks[start])
+            while end < len(chunks) and size + len(chunks[end]) <= AT_ONCE:
+                size += len(chunks[end])
+                end += 1
+            some = chunks[start:end]
+            bare = [c[1:] for c in some]  # both put the space before it
+            for chunk, a, b in zip(some, self.a.encode(bare), self.b.encode(bare), strict=True):
+                self.known[chunk] = self.align(chunk, a, b)
+            start = end
+
+    def texts(self, texts: list[str]) -> Iterator[list[Chunk]]:
+        """The chunks of each text; none where a text has no tokens."""
+        split = [CHUNK.findall(" " + t) if self.in_chunks else [" " + t] for t in texts]
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        known = self.known
+        self._learn([c for c in dict.fromkeys(c for chunks in split for c in chunks) if c not in known])
+        for text, chunks in zip(texts, split, strict=True):
+            found = [known[c] for c in chunks] if text else []
+            yield found if all([c[0] for c in found]) else []
 
 
 @lru_cache(maxsize=1)
@@ -126,13 +178,13 @@ def _aligned(docs: DataFrame, path_a: str, path_b: str, whole: bool) -> DataFram
         part = TaskContext.get().partitionId()
         for number, block in enumerate(_blocks(batches)):
             rows, links = [], []
-            for a, b, ends in aligner.align(block["text"].tolist()):
-                groups = aligner.written_groups(a, b, ends)
-                at = np.array(ends, np.int64).reshape(-1, 2)
-                pairs = np.array(a, np.int64)[at[:, 0]] << 32 | np.array(b, np.int64)[at[:, 1]]
-                links.append(pairs)
-                digest = hashlib.sha256(groups.encode()).hexdigest() if groups else ""
-                rows.append((len(a), len(b), len(ends), len(ends), digest, *([groups] if whole else [])))
+            for chunks in aligner.texts(block["text"].tolist()):
+                _, n_a, n_b, n, groups, linked = zip(*chunks) if chunks else NOTHING
+                links.append(np.frombuffer(b"".join(linked), np.int64))
+                joined = ";".join(groups)
+                digest = hashlib.sha256(joined.encode()).hexdigest() if joined else ""
+                numbers = sum(n_a), sum(n_b), sum(n), len(links[-1])
+                rows.append((*numbers, digest, *([joined] if whole else [])))
             pairs, places, counts = np.unique(np.concatenate(links), return_inverse=True, return_counts=True)
             of_rows = np.split(places.astype(np.int32), np.cumsum([len(x) for x in links])[:-1])
             out = pd.DataFrame(rows, columns=names)
