@@ -9,6 +9,36 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_EDITS = 2
+#: Letters of a word that its deletions are made of.
+HEAD = 7
+
+
+def deletions(word: Column) -> Column:
+    """The first ``HEAD`` letters of a word with up to two letters left out, each text once.
+
+    Two words within two edits of each other share one of them: what both keep of an alignment is had
+    by leaving out at most two letters of each, also when only as many first letters are looked at.
+    """
+
+    def one_out(text: Column) -> Column:
+        places = F.when(F.length(text) > 0, F.sequence(F.lit(1), F.length(text)))
+        out = F.transform(
+            places, lambda i: F.concat(F.substring(text, F.lit(1), i - 1), F.substring(text, i + 1, F.lit(HEAD)))
+        )
+        return F.coalesce(out, F.expr("cast(array() as array<string>)"))
+
+    head = F.substring(word, 1, HEAD)
+    one = one_out(head)
+    return F.array_distinct(F.concat(F.array(head), one, F.flatten(F.transform(one, one_out))))
+
+
+def deletions_of(word: str) -> list[str]:
+    """The same for one word of a query."""
+    found, last = {word[:HEAD]}, {word[:HEAD]}
+    for _ in range(MAX_EDITS):
+        last = {w[:i] + w[i + 1 :] for w in last for i in range(len(w))}
+        found |= last
+    return sorted(found)
 
 
 def _edits():

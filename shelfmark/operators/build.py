@@ -10,6 +10,7 @@ value of a field. From them come
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
@@ -18,7 +19,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.analysis import Analyzer, analyze_standard, term_vector
+from shelfmark.functions.distance import deletions
 
+#: Marks of the beginning and the end of a term in its grams.
+GRAM_BEGIN, GRAM_END = "\x02", "\x03"
 VALUE_COLUMNS = ("index_name", "doc_id", "field", "ord", "value", "tokenized", "stored", "boost")
 
 
@@ -130,6 +134,35 @@ def dictionary(postings_: DataFrame, repeated: Sequence[str]) -> DataFrame:
     return count_documents(postings_, ["index_name", "field", "term"], repeated, "doc_freq")
 
 
+def variants(dictionary_: DataFrame) -> DataFrame:
+    """Terms under what is left of them after deletions, so that near ones are found by equality."""
+    return dictionary_.select(
+        "index_name", "field", F.explode(deletions(F.col("term"))).alias("variant"), "term", "doc_freq"
+    )
+
+
+def grams(dictionary_: DataFrame) -> DataFrame:
+    """Terms under every two and three neighbouring letters, marks for beginning and end included."""
+    marked = F.concat(F.lit(GRAM_BEGIN), F.col("term"), F.lit(GRAM_END))
+
+    def of_length(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(marked) - (n - 1)))
+        return F.transform(starts, lambda i: F.substring(marked, i, F.lit(n)))
+
+    pieces = F.concat(of_length(2), of_length(3))
+    return dictionary_.select("index_name", "field", F.explode(F.array_distinct(pieces)).alias("gram"), "term")
+
+
+def pattern_grams(pattern: str) -> list[str]:
+    """Grams that every term of a ``?``/``*`` pattern has: threes, and twos of pieces that short."""
+    found = set()
+    for piece in re.split(r"[?*]", f"{GRAM_BEGIN}{pattern}{GRAM_END}"):
+        n = min(3, len(piece))
+        if n > 1:
+            found |= {piece[i : i + n] for i in range(len(piece) - n + 1)}
+    return sorted(found)
+
+
 def field_stats(fields: DataFrame, repeated: Sequence[str]) -> DataFrame:
     """Per index and field: documents having the field, documents with terms, and total length."""
     keys = ["index_name", "field"]
@@ -168,6 +201,8 @@ class IndexTables:
     dictionary: DataFrame
     field_stats: DataFrame
     catalog: DataFrame
+    variants: DataFrame
+    grams: DataFrame
     tokenized: frozenset[str] = frozenset()
     untokenized: frozenset[str] = frozenset()
     repeated: frozenset[str] = frozenset()
@@ -185,6 +220,8 @@ class IndexTables:
             postings=self.postings.where(keep),
             dictionary=self.dictionary.where(keep),
             field_stats=self.field_stats.where(keep),
+            variants=self.variants.where(keep),
+            grams=self.grams.where(keep),
         )
 
     def is_repeated(self, field: str) -> bool:
@@ -214,13 +251,16 @@ def build_index(
     fields_catalog = catalog(fields, definition)
     repeated = repeated_fields(fields_catalog)
     posted = postings(fields, repeated)
+    words = dictionary(posted, repeated)
     return with_catalog(
         IndexTables(
             docs=docs,
             fields=fields,
             postings=posted,
-            dictionary=dictionary(posted, repeated),
+            dictionary=words,
             field_stats=field_stats(fields, repeated),
             catalog=fields_catalog,
+            variants=variants(words),
+            grams=grams(words),
         )
     )

@@ -15,9 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.analysis import Analyzer, analyze_standard, query_slots
-from shelfmark.functions.distance import MAX_EDITS, edit_distance, maybe_within
+from shelfmark.functions.distance import MAX_EDITS, deletions_of, edit_distance, maybe_within
 from shelfmark.functions.text import java_quote
-from shelfmark.operators.build import IndexTables
+from shelfmark.operators.build import IndexTables, pattern_grams
 from shelfmark.operators.scoring import HIT, bm25, score_hits, score_stats, term_rows
 
 
@@ -165,14 +165,44 @@ class Fuzzy(Predicate):
         return _constant(rows.join(near, "term", "left_semi"), unique=False)
 
 
-def near_terms(idx: IndexTables, field: str, term: str, edits: int = MAX_EDITS) -> DataFrame:
-    """Dictionary rows within ``edits`` of the term."""
-    candidates = idx.dictionary.where(
-        (F.col("field") == field) & maybe_within(F.col("term"), F.lit(term), edits)
-    )
+def near_terms(
+    idx: IndexTables, fields: str | Sequence[str], term: str, edits: int = MAX_EDITS
+) -> DataFrame:
+    """Rows (index_name, field, term, doc_freq) of terms within ``edits`` of the term.
+
+    Up to two edits the terms that share a deletion are looked up; only these are compared.
+    """
+    here = F.col("field").isin([fields] if isinstance(fields, str) else list(fields))
+    near = maybe_within(F.col("term"), F.lit(term), edits)
+    if edits <= MAX_EDITS:
+        keys = ["index_name", "field", "term"]
+        rows = idx.variants.where(here & F.col("variant").isin(deletions_of(term)) & near)
+        # A batch holds differences; all variants of a term that meet add up to the same number.
+        summed = rows.groupBy(*keys, "variant").agg(F.sum("doc_freq").alias("doc_freq"))
+        candidates = summed.groupBy(*keys).agg(F.max("doc_freq").alias("doc_freq"))
+    else:
+        candidates = idx.dictionary.where(here & near)
     return candidates.where(edit_distance(F.col("term"), F.lit(term)) <= edits)
 
 
+@dataclass(frozen=True)
+class TermsLike(Predicate):
+    """Any term of a ``?``/``*`` pattern, found by the grams that all such terms have."""
+
+    field: str
+    grams: tuple[str, ...]
+    condition: Column
+
+    def terms(self, idx: IndexTables) -> DataFrame:
+        rows = idx.grams.where((F.col("field") == self.field) & F.col("gram").isin(list(self.grams)))
+        met = rows.groupBy("index_name", "term").agg(F.count_distinct("gram").alias("n"))
+        return met.where((F.col("n") == len(self.grams)) & self.condition).select("index_name", "term")
+
+    def hits(self, idx: IndexTables, scored: bool = True) -> DataFrame:
+        rows = idx.postings.where(F.col("field") == self.field).select(*HIT, "term")
+        return _constant(rows.join(self.terms(idx), ["index_name", "term"], "left_semi"), unique=False)
+
+
 @dataclass(frozen=True)
 class Boost(Predicate):
     """Changes the weight of a clause, not what it matches."""
@@ -311,7 +341,8 @@ class P:
 
     @staticmethod
     def wildcard(field: str, pattern: str) -> Predicate:
-        """``?`` is one character, ``*`` any number. The fixed beginning is pushed to the scan."""
+        """``?`` is one character, ``*`` any number. A fixed beginning is pushed to the scan of the
+        postings; without one, terms are found by their grams."""
         fixed = re.match(r"[^?*]*", pattern).group(0)
         parts = [
             {"?": ".", "*": ".*"}.get(c) or java_quote(c) for c in pattern
@@ -319,6 +350,8 @@ class P:
         condition = F.col("term").rlike("^(?s:" + "".join(parts) + ")$")
         if fixed:
             condition = F.col("term").startswith(fixed) & condition
+        elif grams := pattern_grams(pattern):
+            return TermsLike(field, tuple(grams), condition)
         return TermsWhere(field, condition)
 
     @staticmethod

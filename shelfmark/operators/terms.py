@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions.distance import MAX_EDITS, edit_distance, maybe_within
 from shelfmark.functions.text import names as split_names
 from shelfmark.operators.build import IndexTables
 from shelfmark.operators.predicates import near_terms
@@ -47,11 +46,9 @@ def similar_terms(
     idx: IndexTables, term: str, fields: str | Sequence[str] = "fulltext", n: int = BUCKET
 ) -> DataFrame:
     """Near and completing terms of several fields in one bucket, each term once per field."""
-    # One scan: each term is looked at once, so a term both near and completing counts once.
-    word = F.col("term")
-    completing = word.startswith(term)
-    candidates = idx.dictionary.where(
-        F.col("field").isin(split_names(fields)) & (completing | maybe_within(word, F.lit(term)))
-    )
-    edits = candidates.withColumn("edits", edit_distance(word, F.lit(term)))
-    return top_terms(_added_up(edits.where(completing | (F.col("edits") <= MAX_EDITS))), n)
+    # A term both near and completing counts once: as a completing one.
+    wanted, completing = split_names(fields), F.col("term").startswith(term)
+    words = idx.dictionary.where(F.col("field").isin(wanted) & completing)
+    near = near_terms(idx, wanted, term).where(~completing)
+    columns = ["field", "term", "doc_freq"]
+    return top_terms(_added_up(words.select(columns).unionByName(near.select(columns))), n)

@@ -159,18 +159,15 @@ class Corpus:
         return f"{shared_dir(spark)}/shelfmark/{self.definition.name}/{key}"
 
     def index(self, spark: SparkSession, sf_dir: str) -> IndexTables:
-        """The written index, built on first use."""
-        return store.ensure_index(
-            spark,
-            self.folder(spark, sf_dir),
-            lambda path: store.write_index(
-                spark,
-                path,
-                self.docs(spark, sf_dir),
-                self.values(spark, sf_dir),
-                definition_name(F.col("index_name"), DEFINITIONS),
-            ),
-        )
+        """The written index with its lookup tables, built on first use."""
+
+        def write(path: str) -> IndexTables:
+            definition = definition_name(F.col("index_name"), DEFINITIONS)
+            store.write_index(spark, path, self.docs(spark, sf_dir), self.values(spark, sf_dir), definition)
+            store.add_lookups(spark, path)
+            return store.must_read(spark, path)
+
+        return store.ensure_index(spark, self.folder(spark, sf_dir), write)
 
 
 DOCUMENT_CORPUS = Corpus(DOCUMENTS, ("documents", "labels"), document_docs, document_values)

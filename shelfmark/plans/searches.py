@@ -87,6 +87,11 @@ def predicate_wildcard(spark, sf_dir):
     return _all_hits(search.find(documents(spark, sf_dir), P.wildcard("fulltext", "tion?h*")))
 
 
+def predicate_infix(spark, sf_dir):
+    """A pattern without a fixed beginning, found by the grams of the dictionary."""
+    return _all_hits(search.find(documents(spark, sf_dir), P.wildcard("fulltext", "*tha?ea*")))
+
+
 def predicate_range(spark, sf_dir):
     wanted = P.range("fulltext", "from", "ha", include_low=True, include_high=False)
     return _all_hits(search.find(documents(spark, sf_dir), wanted))
@@ -239,6 +244,7 @@ QUERIES = {
     "predicate_raw": predicate_raw,
     "predicate_boolean": predicate_boolean,
     "predicate_wildcard": predicate_wildcard,
+    "predicate_infix": predicate_infix,
     "predicate_range": predicate_range,
     "predicate_fuzzy": predicate_fuzzy,
     "predicate_boost": predicate_boost,
@@ -303,6 +309,7 @@ SELECT e.index_name, e.doc_id, round(e.score + c.score, 4) AS score
 FROM either e JOIN c ON c.index_name = e.index_name AND c.doc_id = e.doc_id
 WHERE (e.index_name, e.doc_id) NOT IN (SELECT (index_name, doc_id) FROM post WHERE term = 'th')""",
     "predicate_wildcard": f"WITH {tokens()} {_CONSTANT} regexp_full_match(term, 'tion.h.*')",
+    "predicate_infix": f"WITH {tokens()} {_CONSTANT} regexp_full_match(term, '.*tha.ea.*')",
     "predicate_range": f"WITH {tokens()} {_CONSTANT} term >= 'from' AND term < 'ha'",
     "predicate_fuzzy": f"WITH {tokens()} {_CONSTANT} {_NEAR}",
     "predicate_boost": f"""WITH {tokens()}, {term_hits('a', 'from')}, {term_hits('b', 'ha')},

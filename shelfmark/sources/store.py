@@ -38,6 +38,12 @@ LAYOUT = {
     "deletions": (["index_name"], ["index_name", "doc_id"]),
 }
 BUILT = [name for name in LAYOUT if name != "deletions"]
+#: Tables made of the dictionary of a version, on demand, for near terms and patterns.
+LOOKUPS = {"variants": build.variants, "grams": build.grams}
+LAYOUT |= {
+    "variants": (["index_name", "field"], ["index_name", "field", "variant", "term"]),
+    "grams": (["index_name", "field"], ["index_name", "field", "gram", "term"]),
+}
 
 
 def _write(df: DataFrame, path: str, name: str, version: int) -> DataFrame:
@@ -108,8 +114,10 @@ def write_index(
         lambda: write_table(build.field_stats(fields, repeated), path, "field_stats"),
     )
     dictionary = write_table(build.dictionary(postings, repeated), path, "dictionary")
-    tables = IndexTables(written_docs, fields, postings, dictionary, stats, catalog)
-    _write_manifest(spark, path, 0, {name: getattr(tables, name).schema for name in BUILT})
+    tables = dict(
+        docs=written_docs, fields=fields, postings=postings, dictionary=dictionary, field_stats=stats, catalog=catalog
+    )
+    _write_manifest(spark, path, 0, {name: tables[name].schema for name in BUILT})
     return must_read(spark, path)
 
 
@@ -160,9 +168,13 @@ def append_batch(
         lambda: write_table(terms, path, "dictionary", version),
         lambda: write_table(stats, path, "field_stats", version),
     )
-    tables = IndexTables(new_docs, new, postings, dictionary, field_stats, catalog)
-    schemas = {name: getattr(tables, name).schema for name in BUILT}
+    tables = dict(
+        docs=new_docs, fields=new, postings=postings, dictionary=dictionary, field_stats=field_stats, catalog=catalog
+    )
+    schemas = {name: tables[name].schema for name in BUILT}
     _write_manifest(spark, path, version, schemas, gone.count(), label)
+    if _looked_up(spark, path):
+        add_lookups(spark, path)
     return must_read(spark, path)
 
 
@@ -258,9 +270,42 @@ def read_index(spark: SparkSession, path: str, upto: int | None = None) -> Index
     read["catalog"] = read["catalog"].groupBy("definition", "field").agg(
         *[F.bool_or(flag).alias(flag) for flag in ("tokenized", "stored", "repeated")]
     )
+    ready = set(versions) <= _looked_up(spark, path)
+    for name, make in LOOKUPS.items():
+        made = make(read["dictionary"].drop("version"))
+        read[name] = _read_table(spark, path, name, made.schema, versions) if ready else made
     return build.with_catalog(IndexTables(**{n: df.drop("version") for n, df in read.items()}))
 
 
+def _looked_up(spark: SparkSession, path: str) -> set[int]:
+    """Versions whose lookup tables are written."""
+    try:
+        rows = spark.read.schema("made BOOLEAN, version BIGINT").json(f"{path}/lookups").select("version").collect()
+    except AnalysisException as error:
+        _only_absent(error)
+        return set()
+    return {r["version"] for r in rows}
+
+
+def add_lookups(spark: SparkSession, path: str) -> None:
+    """Write the tables that find near terms and patterns, for the versions that have none yet.
+
+    Later batches then bring their own. Without these tables the same lookups read the dictionary.
+    """
+    made = _looked_up(spark, path)
+    for manifest in _manifests(spark, path, None):
+        version = manifest["version"]
+        if version in made:
+            continue
+        schema = T.StructType.fromJson(json.loads(json.loads(manifest["schemas"])["dictionary"]))
+        words = _read_table(spark, path, "dictionary", schema, [version]).drop("version")
+        _at_once(
+            spark, *[lambda n=name, f=make: write_table(f(words), path, n, version) for name, make in LOOKUPS.items()]
+        )
+        marker = spark.range(1).select(F.lit(True).alias("made"))
+        marker.write.mode("overwrite").json(f"{path}/lookups/version={version}")
+
+
 def must_read(spark: SparkSession, path: str, upto: int | None = None) -> IndexTables:
     index = read_index(spark, path, upto)
     if index is None:

@@ -5,9 +5,14 @@ Events are (path, kind, is_dir, ts), kind being create, modify or delete.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from shelfmark.functions.paths import ancestors, file_name, file_to_path, path_to_file
 
@@ -21,6 +26,8 @@ EVENT = T.StructType(
 )
 DELAY_SECONDS = 5
 KINDS = ("create", "delete", "modify")
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+STATE_STORE_CLASS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def change_stream(spark: SparkSession, log: str, watermark: str | None = "1 minute") -> DataFrame:
@@ -142,23 +149,80 @@ def debounce_stream(events: DataFrame, delay: str = f"{DELAY_SECONDS} seconds")
     )
 
 
-def quiet_by_the_clock(seen: DataFrame, delay_seconds: int = DELAY_SECONDS) -> DataFrame:
-    """Paths (path, event_class) of a stream once no event of theirs came for so many seconds.
+PENDING = "ts long, event_class string, events long, due long"
+
+
+class QuietPeriods(StatefulProcessor):
+    """Keeps what is pending of a path, and a timer for the end of its quiet period.
+
+    State is (ts and class of the latest event, number of events, time of the timer). Every batch with
+    events of the path moves the timer; when it goes off, the path comes out once and is forgotten.
+    """
+
+    def __init__(self, delay_seconds: float) -> None:
+        self.delay_ms = int(delay_seconds * 1000)
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.pending = handle.getValueState("pending", PENDING)
+
+    def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
+        now = timerValues.getCurrentProcessingTimeInMs()
+        found = [(r["ts"], r["event_class"], r["events"]) for r in rows]
+        if self.pending.exists():
+            ts, event_class, events, due = self.pending.get()
+            found.append((ts, event_class, events))
+            self.handle.deleteTimer(due)
+        latest = max(found)
+        due = now + self.delay_ms
+        self.pending.update((latest[0], latest[1], sum(e[2] for e in found), due))
+        self.handle.registerTimer(due)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802, N803
+        _, event_class, events, _ = self.pending.get()
+        self.pending.clear()
+        yield Row(path=key[0], event_class=event_class, events=events)
+
+    def close(self) -> None:
+        pass
+
+
+def _combined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row per path and batch of rows: its latest event and how many there were."""
+    for batch in batches:
+        ordered = batch.sort_values(["ts", "event_class"])
+        yield ordered.groupby("path", sort=False, as_index=False).agg(
+            ts=("ts", "last"), event_class=("event_class", "last"), events=("event_class", "size")
+        )
+
+
+@contextmanager
+def keyed_state(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state by key and timer, which the default store cannot."""
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, STATE_STORE_CLASS)
+    try:
+        yield
+    finally:
+        spark.conf.unset(STATE_STORE) if before is None else spark.conf.set(STATE_STORE, before)
 
-    What counts is when an event is seen. Heartbeats, rows with an empty path, move the time on, so that
-    a period ends without any later event.
+
+def quiet_by_the_clock(seen: DataFrame, delay_seconds: float = DELAY_SECONDS) -> DataFrame:
+    """Paths (path, event_class, events) of a stream (path, event_class, ts) once none of their events
+    came for so many seconds. The class is that of the path's latest event.
+
+    What counts is the clock: a timer per path ends its period without any later event of any path.
+    What is pending outlives a restart. Start the query inside ``keyed_state``. A path with very many
+    events is one row per batch of rows when it is shuffled. Events without a path are left out.
     """
-    beats = (
-        seen.sparkSession.readStream.format("rate")
-        .option("rowsPerSecond", 1)
-        .load()
-        .select(*[F.lit("").alias(c) for c in ("path", "event_class")])
+    combined = (
+        seen.where(F.col("path").isNotNull())
+        .select("path", "event_class", F.coalesce(F.unix_micros("ts"), F.lit(-(2**62))).alias("ts"))
+        .mapInPandas(_combined, "path string, ts long, event_class string, events long")
     )
-    timed = seen.unionByName(beats).withColumn("ts", F.current_timestamp()).withWatermark("ts", "0 seconds")
-    return (
-        timed.groupBy("path", "event_class", F.session_window("ts", f"{delay_seconds} seconds").alias("w"))
-        .agg(F.count("*").alias("events"))
-        .select("path", "event_class", "events")
+    return combined.groupBy("path").transformWithState(
+        QuietPeriods(delay_seconds), "path string, event_class string, events long", "Append", "ProcessingTime"
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
@@ -13,8 +14,9 @@ from shelfmark.functions.analysis import Analyzer, analyze_standard
 from shelfmark.functions.paths import lineage, relative_path
 from shelfmark.operators.build import IndexTables
 from shelfmark.operators.definitions import IndexDefinition, definition_name, route_destinations
+from shelfmark.session import shared_dir
 from shelfmark.sources import store
-from shelfmark.streaming.events import DELAY_SECONDS, classify_event, quiet_by_the_clock
+from shelfmark.streaming.events import DELAY_SECONDS, classify_event, keyed_state, quiet_by_the_clock
 
 # What lies in the files looked at now: (index_name, _src) -> (docs, values); absent files give none.
 Load = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
@@ -91,18 +93,20 @@ def stream_index(
     checkpoint it belongs to.
     """
     seen = classify_event(events).where(F.col("event_class") != "ignored")
-    seen = seen.select("path", "event_class")
+    seen = seen.select("path", "event_class", "ts")
     waits = delay_seconds > 0 and not available_now
     due = quiet_by_the_clock(seen, delay_seconds) if waits else seen
 
     def update(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         begun = time.time()
-        looked = batch.where(F.col("path") != "").select("path", "event_class").distinct().persist()
+        # Written down, so that the plans below neither hang on the stream nor read its state again.
+        quiet = f"{shared_dir(spark)}/shelfmark/streams/quiet/{uuid.uuid4().hex}"
+        batch.select("path", "event_class").distinct().write.parquet(quiet)
+        looked = spark.read.schema("path string, event_class string").parquet(quiet)
         touched = None
         try:
-            # Counted, not tested, so that state is read through once and in whole.
-            if looked.count() == 0:
+            if looked.isEmpty():
                 return
             below = listing or (lambda folders: folders.select(F.col("folder").alias("path")).where("false"))
             index = store.must_read(spark, path)
@@ -124,11 +128,11 @@ def stream_index(
             )
             store.record_batch(spark, path, label, begun, loaded, touched)
         finally:
-            looked.unpersist()
             if touched is not None:
                 touched.unpersist()
 
     writer = due.writeStream.foreachBatch(update).option("checkpointLocation", checkpoint)
     if available_now:
         return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=f"{max(1, delay_seconds // 4)} seconds").start()
+    with keyed_state(events.sparkSession):
+        return writer.trigger(processingTime=f"{max(1, delay_seconds // 4)} seconds").start()

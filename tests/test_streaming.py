@@ -202,3 +202,40 @@ def test_folders_of_a_real_root(spark, tmp_path, waiting):
     assert query.exception() is None, str(query.exception())[:2000]
     assert titles(spark, path) == wanted
     assert store.batches(spark, path).where("batch_id > 1").agg(F.sum("documents")).head()[0] == 2
+
+
+def test_quiet_periods_outlive_a_restart(spark, tmp_path):
+    """A path comes out once, after the delay, with its latest class; what is pending survives a restart."""
+    log, state = str(tmp_path / "log"), str(tmp_path / "state")
+    came = []
+
+    def start(delay):
+        seen = ev.classify_event(ev.change_stream(spark, log, None)).select("path", "event_class", "ts")
+        quiet = ev.quiet_by_the_clock(seen, delay)
+        with ev.keyed_state(spark):
+            return (
+                quiet.writeStream.foreachBatch(lambda batch, _: came.extend((time.time(), *r) for r in batch.collect()))
+                .option("checkpointLocation", state).trigger(processingTime="1 second").start()
+            )
+
+    write_log(spark, log, [("/c/a", "delete", True, 5), ("/c/a", "create", True, 9), ("/c/b.psml", "create", False, 1),
+                           ("/c/b.psml", "modify", False, 1), (None, "modify", False, 1)])
+    query = start(12)
+    try:
+        until = time.time() + 40
+        while time.time() < until and query.isActive and not query.lastProgress:
+            time.sleep(0.3)
+        query.stop()
+        assert came == []
+        query = start(12)
+        write_log(spark, log, [("/c/b.psml", "delete", False, 0), ("/c/new.psml", "create", False, 0)])
+        until = time.time() + 60
+        while time.time() < until and query.isActive and len(came) < 3:
+            time.sleep(0.5)
+        time.sleep(3)
+    finally:
+        query.stop()
+    assert query.exception() is None, str(query.exception())[:2000]
+    assert sorted(r[1:] for r in came) == [
+        ("/c/a", "folder-added", 2), ("/c/b.psml", "file-changed", 3), ("/c/new.psml", "file-changed", 1),
+    ]
