@@ -212,7 +212,7 @@ def route_destinations(spark, sf_dir):
 
 def build_postings(spark, sf_dir):
     """Postings straight from the tables, positions as text."""
-    values = build.analyze_values(corpora.document_values(spark, sf_dir))
+    values = build.analyze_values(corpora.spread(corpora.document_values(spark, sf_dir)))
     return build.postings(values, []).select(
         "index_name",
         "field",

@@ -48,6 +48,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The rows dealt over all tasks before their text is analyzed, which costs far more than moving it.
+
+    Files are split by their bytes and row groups only, so a compressed file may be a single task.
+    """
+    return rows.repartition(key)
+
+
 def _system_columns(df: DataFrame, path: str, time) -> DataFrame:
     return df.select(
         "*",

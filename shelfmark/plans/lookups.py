@@ -111,7 +111,7 @@ def edit_distances(spark, sf_dir):
 
 
 def analyze_standard_(spark, sf_dir):
-    docs = corpora.table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = corpora.spread(corpora.table(spark, sf_dir, "documents").select("doc_id", "text"))
     return token_rows(docs, "text", analyze_standard)
 
 
@@ -129,7 +129,7 @@ def custom_analyzer(spark, sf_dir):
             lambda w: F.when(F.length(w) >= 4, F.substring(w, 1, 6)),
         )
 
-    docs = corpora.table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = corpora.spread(corpora.table(spark, sf_dir, "documents").select("doc_id", "text"))
     return (
         token_rows(docs, "text", stems)
         .groupBy("term")
