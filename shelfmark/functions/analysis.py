@@ -68,9 +68,10 @@ def term_vector(terms: Column) -> Column:
 def tokens(df: DataFrame, text: str, analyzer: Analyzer = analyze_standard) -> DataFrame:
     """One row per kept token of ``text``: the other columns, ``position`` and ``term``."""
     others = [c for c in df.columns if c != text]
+    # The plain form would be analyzed twice: once more to filter rows without tokens.
     return df.select(
-        *others, F.explode(term_positions(analyzer(F.col(text)))).alias("t")
-    ).select(*others, "t.position", "t.term")
+        *others, F.explode_outer(term_positions(analyzer(F.col(text)))).alias("t")
+    ).where(F.col("t").isNotNull()).select(*others, "t.position", "t.term")
 
 
 def query_slots(

@@ -91,7 +91,8 @@ def postings(fields: DataFrame, repeated: Sequence[str]) -> DataFrame:
     """One row per term, document and value; ``length`` is the length of the whole document field.
 
     Carrying the length with the posting means that scoring needs no second lookup. Only fields
-    with repeated values need their lengths added up.
+    with repeated values need their lengths added up. The outer form of explode keeps the optimizer
+    from testing beforehand, and so before any exchange, whether a term vector is empty.
     """
     narrow = fields.select("index_name", "field", "doc_id", "ord", "length", "terms")
     many = F.col("field").isin(list(repeated)) if repeated else F.lit(False)
@@ -103,8 +104,8 @@ def postings(fields: DataFrame, repeated: Sequence[str]) -> DataFrame:
         )
         rows = rows.unionByName(narrow.where(many).drop("length").join(lengths, keys))
     return rows.select(
-        "index_name", "field", "doc_id", "ord", "length", F.explode("terms").alias("t")
-    ).select(
+        "index_name", "field", "doc_id", "ord", "length", F.explode_outer("terms").alias("t")
+    ).where(F.col("t").isNotNull()).select(
         "index_name",
         "field",
         "t.term",
@@ -137,7 +138,7 @@ def dictionary(postings_: DataFrame, repeated: Sequence[str]) -> DataFrame:
 def variants(dictionary_: DataFrame) -> DataFrame:
     """Terms under what is left of them after deletions, so that near ones are found by equality."""
     return dictionary_.select(
-        "index_name", "field", F.explode(deletions(F.col("term"))).alias("variant"), "term", "doc_freq"
+        "index_name", "field", F.explode_outer(deletions(F.col("term"))).alias("variant"), "term", "doc_freq"
     )
 
 
@@ -150,7 +151,7 @@ def grams(dictionary_: DataFrame) -> DataFrame:
         return F.transform(starts, lambda i: F.substring(marked, i, F.lit(n)))
 
     pieces = F.concat(of_length(2), of_length(3))
-    return dictionary_.select("index_name", "field", F.explode(F.array_distinct(pieces)).alias("gram"), "term")
+    return dictionary_.select("index_name", "field", F.explode_outer(F.array_distinct(pieces)).alias("gram"), "term")
 
 
 def pattern_grams(pattern: str) -> list[str]:
