@@ -10,7 +10,7 @@ of them to lie where a passage at the threshold happens to hold few edits.
 
 Hashes of item windows are known to all tasks as a Bloom filter of a fixed size. Windows that pass
 are gathered to regions, joined with the items by hash, and verified: the least edit distance of the
-whole item to any part of the region, by bit-parallel dynamic programming.
+whole item to any part of the region, by bit-parallel dynamic programming over many pairs at once.
 """
 
 from __future__ import annotations
@@ -40,7 +40,8 @@ LEAST_ITEM = 24
 BLOOM_BITS = 27
 BLOOM_BLOCK = 1 << 17
 AT_ONCE = 2 << 20
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Pairs verified together; bounds memory only.
+PAIRS_AT_ONCE = 4096
 _MIX2 = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -60,6 +61,7 @@ class Walks:
         steps = 2 * self.window
         self.moves = random.integers(0, 2, (WALKS, steps, 256)).astype(np.intp)
         self.moves[:, :, 0] = 0  # nothing lies behind the end of a window
+        self.values = random.integers(0, 2**64, (WALKS, steps, 256), np.uint64)
         sampled = max(6, round(SAMPLED * self.window * min(1, MOST_EDITS / max(self.most_edits, 1e-9))))
         self.picked = [
             [np.sort(random.choice(steps, sampled, replace=False)) for _ in range(SAMPLES)]
@@ -71,7 +73,10 @@ class Walks:
         return self.window // 4
 
     def hashes(self, data: np.ndarray, stride: int) -> Iterator[tuple[int, np.ndarray]]:
-        """Blocks of windows: the number of the first, and one row of hashes per sample."""
+        """Blocks of windows: the number of the first, and one row of hashes per sample.
+
+        A hash is the sum of random numbers that stand for the letters at the sampled steps.
+        """
         if data.size < self.window:
             return
         views = np.lib.stride_tricks.sliding_window_view(data, self.window)[::stride]
@@ -81,6 +86,8 @@ class Walks:
             padded[:, :-1] = some
             flat = padded.ravel()
             starts = np.arange(len(some), dtype=np.intp) * (self.window + 1)
+            letter, moved = np.empty(len(some), np.intp), np.empty(len(some), np.intp)
+            read, value = np.empty(len(some), np.uint8), np.empty(len(some), np.uint64)
             found = []
             for walk in range(WALKS):
                 at = starts.copy()
@@ -88,14 +95,16 @@ class Walks:
                 picked = [set(p.tolist()) for p in self.picked[walk]]
                 last = max(max(p) for p in picked)
                 for step in range(last + 1):
-                    letter = flat[at]
-                    for k in range(SAMPLES):
-                        if step in picked[k]:
-                            sums[k] *= _MIX
-                            sums[k] += letter
-                            sums[k] ^= sums[k] >> np.uint64(31)
-                    at += self.moves[walk, step][letter]
-                found += [s * _MIX for s in sums]
+                    np.take(flat, at, out=read, mode="clip")
+                    letter[:] = read
+                    samples = [k for k in range(SAMPLES) if step in picked[k]]
+                    if samples:
+                        np.take(self.values[walk, step], letter, out=value, mode="clip")
+                        for k in samples:
+                            sums[k] += value
+                    np.take(self.moves[walk, step], letter, out=moved, mode="clip")
+                    at += moved
+                found += sums
             yield first, np.stack(found)
 
 
@@ -104,29 +113,80 @@ def bloom_places(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return hashes >> shift, ((hashes ^ (hashes >> np.uint64(29))) * _MIX2) >> shift
 
 
-def least_distance(item: str, text: str) -> tuple[int, int]:
-    """The least edit distance of ``item`` to any part of ``text``, and where that part ends."""
-    if (at := text.find(item)) >= 0:
-        return 0, at + len(item)
-    masks: dict[str, int] = {}
-    for i, letter in enumerate(item):
-        masks[letter] = masks.get(letter, 0) | (1 << i)
-    full, top = (1 << len(item)) - 1, 1 << (len(item) - 1)
-    up, down, score = full, 0, len(item)
-    best, end = score, 0
-    for i, letter in enumerate(text):
-        equal = masks.get(letter, 0)
-        diagonal = (((equal & up) + up) ^ up) | equal | down
-        right_up = (down | ~(diagonal | up)) & full
-        right_down = up & diagonal
-        score += 1 if right_up & top else -1 if right_down & top else 0
-        right_up = (right_up << 1) & full
-        right_down = (right_down << 1) & full
-        up = (right_down | ~(diagonal | right_up)) & full
-        down = right_up & diagonal
-        if score < best:
-            best, end = score, i + 1
-    return best, end
+def least_distances(items: list[str], texts: list[str]) -> np.ndarray:
+    """The least edit distance of each item to any part of the text beside it.
+
+    Bit-parallel dynamic programming over many pairs at once: a column of the table is a few 64-bit
+    words per pair, and each step takes in one letter of every text. Pairs of like sizes go together.
+    """
+    lengths = np.array([len(i) for i in items], np.int64)
+    sizes = np.array([len(t) for t in texts], np.int64)
+    words = np.maximum(1, -(-lengths // 64))
+    best = lengths.copy()
+    order = np.lexsort((sizes, words))
+    start = 0
+    while start < len(order):
+        end = start + 1
+        while (
+            end < len(order)
+            and end - start < PAIRS_AT_ONCE
+            and words[order[end]] == words[order[start]]
+            and (end + 1 - start) * sizes[order[end]] <= AT_ONCE
+        ):
+            end += 1
+        some = order[start:end]
+        best[some] = _column_by_column([items[i] for i in some], [texts[i] for i in some], int(words[some[0]]))
+        start = end
+    return best
+
+
+def _column_by_column(items: list[str], texts: list[str], words: int) -> np.ndarray:
+    """``least_distances`` of pairs whose items have as many words of 64 letters."""
+    n = len(items)
+    numbers = {item: i for i, item in enumerate(dict.fromkeys(items))}
+    letters = {c: i + 1 for i, c in enumerate(sorted({c for item in numbers for c in item}))}
+    # Where each letter stands in each item; letter 0 is any that no item has.
+    masks = np.zeros((words, len(numbers), len(letters) + 1), np.uint64)
+    for item, i in numbers.items():
+        for at, c in enumerate(item):
+            masks[at // 64, i, letters[c]] |= np.uint64(1 << at % 64)
+    masks = masks.reshape(words, -1)
+    longest = max(map(len, texts))
+    read = np.zeros((n, longest), np.int64)
+    for row, text in zip(read, texts, strict=True):
+        row[: len(text)] = [letters.get(c, 0) for c in text]
+    offsets = np.array([numbers[item] for item in items], np.int64) * (len(letters) + 1)
+    read = np.ascontiguousarray((read + offsets[:, None]).T)
+    score = np.array([len(item) for item in items], np.int64)
+    sizes = np.array([len(text) for text in texts], np.int64)
+    best, one, high = score.copy(), np.uint64(1), np.uint64(63)
+    top = np.array([1 << (len(item) - 1) % 64 if item else 0 for item in items], np.uint64)
+    up, down = np.full((words, n), 2**64 - 1, np.uint64), np.zeros((words, n), np.uint64)
+    for step in range(longest):
+        carry = plus = minus = np.zeros(n, np.uint64)
+        for w in range(words):
+            equal = masks[w].take(read[step])
+            part = equal & up[w]
+            total = part + up[w]
+            over = total < part
+            total += carry
+            carry = (over | (total < carry)).astype(np.uint64)
+            diagonal = (total ^ up[w]) | equal | down[w]
+            right_up = down[w] | ~(diagonal | up[w])
+            right_down = up[w] & diagonal
+            if w == words - 1:
+                score += ((right_up & top) != 0).astype(np.int64)
+                score -= (right_down & top) != 0
+            shifted_up, shifted_down = (right_up << one) | plus, (right_down << one) | minus
+            plus, minus = right_up >> high, right_down >> high
+            up[w] = shifted_down | ~(diagonal | shifted_up)
+            down[w] = shifted_up & diagonal
+        np.minimum(best, score, out=best, where=step < sizes)
+    return best
+
+
+def least_distance(item: str, text: str) -> np.ndarray:
+    return least_distances([item], [text])
 
 
 def _regions(
@@ -256,7 +316,8 @@ def find_passages(
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             columns = (batch[c] for c in ("item", "region", "lead", "tail"))
-            far = [least_distance(i, _around(i, *r))[0] for i, *r in zip(*columns, strict=True)]
+            pairs = [(i, _around(i, *r)) for i, *r in zip(*columns, strict=True)]
+            far = least_distances([i for i, _ in pairs], [t for _, t in pairs])
             out = batch[["doc_id", "item_id"]].assign(distance=far, length=batch["item"].str.len())
             yield out[out["distance"] <= most_edits * out["length"]]
 
