@@ -42,6 +42,8 @@ BLOOM_BLOCK = 1 << 17
 AT_ONCE = 2 << 20
 #: Pairs verified together; bounds memory only.
 PAIRS_AT_ONCE = 4096
+#: Letters by which beginnings of an item may differ and be verified together.
+STEP = 32
 _MIX2 = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -191,9 +193,9 @@ def least_distance(item: str, text: str) -> np.ndarray:
 
 def _regions(
     docs: list[bytes], walks: Walks, bloom: np.ndarray, reach: int
-) -> Iterator[tuple[int, str, int, int, np.ndarray]]:
-    """Of a few documents: number, text around windows that the filter lets pass, the bytes of it
-    before the first and after the last of these, their hashes."""
+) -> Iterator[tuple[int, str, np.ndarray, np.ndarray]]:
+    """Of a few documents: number, text around windows that the filter lets pass, where in it these
+    begin (in code points), and their hashes."""
     data = np.frombuffer(b"\0".join(docs), np.uint8)
     starts = np.concatenate([[0], np.cumsum([len(d) + 1 for d in docs])])
     places, passed = [], []
@@ -217,8 +219,9 @@ def _regions(
             doc = int(of[some[0]])
             a = max(0, int(at[some[0]] - starts[doc]) - reach)
             b = int(at[some[-1]] - starts[doc]) + walks.window + reach
-            lead, tail = int(at[some[0]] - starts[doc]) - a, max(0, min(b, len(docs[doc])) - b + reach)
-            yield doc, docs[doc][a:b].decode("utf-8", "ignore"), lead, tail, np.unique(hashes[some])
+            letters = np.cumsum(data[starts[doc] + a : starts[doc] + min(b, len(docs[doc]))] & 0xC0 != 0x80)
+            begun = letters[at[some] - starts[doc] - a] - 1
+            yield doc, docs[doc][a:b].decode("utf-8", "ignore"), begun, hashes[some]
 
 
 def find_passages(
@@ -246,16 +249,19 @@ def find_passages(
             for item_id, text in zip(batch["item_id"], batch["text"], strict=True):
                 item = normal(text)
                 data = np.frombuffer(item.encode(), np.uint8)
-                blocks = [h.ravel() for _, h in walks.hashes(data, 1)]
-                if data.size >= LEAST_ITEM and blocks:
-                    hashes = np.unique(np.concatenate(blocks)).view(np.int64)
-                    yield pd.DataFrame({"item_id": [item_id], "item": [item], "hashes": [hashes]})
+                if data.size < LEAST_ITEM:
+                    continue
+                hashes = np.concatenate([h for _, h in walks.hashes(data, 1)], axis=1)
+                begun = np.tile((np.cumsum(data & 0xC0 != 0x80) - 1)[: hashes.shape[1]], len(hashes))
+                yield pd.DataFrame(
+                    {"item_id": [item_id], "item": [item], "hashes": [hashes.ravel().view(np.int64)], "places": [begun]}
+                )
 
     known = written(
         items.select(F.col("item_id").cast("string").alias("item_id"), "text")
         .where("text is not null")
         .distinct()
-        .mapInPandas(read_items, "item_id string, item string, hashes array<long>"),
+        .mapInPandas(read_items, "item_id string, item string, hashes array<long>, places array<int>"),
         "items",
     )
 
@@ -294,38 +300,38 @@ def find_passages(
                 while start + len(some) < len(texts) and (not some or size < AT_ONCE):
                     some.append(normal(texts[start + len(some)]).encode())
                     size += len(some[-1])
-                for doc, region, lead, tail, hashes in _regions(some, walks, bloom, reach):
-                    found.append((ids.iloc[start + doc], region, lead, tail, hashes.view(np.int64)))
+                for doc, region, begun, hashes in _regions(some, walks, bloom, reach):
+                    found.append((ids.iloc[start + doc], region, begun, hashes.view(np.int64)))
                 start += len(some)
-            yield pd.DataFrame(found, columns=["doc_id", "region", "lead", "tail", "hashes"])
+            yield pd.DataFrame(found, columns=["doc_id", "region", "places", "hashes"])
 
-    around = mapped(narrow(docs, id_col, text_col), search, "region string, lead int, tail int, hashes array<long>")
+    around = mapped(narrow(docs, id_col, text_col), search, "region string, places array<int>, hashes array<long>")
     regions = written(around.withColumn("at", F.monotonically_increasing_id()), "regions")
-    pairs = (
-        regions.select("at", F.explode("hashes").alias("h"))
-        .join(known.select("item_id", F.explode("hashes").alias("h")), "h")
-        .select("at", "item_id")
-        .distinct()
-    )
 
-    def _around(item: str, region: str, lead: int, tail: int) -> str:
-        """What a passage through one of the region's windows can reach, by bytes on either side."""
-        data, far = region.encode(), int(len(item.encode()) + 4 * most_edits * len(item)) + 4
-        return data[max(0, lead - far) : len(data) - max(0, tail - far)].decode("utf-8", "ignore")
+    def windows(rows: DataFrame, key: str, place: str) -> DataFrame:
+        both = rows.select(key, F.inline(F.arrays_zip("hashes", "places")))
+        return both.select(key, F.col("hashes").alias("h"), F.col("places").alias(place))
+
+    # Where the item would begin for the windows to lie on each other, in steps of a few letters.
+    step = F.floor((F.col("there") - F.col("here")) / STEP).alias("step")
+    pairs = windows(regions, "at", "there").join(windows(known, "item_id", "here"), "h").select("at", "item_id", step)
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            columns = (batch[c] for c in ("item", "region", "lead", "tail"))
-            pairs = [(i, _around(i, *r)) for i, *r in zip(*columns, strict=True)]
-            far = least_distances([i for i, _ in pairs], [t for _, t in pairs])
+            far = least_distances(batch["item"].tolist(), batch["part"].tolist())
             out = batch[["doc_id", "item_id"]].assign(distance=far, length=batch["item"].str.len())
             yield out[out["distance"] <= most_edits * out["length"]]
 
+    # Edits move a letter by as many places at most, so a passage lies within this part.
     named = known.select(F.col("item_id").alias("of_item"), "item")
+    edits = F.floor(most_edits * F.length("item"))
+    begin = F.greatest(F.lit(0), F.col("step") * STEP - edits)
+    end = F.col("step") * STEP + STEP + F.length("item") + edits
     candidates = (
-        pairs.join(regions.drop("hashes"), "at")
+        pairs.distinct()
+        .join(regions.drop("hashes", "places"), "at")
         .join(named, F.col("item_id").eqNullSafe(F.col("of_item")))
-        .select("doc_id", "item_id", "region", "lead", "tail", "item")
+        .select("doc_id", "item_id", F.substring("region", begin.cast("int") + 1, (end - begin).cast("int")).alias("part"), "item")
     )
     return (
         mapped(candidates, verify, "item_id string, distance long, length long")
