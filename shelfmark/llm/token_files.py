@@ -3,7 +3,7 @@
 Documents are dealt by ranges of doc_id and sorted, so that files in their order hold ids in
 ascending order. A block of about a million ids has a grammar of its own: in each round the most
 frequent pairs of neighbouring symbols get nonterminals and are replaced, never across the end of a
-document, as long as pairs repeat and 16-bit symbols last. A block stores its rules with their
+document, until no pair can be replaced ``LEAST_COUNT`` times or 16-bit symbols are used up. A block stores its rules with their
 expansion lengths, and for each document where its symbols begin and how many ids they stand for, so
 that one document, or a slice of one, is decoded without the rest.
 
@@ -32,9 +32,11 @@ from shelfmark.llm.common import documents, narrow, written
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 BLOCK_IDS = 1 << 20
-ROUNDS = 6
 RULES_A_ROUND = 4096
+#: A rule takes 6 bytes and more, an occurrence saves 2: fewer than 4 do not pay.
 LEAST_COUNT = 4
+#: After a round of fewer rules pairs are told apart exactly.
+FEW_RULES = 256
 MAGIC = b"RPB1"
 #: Chunks of plain texts, without letters or marks from U+0250 on, where lower case and composition
 #: do not depend on neighbours: words, and marks before white space, are one pre-token each.
@@ -115,32 +117,44 @@ def _hash(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return (mixed ^ (mixed >> np.uint32(15))) * np.uint32(0x2C1B3C6D) >> np.uint32(32 - _HASH_BITS)
 
 
-def _replace(symbols: np.ndarray, first: np.ndarray, names: int, spare: int):
-    """One round: the rules made, and symbols and document starts after it."""
+def _replace(symbols: np.ndarray, first: np.ndarray, names: int, spare: int, exact: bool):
+    """One round: the rules made, and symbols and document starts after it.
+
+    Pairs are counted by hash, and one speaks for its hash; ``exact`` rounds then tell all pairs apart.
+    """
     left, right = symbols[:-1], symbols[1:]
     inner = ~first[1:]
-    hashes = _hash(left, right)
-    counts = np.bincount(hashes[inner], minlength=1 << _HASH_BITS)
+    kinds = _hash(left, right)
+    counts = np.bincount(kinds[inner], minlength=1 << _HASH_BITS)
     wanted = min(spare, RULES_A_ROUND)
-    cut = max(LEAST_COUNT, int(np.partition(counts, -wanted)[-wanted]) if wanted else LEAST_COUNT)
-    at = np.flatnonzero((counts >= cut)[hashes] & inner)
-    # one pair speaks for its hash; others of the same hash wait for the next round
-    speaks = np.full(1 << _HASH_BITS, -1, np.int64)
-    speaks[hashes[at]] = at
-    model = speaks[hashes[at]]
-    at = at[(left[at] == left[model]) & (right[at] == right[model])]
+    at = np.flatnonzero((counts >= LEAST_COUNT)[kinds] & inner)
+    kinds = kinds[at]
+    if exact:
+        _, kinds, counts = np.unique(
+            left[at].astype(np.uint32) << np.uint32(16) | right[at].astype(np.uint32),
+            return_inverse=True, return_counts=True,
+        )
+    cut = max(LEAST_COUNT, int(np.partition(counts, -wanted)[-wanted]) if len(counts) > wanted else 0)
+    frequent = (counts >= cut)[kinds]
+    at, kinds = at[frequent], kinds[frequent]
+    speaks = np.full(len(counts), -1, np.int64)
+    speaks[kinds] = at
+    same = (left[at] == left[speaks[kinds]]) & (right[at] == right[speaks[kinds]])
+    at, kinds = at[same], kinds[same]
     # of overlapping occurrences every second one is replaced, from the left
     run = np.maximum.accumulate(np.where(np.diff(at, prepend=-2) != 1, np.arange(at.size), 0))
-    at = at[(np.arange(at.size) - run) % 2 == 0]
-    used = np.bincount(hashes[at], minlength=1 << _HASH_BITS)
+    free = (np.arange(at.size) - run) % 2 == 0
+    at, kinds = at[free], kinds[free]
+    used = np.bincount(kinds, minlength=len(counts))
     chosen = np.flatnonzero(used >= LEAST_COUNT)
     chosen = chosen[np.argsort(-used[chosen], kind="stable")][:wanted]
-    name = np.full(1 << _HASH_BITS, -1, np.int64)
+    name = np.full(len(counts), -1, np.int64)
     name[chosen] = names + np.arange(chosen.size)
-    at = at[name[hashes[at]] >= 0]
+    named = name[kinds]
+    at, named = at[named >= 0], named[named >= 0]
     rules = np.stack([left[speaks[chosen]], right[speaks[chosen]]], axis=1).astype(np.uint16)
     out = symbols.copy()
-    out[at] = name[hashes[at]]
+    out[at] = named
     stay = np.ones(symbols.size, bool)
     stay[at + 1] = False
     return rules, out[stay], first[stay]
@@ -149,22 +163,26 @@ def _replace(symbols: np.ndarray, first: np.ndarray, names: int, spare: int):
 def pack(doc_ids: np.ndarray, known: np.ndarray, ids: np.ndarray, lengths: np.ndarray, names: int) -> bytes:
     """A block of documents of ``lengths`` ids each, every one at least one id; ids are below ``names``.
 
-    ``known`` tells which documents have an id of their own.
+    ``known`` tells which documents have an id of their own. Symbols have 16 bits: a vocabulary of
+    more ids is refused.
     """
+    if names > 1 << 16:
+        raise ValueError(f"a vocabulary of {names} ids does not fit symbols of 16 bits")
     symbols = ids.astype(np.int32)
     first = np.zeros(ids.size, bool)
     first[np.cumsum(lengths) - lengths] = True
     rules, rounds = [], []
     total = names
-    for _ in range(ROUNDS):
-        if symbols.size < 2 or total >= 1 << 16:
-            break
-        made, symbols, first = _replace(symbols, first, total, (1 << 16) - total)
-        if not len(made):
+    exact = False
+    while symbols.size > 1 and total < 1 << 16:
+        made, symbols, first = _replace(symbols, first, total, (1 << 16) - total, exact)
+        if len(made):
+            rules.append(made)
+            rounds.append(len(made))
+            total += len(made)
+        elif exact:
             break
-        rules.append(made)
-        rounds.append(len(made))
-        total += len(made)
+        exact = len(made) < FEW_RULES
     every = np.concatenate(rules) if rules else np.empty((0, 2), np.uint16)
     spans = np.ones(total, np.int64)
     at = names

@@ -153,6 +153,24 @@ def test_token_files(docs, none):
     assert token_files.read_documents(token_files.pack_documents(none, path)).count() == 0
 
 
+def test_grammars_are_whole():
+    """Rules are made until no pair repeats enough, and a vocabulary that 16 bits cannot hold is refused."""
+    random = np.random.default_rng(3)
+    ids = np.concatenate([random.permutation(40), *[np.arange(k, k + 9) for k in random.integers(0, 30, 4000)]])
+    lengths = np.array([ids.size // 2, ids.size - ids.size // 2])
+    block = token_files.Block(token_files.pack(np.arange(2), np.ones(2, bool), ids, lengths, 40))
+    assert np.array_equal(block.expand(block.symbols), ids)
+    inner = np.ones(block.symbols.size - 1, bool)
+    inner[block.starts[1:] - 1] = False
+    pairs = np.stack([block.symbols[:-1], block.symbols[1:]], axis=1)[inner]
+    # of a pair that overlaps others in a run, fewer occurrences can be replaced than there are
+    counts = np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0, return_counts=True)[1]
+    assert len(block.rules) > 100 and counts.max() < 2 * token_files.LEAST_COUNT
+    assert (counts >= token_files.LEAST_COUNT).sum() <= 5
+    with pytest.raises(ValueError, match="16 bits"):
+        token_files.pack(np.arange(1), np.ones(1, bool), ids[:5], np.array([5]), (1 << 16) + 1)
+
+
 def test_grammar_decodes_parts():
     random_ids = np.random.default_rng(4)
     lengths = np.array([1, 500, 3, 4000, 1, 2000])
