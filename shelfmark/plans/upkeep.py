@@ -20,7 +20,7 @@ from shelfmark.plans.sql import DOCS, EVENT_CLASS, EVENTS, SNAPSHOTS, VALUES
 from shelfmark.session import shared_dir
 from shelfmark.sources import store
 from shelfmark.streaming import events as ev
-from shelfmark.streaming import indexing
+from shelfmark.streaming import indexing, listings
 
 WINDOW = {"folder": "/documents/en", "path_regex": "/[0-9]*[02468]\\.psml", "modified_after": "2024-01-01"}
 
@@ -207,6 +207,29 @@ def change_stream(spark, sf_dir):
     )
 
 
+def _listed(df, modified):
+    rows = df.select(F.col("_src").alias("path"), F.col(modified).alias("modified"), F.lit(None).cast("long").alias("length"))
+    return listings.with_folders(rows, CONTENT_ROOT)
+
+
+def folder_changes(spark, sf_dir):
+    """Two listings of the content, taken from one to the other by a stream; what it gives is written down."""
+    run = _run_folder(spark, "listings")
+    source, existing = corpora.snapshots(spark, sf_dir)
+    listings.take_listing(_listed(existing, "_lastmodified"), f"{run}/log", 1_000_000_000)
+    listings.take_listing(_listed(source, "modified"), f"{run}/log", 2_000_000_000)
+    query = (
+        listings.listing_stream(spark, f"{run}/log")
+        .writeStream.format("parquet")
+        .option("path", f"{run}/seen")
+        .option("checkpointLocation", f"{run}/state")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return spark.read.schema(ev.EVENT).parquet(f"{run}/seen").select("path", "kind", "is_dir", _micros("ts").alias("ts"))
+
+
 def debounce_stream(spark, sf_dir):
     """Quiet periods of a stream. A heartbeat after the last event, a row without path, ends them all."""
     run = _run_folder(spark, "debounce")
@@ -332,6 +355,7 @@ def delete_index(spark, sf_dir):
 
 QUERIES = {
     "change_stream": change_stream,
+    "folder_changes": folder_changes,
     "debounce_stream": debounce_stream,
     "stream_index": stream_index,
     "stream_monitor": stream_monitor,
@@ -412,6 +436,20 @@ SELECT _src, CASE WHEN NOT ({_PLACE}) THEN 'ignore' WHEN gone THEN 'delete'
   WHEN NOT late THEN 'ignore' WHEN fresh THEN 'insert' ELSE 'update' END AS action FROM w""",
     "apply_changes": f"WITH {SNAPSHOTS} SELECT _src, index_name, doc_id, modified FROM source",
     "removed_files": f"WITH {DOCS} SELECT _src FROM docs WHERE doc_id % 10 = 1",
+    "folder_changes": f"""WITH {SNAPSHOTS},
+changes AS (SELECT coalesce(s._src, e._src) AS path,
+                   CASE WHEN s._src IS NULL THEN 'delete' WHEN e._src IS NULL THEN 'create' ELSE 'modify' END AS kind,
+                   CASE WHEN s._src IS NULL THEN 2000000000000000 ELSE s.modified END AS ts
+            FROM source s FULL JOIN existing e ON s._src = e._src
+            WHERE s._src IS NULL OR e._src IS NULL OR s.modified <> e.lm),
+dirs AS (SELECT regexp_replace(_src, '/[^/]*$', '') AS path, min(n) AS n, bool_or(n = 1) AS one, bool_or(n = 2) AS two
+         FROM (SELECT _src, 1 AS n FROM existing UNION ALL SELECT _src, 2 FROM source) GROUP BY ALL),
+parent AS (SELECT '/data/documents' AS path, min(n) AS n, bool_or(one) AS one, bool_or(two) AS two FROM dirs),
+every AS (SELECT * FROM dirs UNION ALL SELECT * FROM parent)
+SELECT _src AS path, 'create' AS kind, false AS is_dir, lm AS ts FROM existing
+UNION ALL SELECT path, kind, false, ts FROM changes
+UNION ALL SELECT path, 'create', true, n * 1000000000000000 FROM every
+UNION ALL SELECT path, 'delete', true, 2000000000000000 FROM every WHERE NOT two""",
     "diff_report": f"""WITH {_DIFF}
 SELECT 'total' AS part, action, count(*) AS files, NULL::VARCHAR AS path FROM diff GROUP BY action
 UNION ALL SELECT * FROM (SELECT 'file', action, NULL::BIGINT, _src FROM diff

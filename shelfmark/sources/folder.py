@@ -39,7 +39,7 @@ def index_documents(content: DataFrame) -> DataFrame:
     ).select("_src", *VALUE_COLUMNS)
 
 
-def _open(name: str) -> tuple[fs.FileSystem, str]:
+def open_path(name: str) -> tuple[fs.FileSystem, str]:
     """File system and path of a plain path or a URI (hdfs, s3, gs and the others that Arrow knows)."""
     if "://" not in name:
         return fs.LocalFileSystem(), name
@@ -50,7 +50,7 @@ def _contents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         # A file at a time, so that a task holds no more than one content.
         for n, name in enumerate(batch["_src"].tolist()):
-            system, path = _open(name)
+            system, path = open_path(name)
             info = system.get_file_info(path)
             if info.type != fs.FileType.File:
                 continue
@@ -167,7 +167,7 @@ def list_below(folders: DataFrame) -> DataFrame:
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for name in batch["folder"].tolist():
-                system, path = _open(name)
+                system, path = open_path(name)
                 scheme = name[: len(name) - len(path)] if name.endswith(path) else ""
                 found = system.get_file_info(fs.FileSelector(path, allow_not_found=True, recursive=True))
                 yield pd.DataFrame(
