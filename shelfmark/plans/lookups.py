@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.analysis import analyze_keyword, analyze_standard, tokens as token_rows
 from shelfmark.functions.distance import edit_distance
-from shelfmark.operators import facets as fa
+from shelfmark.operators import completions, facets as fa
 from shelfmark.operators import suggest as su
 from shelfmark.operators import terms as te
 from shelfmark.operators.predicates import P, condition
@@ -214,6 +214,34 @@ def suggest_named(spark, sf_dir):
     ).select(*SUGGESTION, "doc_id", "field", "value")
 
 
+def _completed(spark, sf_dir, *typed):
+    """What is typed one after the other, completed from the tables of the parts' suggester."""
+    idx = parts(spark, sf_dir)
+    suggester = corpora.PARTS.suggester("names")
+    folder = corpora.PART_CORPUS.folder(spark, sf_dir) + "-completions"
+    found = completions.ensure_completions(spark, folder, idx, suggester)
+    return [completions.complete(idx, found, suggester, t) for t in typed]
+
+
+def complete_short(spark, sf_dir):
+    """A beginning of two letters, from its heaviest texts."""
+    (found,) = _completed(spark, sf_dir, "ec")
+    return found.select(*SUGGESTION, "doc_id", "field", "value")
+
+
+def complete_words(spark, sf_dir):
+    """Several words and longer ones, from the words of the texts."""
+    two, long = _completed(spark, sf_dir, "wid re", "econo")
+    return two.unionByName(long).where("field IS NULL").select(*SUGGESTION, "doc_id")
+
+
+def completion_starts(spark, sf_dir):
+    """The heaviest titles and types of every beginning of up to four letters, three of each."""
+    idx = parts(spark, sf_dir)
+    rows = su.build_suggester(idx, corpora.PARTS.suggester("names"))
+    return completions.heaviest(completions.by_word(rows), kept=3)
+
+
 def result_suggestions(spark, sf_dir):
     return su.result_suggestions(
         documents(spark, sf_dir), "fro tionh", "fulltext", "lang:fr"
@@ -260,6 +288,9 @@ QUERIES = {
     "top_suggestions": top_suggestions,
     "build_suggester": build_suggester,
     "suggest_named": suggest_named,
+    "complete_short": complete_short,
+    "complete_words": complete_words,
+    "completion_starts": completion_starts,
     "result_suggestions": result_suggestions,
     "return_fields": return_fields,
 }
@@ -421,6 +452,25 @@ SELECT 'parts' AS index_name, 'names' AS suggester, text, weight, doc_id FROM he
 SELECT h.*, {_marked('ec')} AS highlight FROM heaviest h
 WHERE regexp_matches(lower(text), '(?:^|[^\\p{{L}}\\p{{N}}])ec'))
 {_with_fields(_suggestions('m', more=', doc_id'), {'brand': 'p_brand', 'type': 'p_type'}, _KEYS)}""",
+    "complete_short": f"""WITH {_cand(('p_name', 2.0), ('p_type', 1.0))}, m AS (
+SELECT h.*, {_marked('ec')} AS highlight FROM heaviest h
+WHERE regexp_matches(lower(text), '(?:^|[^\\p{{L}}\\p{{N}}])ec'))
+{_with_fields(_suggestions('m', more=', doc_id'), {'brand': 'p_brand', 'type': 'p_type'}, _KEYS)}""",
+    "complete_words": f"""WITH {_cand(('p_name', 2.0), ('p_type', 1.0))}, m AS (
+SELECT h.*, {_marked('wid|re')} AS highlight FROM heaviest h
+WHERE regexp_matches(lower(text), '(?:^|[^\\p{{L}}\\p{{N}}])wid')
+  AND regexp_matches(lower(text), '(?:^|[^\\p{{L}}\\p{{N}}])re')),
+k AS (SELECT h.*, {_marked('econo')} AS highlight FROM heaviest h
+WHERE regexp_matches(lower(text), '(?:^|[^\\p{{L}}\\p{{N}}])econo'))
+SELECT * FROM ({_suggestions('m', more=', doc_id')})
+UNION ALL SELECT * FROM ({_suggestions('k', more=', doc_id')})""",
+    "completion_starts": f"""WITH {_cand(('p_name', 2.0), ('p_type', 1.0))}, w AS (
+SELECT DISTINCT text, weight, doc_id, unnest(list_filter(
+  string_split_regex(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '')) AS word FROM heaviest),
+s AS (SELECT DISTINCT text, weight, doc_id, substr(word, 1, n) AS start
+      FROM w, (SELECT unnest([1, 2, 3, 4]) AS n) WHERE length(word) >= n)
+SELECT start, text, weight, 'parts' AS index_name, doc_id FROM s
+QUALIFY row_number() OVER (PARTITION BY start ORDER BY weight DESC, text) <= 3""",
     "result_suggestions": f"""WITH {tokens()}, w AS (
 SELECT index_name, doc_id, max(CASE WHEN starts_with(term, 'fro') THEN 1.0 ELSE 0.0 END)
        + max(CASE WHEN starts_with(term, 'tionh') THEN 1.0 ELSE 0.0 END) AS score

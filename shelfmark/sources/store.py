@@ -15,6 +15,7 @@ import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,9 @@ LAYOUT = {
     "deletions": (["index_name"], ["index_name", "doc_id"]),
 }
 BUILT = [name for name in LAYOUT if name != "deletions"]
+#: How long a claimed version may take to be written, and how often a batch that waits looks again.
+LEASE_SECONDS = 6 * 3600.0
+CLAIM_WAIT_SECONDS = 1.0
 #: Tables made of the dictionary of a version, on demand, for near terms and patterns.
 LOOKUPS = {"variants": build.variants, "grams": build.grams}
 LAYOUT |= {
@@ -130,19 +134,91 @@ def append_batch(
     values: DataFrame,
     definition: Column,
     analyzer: Analyzer = analyze_standard,
+    lease_seconds: float = LEASE_SECONDS,
 ) -> IndexTables:
     """Bring an index up to date with one batch of changes, as its next version.
 
     ``touched`` names the files looked at (index_name, _src); ``docs`` and ``values`` are what is
     there now. Documents of touched files are removed, present ones added. The size of the work is
     that of the batch. ``label`` tells batches apart: one that is already part of the index changes
-    nothing, and one that failed half-way is written anew.
+    nothing, and one that failed half-way is written anew. Batches of one index come one after the
+    other: a second one waits, and takes over from a run that died once ``lease_seconds`` are over.
     """
+    version = _claim(spark, path, label, lease_seconds)
+    if version is None:
+        return must_read(spark, path)
+    try:
+        return _append(spark, path, version, label, touched, docs, values, definition, analyzer)
+    except BaseException:
+        _release(spark, path, version, label)
+        raise
+
+
+def _claim_file(spark: SparkSession, path: str, version: int):
+    """File system and path of what says whose a version is."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/claims/{version}")
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def _claimed_by(spark: SparkSession, path: str, version: int) -> str | None:
+    """Label of the batch that a version belongs to, or None where it is free."""
+    system, target = _claim_file(spark, path, version)
+    if not system.exists(target):
+        return None
+    rows = spark.read.option("wholetext", "true").text(target.toString()).collect()
+    return rows[0]["value"] if rows else ""
+
+
+def _claim(spark: SparkSession, path: str, label: str, lease_seconds: float) -> int | None:
+    """The next version, which from now on is the batch's own; None if the batch is part of the index.
+
+    Of several writers one creates the file; where a file system lets several of them through, the label
+    that stays counts. Who comes second waits for the other batch to end and takes the version after
+    it: a batch must see what was there before it. A claim older than the lease is of a run that died.
+    """
+    while True:
+        must_read(spark, path)
+        known = _manifests(spark, path, None)
+        if any(r["label"] == label for r in known):
+            return None
+        version = known[-1]["version"] + 1
+        system, target = _claim_file(spark, path, version)
+        try:
+            out = system.create(target, False)
+        except Py4JJavaError:
+            if not system.exists(target):
+                raise
+        else:
+            out.write(bytearray(label.encode()))
+            out.close()
+        if _claimed_by(spark, path, version) == label:
+            return version
+        if time.time() - system.getFileStatus(target).getModificationTime() / 1000 > lease_seconds:
+            system.delete(target, False)
+        else:
+            time.sleep(CLAIM_WAIT_SECONDS)
+
+
+def _release(spark: SparkSession, path: str, version: int, label: str) -> None:
+    """Give up a version whose batch failed."""
+    if _claimed_by(spark, path, version) == label:
+        system, target = _claim_file(spark, path, version)
+        system.delete(target, False)
+
+
+def _append(
+    spark: SparkSession,
+    path: str,
+    version: int,
+    label: str,
+    touched: DataFrame,
+    docs: DataFrame,
+    values: DataFrame,
+    definition: Column,
+    analyzer: Analyzer,
+) -> IndexTables:
+    """Write the tables of a batch as a version it has claimed."""
     before = must_read(spark, path)
-    known = _manifests(spark, path, None)
-    if any(r["label"] == label for r in known):
-        return before
-    version = known[-1]["version"] + 1
     files = touched.select("index_name", "_src").distinct()
     replaced = before.docs.join(files, ["index_name", "_src"], "left_semi").select(*HIT)
     gone = write_table(replaced, path, "deletions", version)
@@ -172,7 +248,10 @@ def append_batch(
         docs=new_docs, fields=new, postings=postings, dictionary=dictionary, field_stats=field_stats, catalog=catalog
     )
     schemas = {name: tables[name].schema for name in BUILT}
-    _write_manifest(spark, path, version, schemas, gone.count(), label)
+    removed = gone.count()
+    if _claimed_by(spark, path, version) != label:
+        raise RuntimeError(f"version {version} of {path} was taken over while {label} was written")
+    _write_manifest(spark, path, version, schemas, removed, label)
     if _looked_up(spark, path):
         add_lookups(spark, path)
     return must_read(spark, path)
@@ -232,6 +311,12 @@ def _read_table(
     return rows.where(F.col("version").isin(list(versions)))
 
 
+def last_version(spark: SparkSession, path: str) -> int | None:
+    """The newest complete version of the index under ``path``, or None where there is none."""
+    known = _manifests(spark, path, None)
+    return known[-1]["version"] if known else None
+
+
 def version_of(spark: SparkSession, path: str, label: str) -> int:
     """The version a batch became."""
     return next(r["version"] for r in _manifests(spark, path, None) if r["label"] == label)

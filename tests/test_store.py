@@ -1,9 +1,13 @@
 """Written indexes: reading back, batches of changes, clearing and deleting."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
+from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
-from shelfmark.operators import changes, definitions as de, reports, search, suggest, terms
+from shelfmark.operators import changes, completions, definitions as de, reports, search, suggest, terms
 from shelfmark.operators.build import field_values
 from shelfmark.operators.definitions import IndexDefinition, Suggester
 from shelfmark.operators.predicates import P
@@ -94,6 +98,72 @@ def test_a_batch_cut_short_is_not_seen_and_written_anew(spark, path, tmp_path):
     assert everything(idx) == rebuilt(spark, tmp_path, want)
 
 
+def test_batches_at_the_same_time_come_one_after_the_other(spark, path, tmp_path):
+    def batch(label, text):
+        docs, values = content(spark, {2: text, 5: text})
+        return store.append_batch(spark, path, label, touched(spark, [2, 5]), docs, values, F.lit("d"))
+
+    with ThreadPoolExecutor(2) as pool:
+        jobs = [pool.submit(inheritable_thread_target(spark)(batch), label, label) for label in ("red", "blue")]
+        for job in jobs:
+            job.result()
+    labels = [r["label"] for r in store._manifests(spark, path, None)]
+    assert sorted(labels) == ["blue", "build", "red"] and store.last_version(spark, path) == 2
+    want = {**FIRST, 2: labels[-1], 5: labels[-1], 100: "quick other"}
+    assert everything(store.read_index(spark, path)) == rebuilt(spark, tmp_path, want)
+
+
+def test_a_version_claimed_by_a_run_that_died(spark, path):
+    system, target = store._claim_file(spark, path, 1)
+    out = system.create(target, False)
+    out.write(bytearray(b"dead"))
+    out.close()
+    docs, values = content(spark, {9: "finished"})
+    store.append_batch(spark, path, "one", touched(spark, [9]), docs, values, F.lit("d"), lease_seconds=0)
+    assert store.version_of(spark, path, "one") == 1 and store._claimed_by(spark, path, 1) == "one"
+    # A batch that fails gives its version up.
+    with pytest.raises(AnalysisException):
+        store.append_batch(spark, path, "two", touched(spark, [9]), docs, values.drop("field"), F.lit("d"))
+    assert store._claimed_by(spark, path, 2) is None
+
+
+def test_completions_follow_their_index(spark, path, monkeypatch):
+    suggester = Suggester("s", ("fulltext", "kind"), weights={"kind": 2.0})
+    asked = ["qu", "quick", "do la", "the e", "o", "ol", "dog.", "x", "brown fox quick", "'qu"]
+
+    def compared():
+        idx = store.must_read(spark, path)
+        found = completions.current_completions(spark, path, suggester)
+        for typed in asked:
+            plain = suggest.suggest(idx, typed, ["fulltext", "kind"], weights={"kind": 2.0})
+            made = completions.complete(idx, found, suggester, typed)
+            columns = ["rank", "text", "weight", "highlight", "doc_id"]
+            assert made.select(columns).collect() == plain.select(columns).collect(), typed
+        return found
+
+    before = compared()
+    written = before.words.inputFiles()
+    assert completions.current_completions(spark, path, suggester).words.inputFiles() == written
+    plan = completions.matching(before, ["quick"])._jdf.queryExecution().toString()
+    assert "StringStartsWith(word,quick)" in plan
+    short = completions.matching(before, ["qu"])._jdf.queryExecution().toString()
+    assert "EqualTo(start,qu)" in short and "RLIKE" not in short
+    docs, values = content(spark, {2: "quicker", 6: "quaint old dogs", 7: "quick"})
+    store.append_batch(spark, path, "more", touched(spark, [1, 2]), docs, values, F.lit("d"))
+    assert compared().words.inputFiles() != written
+
+
+def test_beginnings_keep_the_heaviest_texts(spark):
+    rows = [("aa ab", 1.0), ("aab", 3.0), ("ac", 2.0), ("b", 5.0), ("aaa", 3.0), ("", 9.0)]
+    df = spark.createDataFrame([("i", "s", t, t.split(), w, 1) for t, w in rows],
+                               "index_name STRING, suggester STRING, text STRING, words ARRAY<STRING>, weight DOUBLE, doc_id LONG")
+    found = completions.heaviest(completions.by_word(df), kept=2, short=2)
+    got = {}
+    for r in found.collect():
+        got.setdefault(r["start"], set()).add(r["text"])
+    assert got == {"a": {"aaa", "aab"}, "aa": {"aaa", "aab"}, "ab": {"aa ab"}, "ac": {"ac"}, "b": {"b"}}
+
+
 def test_clear_keeps_the_name_and_delete_does_not(spark, path):
     names = spark.createDataFrame([("i",), ("other",), ("bad name",)], "index_name STRING")
     definitions = [IndexDefinition("a", "i", "/i"), IndexDefinition("b", "ot{name}", "/o/{name}")]
