@@ -33,7 +33,7 @@ SAMPLES = 3
 #: Steps sampled for each byte of a window at up to MOST_EDITS; fewer for more edits.
 SAMPLED = 0.75
 #: Window bytes are a third of the shortest item, within these bounds; items of fewer bytes than
-#: LEAST_ITEM are too short to count as passages.
+#: LEAST_ITEM are looked for word by word.
 WINDOW = (12, 20)
 LEAST_ITEM = 24
 #: Bits of the Bloom filter, as a power of two, and of the blocks it is built in.
@@ -227,6 +227,50 @@ def _regions(
             yield doc, docs[doc][a:b].decode("utf-8", "ignore"), begun, hashes[some]
 
 
+def find_verbatim(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Items too short for windows: (doc_id, item_id, distance, length) where their words stand in a document.
+
+    Runs of as many words as an item has are joined with the items by equality. So short, an item has
+    a dozen words at most, so there are few lengths of runs; without short items no document is read.
+    """
+
+    def read_items(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = batch.assign(item=batch["text"].map(normal))[["item_id", "item"]]
+            sizes = rows["item"].str.encode("utf-8").str.len()
+            yield rows[(sizes > 0) & (sizes < LEAST_ITEM)].assign(n_words=rows["item"].str.count(" ") + 1)
+
+    def normalise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch[["doc_id"]].assign(words=[normal(t).split() for t in batch["text"]])
+
+    short = (
+        items.select(F.col("item_id").cast("string").alias("item_id"), "text")
+        .where(F.col("text").isNotNull())
+        .distinct()
+        .mapInPandas(read_items, "item_id string, item string, n_words int")
+        .distinct()
+    )
+    short = written(short, "short-items")
+    sizes = sorted(r["n_words"] for r in short.select("n_words").distinct().collect())
+    words = mapped(narrow(docs, id_col, text_col), normalise, "words array<string>")
+    if not sizes:
+        words = words.where("false")
+    runs = [
+        F.expr(
+            f"transform(sequence(1, size(words) - {n - 1}), i -> array_join(slice(words, i, {n}), ' '))"
+            if n > 1 else "words"
+        )
+        for n in sizes or [1]
+    ]
+    runs = [F.when(F.size("words") >= n, run) for n, run in zip(sizes or [1], runs, strict=True)]
+    # Repeats of a run in a document are one row before anything is shuffled.
+    found = words.select("doc_id", F.explode(F.array_distinct(F.flatten(F.array_compact(F.array(*runs))))).alias("run"))
+    return found.join(short, F.col("run") == F.col("item")).select(
+        "doc_id", "item_id", F.lit(0).cast("long").alias("distance"), F.length("item").cast("long").alias("length")
+    )
+
+
 def find_passages(
     docs: DataFrame,
     items: DataFrame,
@@ -237,8 +281,9 @@ def find_passages(
     """One row per document and item found in it: doc_id, item_id, distance, similarity.
 
     An item is found where some part of the document, lower-cased and with white space as single
-    spaces, is at most ``most_edits`` edits per code point of the item away. Null, empty and very
-    short items are found nowhere, and null and empty texts hold none. Items repeated with their id
+    spaces, is at most ``most_edits`` edits per code point of the item away. Items of fewer than
+    ``LEAST_ITEM`` bytes are found where all their words stand in the document unchanged. Null and
+    empty items are found nowhere, and null and empty texts hold none. Items repeated with their id
     count once, equal items with different ids each; repeated documents give one row. With an empty
     table there are no rows.
     """
@@ -338,6 +383,7 @@ def find_passages(
     )
     return (
         mapped(candidates, verify, "item_id string, distance long, length long")
+        .unionByName(find_verbatim(docs, items, id_col, text_col))
         .groupBy("doc_id", "item_id")
         .agg(
             F.min("distance").alias("distance"),

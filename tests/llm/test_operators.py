@@ -153,6 +153,20 @@ def test_token_files(docs, none):
     assert token_files.read_documents(token_files.pack_documents(none, path)).count() == 0
 
 
+def test_short_items_are_found_verbatim(spark):
+    items = spark.createDataFrame(
+        [(1, "Short  one"), (2, "x"), (3, ""), (4, None), (5, "one two\tthree four"), (6, "a much longer item of the benchmark, in one line")],
+        "item_id LONG, text STRING",
+    )
+    texts = {1: "a short\none here", 2: "shorter ones", 3: "X marks", 4: None, 5: "", 6: "zero one TWO three four five, short one short one",
+             7: "ten two three four", 8: "it was a much longer item of a benchmark, in one line"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id LONG, text STRING")
+    found = decontaminate.find_passages(docs, items).collect()
+    want = {(1, 1), (3, 2), (6, 1), (6, 5), (8, 6)}
+    assert {(r["doc_id"], r["item_id"]) for r in found} == want and len(found) == len(want)
+    assert all((r["distance"] == 0) == (r["item_id"] != 6) for r in found)
+
+
 def test_grammars_are_whole():
     """Rules are made until no pair repeats enough, and a vocabulary that 16 bits cannot hold is refused."""
     random = np.random.default_rng(3)
