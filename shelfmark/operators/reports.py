@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.text import date_iso, date_kind, truncate_text
@@ -124,15 +124,18 @@ def recent_batches(batches: DataFrame, n: int = RECENT_BATCHES) -> DataFrame:
 def fingerprint(
     docs: DataFrame, params: dict[str, str] | None = None
 ) -> DataFrame:
-    """One hash that changes when an index of ``docs`` or a parameter changes.
+    """One hash that changes when a document of an index of ``docs``, its time, or a parameter changes.
 
-    Index hashes are added up, which needs no order and no list of indexes in one place.
+    A file put back with an older time counts as a change. Hashes are added up, of documents and then
+    of indexes, which needs no order and no list of either in one place.
     """
-    per_index = docs.groupBy("index_name").agg(
-        F.count("*").alias("n"), F.max("_lastmodified").alias("last")
-    )
-    state = F.concat_ws("%", "index_name", "n", F.unix_millis("last"))
-    part = F.conv(F.substring(F.md5(state), 1, 12), 16, 10).cast("decimal(38,0)")
+
+    def hashed(state: Column) -> Column:
+        return F.conv(F.substring(F.md5(state), 1, 12), 16, 10).cast("decimal(38,0)")
+
+    document = F.concat_ws("%", F.col("doc_id").cast("string"), F.unix_millis("_lastmodified"))
+    per_index = docs.groupBy("index_name").agg(F.count("*").alias("n"), F.sum(hashed(document)).alias("state"))
+    part = hashed(F.concat_ws("%", "index_name", "n", "state"))
     asked = "%".join(f"{k}={v}" for k, v in sorted((params or {}).items()))
     return per_index.agg(
         F.md5(F.concat_ws("%", F.lit(asked), F.coalesce(F.sum(part), F.lit(0)))).alias(

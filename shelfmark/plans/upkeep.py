@@ -482,7 +482,9 @@ compute_ms, index_ms + compute_ms AS total_ms, finished FROM batches""",
     "recent_batches": f"""WITH {_BATCHES} SELECT batch_id, created, finished FROM batches
 ORDER BY created DESC, batch_id DESC LIMIT 200""",
     "version_fingerprint": f"""WITH {DOCS}, per AS (
-SELECT index_name || '%' || count(*) || '%' || (max(lm) // 1000) AS state FROM docs GROUP BY index_name)
+SELECT index_name || '%' || count(*) || '%'
+       || sum(CAST('0x' || substr(md5(doc_id || '%' || (lm // 1000)), 1, 12) AS BIGINT)) AS state
+FROM docs GROUP BY index_name)
 SELECT md5('base=%facets=lang%' || sum(CAST('0x' || substr(md5(state), 1, 12) AS BIGINT))) AS fingerprint
 FROM per""",
     "classify_event": f"WITH {EVENTS} SELECT event_id, path, {EVENT_CLASS} AS event_class FROM ev",

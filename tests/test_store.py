@@ -183,6 +183,17 @@ def test_clear_keeps_the_name_and_delete_does_not(spark, path):
     assert [r["index_name"] for r in store.registry(spark, path).collect()] == ["i"]
 
 
+def test_fingerprint_sees_older_times_and_other_documents(spark):
+    def of(rows, params=None):
+        docs = spark.createDataFrame(rows, "index_name STRING, doc_id LONG, s INT")
+        docs = docs.withColumn("_lastmodified", F.timestamp_seconds("s"))
+        return reports.fingerprint(docs, params).head()["fingerprint"]
+
+    first = [("i", 1, 10), ("i", 2, 20), ("j", 3, 5)]
+    seen = {of(first), of([("i", 1, 9), *first[1:]]), of([("i", 4, 10), *first[1:]]), of(first, {"a": "b"}), of([])}
+    assert len(seen) == 5 and of(first[::-1]) == of(first)
+
+
 def test_second_diff_is_all_ignore(spark):
     source = spark.createDataFrame(
         [("/r/a.psml", 10), ("/r/b.psml", 20), ("/r/c.psml", 5)], "_src STRING, s INT"
