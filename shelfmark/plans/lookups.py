@@ -89,7 +89,7 @@ def top_terms(spark, sf_dir):
 
 
 def fuzzy_terms(spark, sf_dir):
-    return te.fuzzy_terms(documents(spark, sf_dir), "eriner", "fulltext")
+    return te.fuzzy_terms(documents(spark, sf_dir, lookups=True), "eriner", "fulltext")
 
 
 def prefix_terms(spark, sf_dir):
@@ -97,11 +97,11 @@ def prefix_terms(spark, sf_dir):
 
 
 def similar_terms(spark, sf_dir):
-    return te.similar_terms(parts(spark, sf_dir), "widge", "title,type")
+    return te.similar_terms(parts(spark, sf_dir, lookups=True), "widge", "title,type")
 
 
 def similar_terms_text(spark, sf_dir):
-    return te.similar_terms(documents(spark, sf_dir), "thanea")
+    return te.similar_terms(documents(spark, sf_dir, lookups=True), "thanea")
 
 
 def edit_distances(spark, sf_dir):

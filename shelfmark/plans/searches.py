@@ -89,7 +89,7 @@ def predicate_wildcard(spark, sf_dir):
 
 def predicate_infix(spark, sf_dir):
     """A pattern without a fixed beginning, found by the grams of the dictionary."""
-    return _all_hits(search.find(documents(spark, sf_dir), P.wildcard("fulltext", "*tha?ea*")))
+    return _all_hits(search.find(documents(spark, sf_dir, lookups=True), P.wildcard("fulltext", "*tha?ea*")))
 
 
 def predicate_range(spark, sf_dir):
@@ -98,7 +98,7 @@ def predicate_range(spark, sf_dir):
 
 
 def predicate_fuzzy(spark, sf_dir):
-    return _all_hits(search.find(documents(spark, sf_dir), P.fuzzy("fulltext", "eriner", 1)))
+    return _all_hits(search.find(documents(spark, sf_dir, lookups=True), P.fuzzy("fulltext", "eriner", 1)))
 
 
 def predicate_boost(spark, sf_dir):

@@ -2,14 +2,17 @@
 
 import random
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from shelfmark.functions.analysis import analyze_standard
 from shelfmark.functions.distance import deletions, deletions_of
 from shelfmark.operators import build, terms
 from shelfmark.operators.build import field_values
 from shelfmark.operators.predicates import P, near_terms
+from shelfmark.plans import corpora
 from shelfmark.sources import store
 
 
@@ -93,3 +96,38 @@ def test_without_the_tables_the_dictionary_is_read(spark, tmp_path):
     idx = store.read_index(spark, str(tmp_path))
     found = sorted(r["term"] for r in near_terms(idx, "word", "abca").collect())
     assert found == [w for w in words(1, 50) if distance(w, "abca") <= 2]
+
+
+def test_lookups_are_written_when_first_asked_for(spark, tmp_path):
+    rows = [(n, t, "en", "src1", len(t)) for n, t in enumerate(["a quick fox", "quack", "brown cow"])]
+    texts = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    texts.write.parquet(f"{tmp_path}/documents.parquet")
+    labels = spark.createDataFrame([(0, 1, 0)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    idx = corpora.documents(spark, str(tmp_path))
+    path = store.latest_build(spark, corpora.DOCUMENT_CORPUS.folder(spark, str(tmp_path)))
+    made = lambda: {p.name for p in Path(path.removeprefix("file:")).iterdir()} & set(store.LOOKUPS)
+    found = lambda i: sorted(r["term"] for r in near_terms(i, "fulltext", "quick").collect())
+    assert found(idx) == ["quack", "quick"] and not made()
+    assert found(corpora.documents(spark, str(tmp_path), lookups=True)) == ["quack", "quick"]
+    assert made() == set(store.LOOKUPS)
+    assert found(corpora.documents(spark, str(tmp_path))) == ["quack", "quick"]
+
+
+def test_what_a_task_sorts_does_not_grow_with_the_table(spark, monkeypatch):
+    monkeypatch.setattr(store, "ROWS_A_TASK", 50)
+    rows = spark.range(1000).selectExpr("'i' index_name", "'f' field", "cast(id as string) term", "id doc_id", "0 ord")
+    dealt = store._dealt(rows, "postings", 1000)
+    assert dealt.rdd.getNumPartitions() == 20
+    assert max(dealt.groupBy(F.spark_partition_id()).count().toPandas()["count"]) < 150
+
+
+def test_texts_are_sorted_before_they_are_analyzed(spark, tmp_path, monkeypatch):
+    written = []
+    monkeypatch.setattr(store, "_write", lambda df, path, name, version, mode="overwrite": written.append((df, mode)))
+    texts = docs(spark, words(5, 50)).withColumn("n", F.lit(1))
+    store._write_fields(field_values(texts, ["word"], ["n"]), str(tmp_path), 0, analyze_standard)
+    for df, _ in written:
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("AS terms") < plan.index("Sort [")
+    assert [mode for _, mode in written] == ["overwrite", "append"]
