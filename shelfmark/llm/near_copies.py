@@ -1,9 +1,12 @@
 """Near copies by their shingles: word runs that two texts share, as Jaccard similarity.
 
-A text is the set of its shingles' hashes. Each set has ``BANDS`` keys of ``BAND`` min-hashes; sets
-with a key in common are candidates, and two sets of similarity 0.8 miss each other in all keys with a
-probability of 0.003, more similar ones with less. Keys only choose candidates: links are made where
-the similarity of the whole sets, computed exactly, reaches the bound.
+A text is the set of its shingles' hashes, and has ``FINGERPRINTS`` independent SimHash fingerprints
+of them. Vantage-point trees (``simhash.near_links``) find the fingerprints that lie within two bits of
+each other; sets whose fingerprints are linked are candidates. So are sets with one of ``BANDS`` keys of
+``BAND`` min-hashes in common, since sets of similarity 0.8 differ in about ten of 64 bits, a radius at
+which no tree leaves anything out: by keys two such sets miss each other with a probability of 0.003.
+Both only choose candidates: links are made where the similarity of the whole sets, computed exactly,
+reaches the bound.
 
 Sets are known by a digest, so that texts with equal shingles take part once. They are made anew for
 candidates only, never written for all. Keys that hold the same sets count once. A key's sets are
@@ -18,16 +21,18 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import mapped, narrow, only, written
 from shelfmark.llm.components import components
+from shelfmark.llm.simhash import near_links
 
 SHINGLE_WORDS = 5
 LEAST_SIMILARITY = 0.8
 BANDS = 25
 BAND = 7
+FINGERPRINTS = 4
 SEED = 42
 #: Shingles that are min-hashed together.
 AT_ONCE = 4096
@@ -35,6 +40,7 @@ AT_ONCE = 4096
 _random = np.random.default_rng(SEED)
 _ODD = _random.integers(0, 2**63, BANDS * BAND, np.uint64) * np.uint64(2) + np.uint64(1)
 _PLUS = _random.integers(0, 2**63, BANDS * BAND, np.uint64)
+_SALTS = _random.integers(0, 2**63, FINGERPRINTS, np.uint64)
 
 
 def shingles(text: str, shingle_words: int = SHINGLE_WORDS) -> np.ndarray:
@@ -68,6 +74,43 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(r.tobytes(), n) for n, r in enumerate(rows)], np.uint64).view(np.int64)
 
 
+def fingerprints_of(hashes: np.ndarray) -> np.ndarray:
+    """SimHash fingerprints of a set: a bit is set where over half of the salted hashes have it."""
+    made = []
+    for salt in _SALTS:
+        mixed = hashes ^ salt
+        for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
+            mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(factor)
+        mixed ^= mixed >> np.uint64(33)
+        counts = np.zeros(64, np.int64)
+        for k in range(0, mixed.size, 100_000):
+            some = mixed[k : k + 100_000].view(np.uint8).reshape(-1, 8)
+            counts += np.unpackbits(some, axis=1, bitorder="little").sum(0, dtype=np.int64)
+        made.append(np.packbits(counts * 2 > hashes.size, bitorder="little").view(np.int64)[0])
+    return np.array(made, np.int64)
+
+
+def tree_keys(classes: DataFrame) -> DataFrame:
+    """Keys that sets share where trees link their fingerprints: digest, least, key.
+
+    ``classes`` has digest, least and fps, the fingerprints of a set in the order of their salts.
+    """
+    held = classes.select("digest", "least", F.posexplode("fps").alias("salt", "fp"))
+    total = classes.count()
+
+    def node(column: str) -> Column:
+        return F.concat_ws(":", F.col("salt").cast("string"), F.col(column).cast("string"))
+
+    links = None
+    for salt in range(FINGERPRINTS):
+        found = near_links(held.where(F.col("salt") == salt).select("fp").distinct(), total)
+        found = found.withColumn("salt", F.lit(salt)).select(node("u").alias("u"), node("v").alias("v"))
+        links = found if links is None else links.unionByName(found)
+    roots = components(links).select(F.col("u").alias("node"), F.col("v").alias("root"))
+    named = held.withColumn("node", node("fp")).join(roots, "node", "left")
+    return named.select("digest", "least", F.xxhash64(F.coalesce("root", "node")).alias("key"))
+
+
 def similar_links(sets: list[np.ndarray], least_similarity: float = LEAST_SIMILARITY) -> list[tuple[int, int]]:
     """Links that span the components of sets with at least that Jaccard similarity, breadth first."""
     sizes = np.array([s.size for s in sets], np.int64)
@@ -117,8 +160,8 @@ def near_groups(
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
                 hashes = shingles(text, shingle_words)
-                rows.append((doc_id, digest_of(hashes), band_keys(hashes)))
-            yield pd.DataFrame(rows, columns=["doc_id", "digest", "keys"])
+                rows.append((doc_id, digest_of(hashes), band_keys(hashes), fingerprints_of(hashes)))
+            yield pd.DataFrame(rows, columns=["doc_id", "digest", "keys", "fps"])
 
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -135,10 +178,13 @@ def near_groups(
         names = bucket["digest"].to_numpy()
         return pd.DataFrame({"u": names[at[:, 0]], "v": names[at[:, 1]]})
 
-    marked = written(mapped(narrow(docs, id_col, text_col), mark, "digest string, keys array<long>"), "shingled")
-    classes = marked.groupBy("digest").agg(F.min("doc_id").alias("least"), F.first("keys").alias("keys"))
+    marked = written(mapped(narrow(docs, id_col, text_col), mark, "digest string, keys array<long>, fps array<long>"), "shingled")
+    classes = marked.groupBy("digest").agg(
+        F.min("doc_id").alias("least"), F.first("keys").alias("keys"), F.first("fps").alias("fps")
+    )
     classes = written(classes, "classes")
     keyed = classes.select("digest", "least", F.explode("keys").alias("key"))
+    keyed = written(keyed.unionByName(tree_keys(classes)), "keyed")
     held = keyed.groupBy("key").agg(
         F.count("*").alias("n"),
         F.bit_xor(F.xxhash64("digest")).alias("one"),

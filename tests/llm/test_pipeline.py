@@ -1,12 +1,14 @@
 """The pipeline against its operators, and the registered queries against their SQL."""
 
+import random
 import re
 
 import corpus_pipeline
+import numpy as np
 import pytest
 from compare import compare, connect
 
-from shelfmark.llm import bpe, decontaminate, quality, registry
+from shelfmark.llm import bpe, decontaminate, near_copies, quality, registry
 from shelfmark.llm.common import documents
 
 SMALL = "/root/testdata/sf0.001"
@@ -64,3 +66,30 @@ def test_stages_take_empty_tables(spark):
     docs = documents(spark, SMALL).where("false")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SMALL).count() == 0
+
+
+def test_near_copies_come_from_trees_of_fingerprints(spark):
+    """Fingerprints by counting bits, and sets that share a key where a chain of at most two bits leads."""
+    rng = random.Random(7)
+    rows = []
+    for n in range(60):
+        start = [rng.getrandbits(63) for _ in range(near_copies.FINGERPRINTS)]
+        rows.append((f"a{n}", n, start))
+        rows.append((f"b{n}", 100 + n, [rng.getrandbits(63) for _ in start[1:]] + [start[-1] ^ 0b101]))
+        rows.append((f"c{n}", 200 + n, [rng.getrandbits(63) for _ in start[1:]] + [start[-1] ^ 0b101_0101]))
+        rows.append((f"d{n}", 300 + n, [f ^ 0b111 << 40 for f in start]))
+    classes = spark.createDataFrame(rows, "digest string, least long, fps array<long>")
+    together = {}
+    for r in near_copies.tree_keys(classes).collect():
+        together.setdefault(r.key, set()).add(r.digest)
+    assert {frozenset(g) for g in together.values() if len(g) > 1} == {
+        frozenset({f"a{n}", f"b{n}", f"c{n}"}) for n in range(60)
+    }
+    hashes = near_copies.shingles("one two three four five six seven")
+    got = near_copies.fingerprints_of(hashes).view(np.uint64)
+    for salt, fp in zip(near_copies._SALTS.tolist(), got.tolist(), strict=True):
+        mixed = [h ^ salt for h in hashes.tolist()]
+        for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+            mixed = [(h ^ h >> 33) * factor % 2**64 for h in mixed]
+        mixed = [h ^ h >> 33 for h in mixed]
+        assert fp == sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in mixed) > len(mixed))
