@@ -40,8 +40,12 @@ LEAST_ITEM = 24
 BLOOM_BITS = 27
 BLOOM_BLOCK = 1 << 17
 AT_ONCE = 2 << 20
+#: Windows whose walks are done together; bounds memory only.
+WINDOWS_AT_ONCE = 1 << 13
 #: Pairs verified together; bounds memory only.
 PAIRS_AT_ONCE = 4096
+#: Up to so many pairs, a step's cost is that of its calls.
+FEW_PAIRS = 512
 #: Letters by which beginnings of an item may differ and be verified together.
 STEP = 64
 _MIX2 = np.uint64(0xD6E8FEB86659FD93)
@@ -60,54 +64,56 @@ class Walks:
 
     def __post_init__(self) -> None:
         random = np.random.default_rng(20 + self.window)
-        steps = 2 * self.window
-        self.moves = random.integers(0, 2, (WALKS, steps, 256)).astype(np.intp)
-        self.moves[:, :, 0] = 0  # nothing lies behind the end of a window
-        self.values = random.integers(0, 2**64, (WALKS, steps, 256), np.uint64)
+        self.steps = steps = 2 * self.window
+        moves = random.integers(0, 2, (WALKS, steps, 256)).astype(bool)
+        moves[:, :, 0] = False  # nothing lies behind the end of a window
+        values = random.integers(0, 2**64, (WALKS, steps, 256), np.uint64)
         sampled = max(6, round(SAMPLED * self.window * min(1, MOST_EDITS / max(self.most_edits, 1e-9))))
-        self.picked = [
-            [np.sort(random.choice(steps, sampled, replace=False)) for _ in range(SAMPLES)]
-            for _ in range(WALKS)
-        ]
+        picked = np.zeros((WALKS, SAMPLES, steps, 1), bool)
+        for k in np.ndindex(WALKS, SAMPLES):
+            picked[k][np.sort(random.choice(steps, sampled, replace=False))] = True
+        # For a letter and the step at which a walk comes to it: how many steps it stays, and what these
+        # add to each hash. From the last step to the first, as a walk that stays goes on as the next step does.
+        self.stays = np.zeros((WALKS, 256, steps + 1, 1 + SAMPLES), np.uint64)
+        for step in range(steps - 1, -1, -1):
+            here = self.stays[:, :, step]
+            here[:] = np.where(moves[:, step, :, None], np.uint64(0), self.stays[:, :, step + 1])
+            here[..., 0] += np.uint64(1)
+            here[..., 1:] += np.where(picked[:, :, step], values[:, None, step], np.uint64(0)).transpose(0, 2, 1)
+        self.stays = self.stays.reshape(WALKS, -1, 1 + SAMPLES)
 
     @property
     def stride(self) -> int:
         return self.window // 4
 
-    def hashes(self, data: np.ndarray, stride: int) -> Iterator[tuple[int, np.ndarray]]:
-        """Blocks of windows: the number of the first, and one row of hashes per sample.
+    def sums(self, data: np.ndarray, stride: int) -> Iterator[tuple[int, np.ndarray]]:
+        """Blocks of windows: the number of the first, and for each walk and window the steps done and its hashes.
 
-        A hash is the sum of random numbers that stand for the letters at the sampled steps.
+        A hash is the sum of random numbers that stand for the letters at the sampled steps. Walks are
+        done letter by letter: all steps that one stays on a letter are read at once.
         """
-        if data.size < self.window:
-            return
-        views = np.lib.stride_tricks.sliding_window_view(data, self.window)[::stride]
-        for first in range(0, len(views), 1 << 15):
-            some = views[first : first + (1 << 15)]
-            padded = np.zeros((len(some), self.window + 1), np.uint8)
-            padded[:, :-1] = some
-            flat = padded.ravel()
-            starts = np.arange(len(some), dtype=np.intp) * (self.window + 1)
-            letter, moved = np.empty(len(some), np.intp), np.empty(len(some), np.intp)
-            read, value = np.empty(len(some), np.uint8), np.empty(len(some), np.uint64)
-            found = []
+        count = (data.size - self.window) // stride + 1
+        begin = np.zeros((WALKS, 1, 1 + SAMPLES), np.uint64)
+        begin[:, 0, 1:] = np.arange(1, WALKS * SAMPLES + 1).reshape(WALKS, SAMPLES)
+        for first in range(0, count, WINDOWS_AT_ONCE):
+            n = min(WINDOWS_AT_ONCE, count - first)
+            some = data[first * stride :][: (n - 1) * stride + self.window].astype(np.intp) * (self.steps + 1)
+            letters = [np.ascontiguousarray(some[at::stride][:n]) for at in range(self.window)]
+            letters.append(np.zeros(n, np.intp))
+            row, stay = np.empty(n, np.intp), np.empty((n, 1 + SAMPLES), np.uint64)
+            found = np.repeat(begin, n, axis=1)
             for walk in range(WALKS):
-                at = starts.copy()
-                sums = [np.full(len(some), walk * SAMPLES + k + 1, np.uint64) for k in range(SAMPLES)]
-                picked = [set(p.tolist()) for p in self.picked[walk]]
-                last = max(max(p) for p in picked)
-                for step in range(last + 1):
-                    np.take(flat, at, out=read, mode="clip")
-                    letter[:] = read
-                    samples = [k for k in range(SAMPLES) if step in picked[k]]
-                    if samples:
-                        np.take(self.values[walk, step], letter, out=value, mode="clip")
-                        for k in samples:
-                            sums[k] += value
-                    np.take(self.moves[walk, step], letter, out=moved, mode="clip")
-                    at += moved
-                found += sums
-            yield first, np.stack(found)
+                step = found[walk, :, 0].view(np.intp)
+                for letter in letters:
+                    np.add(letter, step, out=row)
+                    np.take(self.stays[walk], row, axis=0, out=stay, mode="clip")
+                    found[walk] += stay
+            yield first, found
+
+    def hashes(self, data: np.ndarray, stride: int) -> Iterator[tuple[int, np.ndarray]]:
+        """Blocks of windows: the number of the first, and one row of hashes per sample."""
+        for first, found in self.sums(data, stride):
+            yield first, found[:, :, 1:].transpose(0, 2, 1).reshape(WALKS * SAMPLES, -1)
 
 
 def bloom_places(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,11 +121,22 @@ def bloom_places(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return hashes >> shift, ((hashes ^ (hashes >> np.uint64(29))) * _MIX2) >> shift
 
 
+def outline(bloom: np.ndarray) -> np.ndarray:
+    """One bit for every 16 of the filter: small enough for a core's cache, it stops most windows."""
+    return np.packbits(bloom.view(np.uint16) != 0, bitorder="little")
+
+
+def _bits(packed: np.ndarray, places: np.ndarray) -> np.ndarray:
+    places = places.view(np.int64)
+    return (packed.take(places >> 3, mode="clip") >> (places & 7).astype(np.uint8)) & 1 == 1
+
+
 def least_distances(items: list[str], texts: list[str]) -> np.ndarray:
     """The least edit distance of each item to any part of the text beside it.
 
     Bit-parallel dynamic programming over many pairs at once: a column of the table is a few 64-bit
-    words per pair, and each step takes in one letter of every text. Pairs of like sizes go together.
+    words per pair, and each step takes in one letter of every text. Pairs of like sizes go together,
+    and few pairs whatever their sizes.
     """
     lengths = np.array([len(i) for i in items], np.int64)
     sizes = np.array([len(t) for t in texts], np.int64)
@@ -128,22 +145,40 @@ def least_distances(items: list[str], texts: list[str]) -> np.ndarray:
     order = np.lexsort((sizes, words))
     start = 0
     while start < len(order):
-        end = start + 1
-        while (
-            end < len(order)
-            and end - start < PAIRS_AT_ONCE
-            and words[order[end]] == words[order[start]]
-            and (end + 1 - start) * sizes[order[end]] <= AT_ONCE
-        ):
+        end, longest = start + 1, sizes[order[start]]
+        while end < len(order) and end - start < PAIRS_AT_ONCE:
+            longest = max(longest, sizes[order[end]])
+            alike = words[order[end]] == words[order[start]] or end - start < FEW_PAIRS
+            if not alike or (end + 1 - start) * longest > AT_ONCE:
+                break
             end += 1
         some = order[start:end]
-        best[some] = _column_by_column([items[i] for i in some], [texts[i] for i in some], int(words[some[0]]))
+        best[some] = _column_by_column([items[i] for i in some], [texts[i] for i in some], int(words[some].max()))
         start = end
     return best
 
 
+def distances_within(items: list[str], texts: list[str], most: np.ndarray) -> np.ndarray:
+    """``least_distances`` where they are at most ``most``; elsewhere any larger number.
+
+    The beginning of an item is at no greater distance than the item, so that pairs whose beginnings
+    are too far apart are settled. Behind a beginning the rest of the item, less the edits, has to
+    have room.
+    """
+    lengths = np.array([len(i) for i in items], np.int64)
+    sizes = np.array([len(t) for t in texts], np.int64)
+    begun = np.maximum(64, -(-2 * most // 64) * 64)
+    ends = np.maximum(0, sizes - lengths + begun + most)
+    open_, some = np.ones(len(items), bool), np.flatnonzero(begun < lengths)
+    near = least_distances([items[i][: begun[i]] for i in some], [texts[i][: ends[i]] for i in some])
+    open_[some] = near <= most[some]
+    best, left = most + 1, np.flatnonzero(open_)
+    best[left] = least_distances([items[i] for i in left], [texts[i] for i in left])
+    return best
+
+
 def _column_by_column(items: list[str], texts: list[str], words: int) -> np.ndarray:
-    """``least_distances`` of pairs whose items have as many words of 64 letters."""
+    """``least_distances`` of pairs whose items have at most as many words of 64 letters."""
     n = len(items)
     numbers = {item: i for i, item in enumerate(dict.fromkeys(items))}
     known = sorted({ord(c) for item in numbers for c in item})
@@ -157,15 +192,17 @@ def _column_by_column(items: list[str], texts: list[str], words: int) -> np.ndar
     sizes = np.array([len(text) for text in texts], np.int64)
     longest = int(sizes.max())
     codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
-    places = np.searchsorted(known, codes)
-    other = np.append(known, -1)[places] != codes
+    places = np.full(max(known, default=-1) + 2, len(letters), np.int64)
+    places[known] = np.arange(len(letters))
     read = np.zeros((n, longest), np.int64)
-    read[np.arange(longest) < sizes[:, None]] = np.where(other, len(letters), places)
+    read[np.arange(longest) < sizes[:, None]] = places.take(codes, mode="clip")
     offsets = np.array([numbers[item] for item in items], np.int64) * (len(letters) + 1)
     read = np.ascontiguousarray((read + offsets[:, None]).T)
     score = np.array([len(item) for item in items], np.int64)
     best, one, high = score.copy(), np.uint64(1), np.uint64(63)
     top = np.array([1 << (len(item) - 1) % 64 if item else 0 for item in items], np.uint64)
+    last = (score - 1) // 64
+    tops = [np.where(last == w, top, np.uint64(0)) if (last == w).any() else None for w in range(words)]
     up, down = np.full((words, n), 2**64 - 1, np.uint64), np.zeros((words, n), np.uint64)
     for step in range(longest):
         carry = plus = minus = np.zeros(n, np.uint64)
@@ -179,9 +216,9 @@ def _column_by_column(items: list[str], texts: list[str], words: int) -> np.ndar
             diagonal = (total ^ up[w]) | equal | down[w]
             right_up = down[w] | ~(diagonal | up[w])
             right_down = up[w] & diagonal
-            if w == words - 1:
-                score += ((right_up & top) != 0).astype(np.int64)
-                score -= (right_down & top) != 0
+            if tops[w] is not None:
+                score += ((right_up & tops[w]) != 0).astype(np.int64)
+                score -= (right_down & tops[w]) != 0
             shifted_up, shifted_down = (right_up << one) | plus, (right_down << one) | minus
             plus, minus = right_up >> high, right_down >> high
             up[w] = shifted_down | ~(diagonal | shifted_up)
@@ -195,21 +232,23 @@ def least_distance(item: str, text: str) -> np.ndarray:
 
 
 def _regions(
-    docs: list[bytes], walks: Walks, bloom: np.ndarray, reach: int
+    docs: list[bytes], walks: Walks, bloom: np.ndarray, rough: np.ndarray, reach: int
 ) -> Iterator[tuple[int, str, np.ndarray, np.ndarray]]:
     """Of a few documents: number, text around windows that the filter lets pass, where in it these
     begin (in code points), and their hashes."""
     data = np.frombuffer(b"\0".join(docs), np.uint8)
     starts = np.concatenate([[0], np.cumsum([len(d) + 1 for d in docs])])
     places, passed = [], []
-    for first, hashes in walks.hashes(data, walks.stride):
-        one, two = bloom_places(hashes)
-        sure = (bloom[one >> np.uint64(3)] >> (one & np.uint64(7)).astype(np.uint8)) & 1 == 1
-        rows, columns = np.nonzero(sure)
-        two = two[rows, columns]
-        sure = (bloom[two >> np.uint64(3)] >> (two & np.uint64(7)).astype(np.uint8)) & 1 == 1
-        places.append((first + columns[sure]) * walks.stride)
-        passed.append(hashes[rows[sure], columns[sure]])
+    shift = np.uint64(64 - BLOOM_BITS + 4)
+    for first, found in walks.sums(data, walks.stride):
+        for sums in found:
+            flat = sums.ravel()
+            at = np.flatnonzero(_bits(rough, flat >> shift))
+            at = at[at % sums.shape[1] > 0]  # the first column counts steps
+            one, two = bloom_places(flat[at])
+            at = at[_bits(bloom, one) & _bits(bloom, two)]
+            places.append((first + at // sums.shape[1]) * walks.stride)
+            passed.append(flat[at])
     if not places:
         return
     at, hashes = np.concatenate(places), np.concatenate(passed)
@@ -340,6 +379,7 @@ def find_passages(
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bloom = np.frombuffer(zlib.decompress(sent.value), np.uint8)
+        rough = outline(bloom)
         for batch in batches:
             ids, texts, start = batch["doc_id"], batch["text"].tolist(), 0
             found: list[tuple] = []
@@ -348,7 +388,7 @@ def find_passages(
                 while start + len(some) < len(texts) and (not some or size < AT_ONCE):
                     some.append(normal(texts[start + len(some)]).encode())
                     size += len(some[-1])
-                for doc, region, begun, hashes in _regions(some, walks, bloom, reach):
+                for doc, region, begun, hashes in _regions(some, walks, bloom, rough, reach):
                     found.append((ids.iloc[start + doc], region, begun, hashes.view(np.int64)))
                 start += len(some)
             yield pd.DataFrame(found, columns=["doc_id", "region", "places", "hashes"])
@@ -366,9 +406,10 @@ def find_passages(
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            far = least_distances(batch["item"].tolist(), batch["part"].tolist())
-            out = batch[["doc_id", "item_id"]].assign(distance=far, length=batch["item"].str.len())
-            yield out[out["distance"] <= most_edits * out["length"]]
+            length = batch["item"].str.len().to_numpy(np.int64)
+            most = np.floor(most_edits * length).astype(np.int64)
+            far = distances_within(batch["item"].tolist(), batch["part"].tolist(), most)
+            yield batch[["doc_id", "item_id"]].assign(distance=far, length=length)[far <= most]
 
     # Edits move a letter by as many places at most, so a passage lies within this part.
     named = known.select(F.col("item_id").alias("of_item"), "item")

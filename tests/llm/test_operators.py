@@ -388,6 +388,56 @@ def test_least_distance():
         assert decontaminate.least_distance(item, text)[0] == brute_distance(item, text)
 
 
+def test_walks_read_each_letter_once(monkeypatch):
+    rng = np.random.default_rng(5)
+    data = rng.choice(np.frombuffer(b"\0etaoin \xc3\xa9", np.uint8), 500)
+    walks, taken, take = decontaminate.Walks(20), [], np.take
+    # A walk done step by step, by the same random choices.
+    random_ = np.random.default_rng(40)
+    moves = random_.integers(0, 2, (decontaminate.WALKS, 40, 256))
+    moves[:, :, 0] = 0
+    values = random_.integers(0, 2**64, moves.shape, np.uint64)
+    picked = [[set(random_.choice(40, 15, replace=False)) for _ in range(decontaminate.SAMPLES)] for _ in moves]
+    exact = []
+    for k, (walk, samples) in enumerate((w, p) for w, ps in enumerate(picked) for p in ps):
+        for start in range(0, 481, 5):
+            at, total = start, k + 1
+            for step in range(40):
+                letter = data[at] if at < start + 20 else 0
+                total += int(values[walk, step, letter]) * (step in samples)
+                at += moves[walk, step, letter]
+            exact.append(total % 2**64)
+    monkeypatch.setattr(np, "take", lambda table, rows, *a, **b: taken.append(len(rows)) or take(table, rows, *a, **b))
+    got = np.concatenate([h for _, h in walks.hashes(data, 5)], axis=1)
+    assert got.ravel().tolist() == exact
+    assert sum(taken) == decontaminate.WALKS * 21 * 97  # 20 letters and the end, not 40 steps several times
+
+
+def test_distant_pairs_are_settled_by_beginnings(monkeypatch):
+    rng = random.Random(6)
+    say = lambda n: "".join(rng.choices("etaoin shrdlu", k=n))
+    items, texts = [], []
+    for k in range(240):
+        items.append(say(rng.randrange(24, 400)))
+        letters = list(items[-1])
+        for at in rng.sample(range(len(letters)), int(len(letters) * rng.choice([0.1, 0.2, 0.25]))):
+            letters[at] = rng.choice(["", "z", letters[at] + "z"])
+        texts.append(say(rng.randrange(60)) + ("".join(letters) if k % 12 == 0 else say(len(letters))) + say(rng.randrange(60)))
+    most = np.array([len(i) // 5 for i in items])
+    work, whole = [], decontaminate._column_by_column
+
+    def counted(some, parts, words):
+        work.append(sum(len(i) * len(t) for i, t in zip(some, parts, strict=True)))
+        return whole(some, parts, words)
+
+    monkeypatch.setattr(decontaminate, "_column_by_column", counted)
+    got = decontaminate.distances_within(items, texts, most)
+    assert sum(work) < 0.75 * sum(len(i) * len(t) for i, t in zip(items, texts, strict=True))
+    exact = np.array([brute_distance(i, t) for i, t in zip(items[::4], texts[::4], strict=True)])
+    near = exact <= most[::4]
+    assert 5 <= near.sum() < 30 and (got[::4][near] == exact[near]).all() and (got[::4] <= most[::4]).sum() == near.sum()
+
+
 def test_quality(spark, docs, none, labels):
     got = quality.score_quality(docs, labels).collect()
     assert len(got) == len(AWKWARD) and all(0 <= r.score <= 1 for r in got)
