@@ -22,6 +22,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,23 +39,60 @@ LEAST_COUNT = 4
 #: After a round of fewer rules pairs are told apart exactly.
 FEW_RULES = 256
 MAGIC = b"RPB1"
-#: Chunks of plain texts, without letters or marks from U+0250 on, where lower case and composition
-#: do not depend on neighbours: words, and marks before white space, are one pre-token each.
-PLAIN_CHUNK = re.compile(f"[{LATIN}]+|[{MARKS}]++(?![^{SPACE}])|[^{SPACE}]+")
 ONE_PRETOKEN = re.compile(f"[{LATIN}]+|[{MARKS}]+")
 OTHER = re.compile("[^\\x00-ɏ]")
-CHUNK = re.compile(f"[^{SPACE}]+")
 WORD_END = "</w>"
+#: What a code unit of UTF-16 is: white space, a letter of LATIN, or anything else.
+_UNITS = "".join(map(chr, range(1 << 16)))
+KINDS = np.full(1 << 16, 2, np.uint8)
+KINDS[[ord(c) for c in re.findall(f"[{SPACE}]", _UNITS)]] = 0
+KINDS[[ord(c) for c in re.findall(f"[{LATIN}]", _UNITS)]] = 1
 #: Remembered chunks of a worker, and characters taken at once; both bound memory only.
-REMEMBERED = 600_000
-AT_ONCE = 3_000_000
+REMEMBERED = 1_000_000
+AT_ONCE = 6_000_000
 _HASH_BITS = 18
 
 
+def _runs(values: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Runs of values, one after the other."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if ends.size else 0
+    return values[np.repeat(begins - (ends - sizes), sizes) + np.arange(total)]
+
+
+def chunks(texts: list[str], split: bool) -> tuple[pa.Array, np.ndarray]:
+    """The chunks of all texts, as UTF-16, and where those of each text begin and end.
+
+    Chunks end at white space. With ``split``, letters of LATIN at their beginning are a chunk of
+    their own.
+    """
+    units = [t.encode("utf-16-le") for t in texts]
+    codes = np.frombuffer(b"\n\0".join([*units, b""]), np.uint16)
+    ends = np.cumsum([len(u) // 2 + 1 for u in units])
+    kinds = KINDS.take(codes)
+    solid = kinds > 0
+    begins = solid.copy()
+    begins[1:] &= ~solid[:-1]
+    if split:
+        words = np.flatnonzero(begins)
+        cuts = np.flatnonzero((kinds[1:] == 2) & (kinds[:-1] == 1)) + 1
+        of = np.searchsorted(words, cuts, side="right") - 1
+        begins[cuts[(np.diff(of, prepend=-1) > 0) & (kinds[words[of]] == 1)]] = True
+    bounds = np.searchsorted(np.flatnonzero(begins), np.concatenate([[0], ends]))
+    solid_codes = codes[solid]
+    offsets = np.append(np.flatnonzero(begins[solid]), solid_codes.size) * 2
+    found = pa.Array.from_buffers(
+        pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(solid_codes)]
+    )
+    return found, bounds
+
+
 class Encoder:
     """The tokenizer, asked once for each distinct chunk of text.
 
-    No pre-token of this vocabulary crosses white space, so a text's ids are those of its chunks.
+    No pre-token of this vocabulary crosses white space, so a text's ids are those of its chunks. In
+    plain texts, without letters or marks from U+0250 on, lower case and composition do not depend
+    on neighbours: words at the beginning of a chunk are chunks of their own.
     Chunks of one pre-token are encoded as one text, whose ids are cut after each end of a word.
     """
 
@@ -68,43 +106,74 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
-        self.known: dict[str, bytes] = {}
-
-    def chunks(self, text: str) -> list[str]:
-        return CHUNK.findall(text) if "<|" in text or OTHER.search(text) else PLAIN_CHUNK.findall(text.lower())
-
-    def learn(self, new: list[str]) -> None:
-        one = {c for c in new if ONE_PRETOKEN.fullmatch(c) and c == c.lower()}
-        single = list(one)
+        # Chunks met of late, and those met before them.
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def learn(self, new: list[bytes]) -> None:
+        words, mixed = {}, {}
+        for raw in new:
+            chunk = raw.decode("utf-16-le")
+            if ONE_PRETOKEN.fullmatch(chunk) and chunk == chunk.lower():
+                words[raw] = chunk
+            else:
+                mixed[raw] = chunk
+        raws, single = list(words), list(words.values())
         for start in range(0, len(single), 2_000):
             some = single[start : start + 2_000]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, np.int32)
+            found = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)
+            ids = np.array(found[0].ids, np.int32)
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) != len(some):
                 raise ValueError(f"{len(some)} words gave {len(cuts)} ends of words: {some[:20]}")
-            raw, at = ids.tobytes(), 0
-            for chunk, cut in zip(some, cuts.tolist(), strict=True):
-                self.known[chunk] = raw[4 * at : 4 * cut]
+            packed, at = ids.tobytes(), 0
+            for raw, cut in zip(raws[start : start + 2_000], (4 * cuts).tolist(), strict=True):
+                self.known[raw] = packed[at:cut]
                 at = cut
-        mixed = [c for c in new if c not in one]
-        found = self.tokenizer.encode_batch_fast(mixed, add_special_tokens=False)
-        for chunk, encoded in zip(mixed, found, strict=True):
-            self.known[chunk] = np.array(encoded.ids, np.int32).tobytes()
+        found = self.tokenizer.encode_batch_fast(list(mixed.values()), add_special_tokens=False)
+        for raw, encoded in zip(mixed, found, strict=True):
+            self.known[raw] = np.array(encoded.ids, np.int32).tobytes()
+
+    def recall(self, wanted: list[bytes]) -> list[bytes]:
+        """The ids of distinct chunks. What was not wanted for long is forgotten first."""
+        if len(self.known) > REMEMBERED // 2:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        ids = [known.get(c) for c in wanted]
+        missing = [k for k, i in enumerate(ids) if i is None]
+        new = [c for c in (wanted[k] for k in missing) if c not in older]
+        self.learn(new)
+        for k in missing:
+            c = wanted[k]
+            ids[k] = known[c] = known[c] if c in known else older[c]
+        return ids
+
+    def encode_some(self, texts: list[str], split: bool) -> list[np.ndarray]:
+        pieces, bounds = chunks(texts, split)
+        numbered = pieces.dictionary_encode()
+        of = numbered.indices.to_numpy()
+        ids = self.recall(numbered.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        lengths = sizes[of]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        every = _runs(np.frombuffer(b"".join(ids), np.int32), (np.cumsum(sizes) - sizes)[of], lengths)
+        cuts = ends[bounds].tolist()
+        return [every[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
     def encode_all(self, texts: list[str]) -> Iterator[np.ndarray]:
         start = 0
         while start < len(texts):
-            some, size = [], 0
-            while start + len(some) < len(texts) and (not some or size < AT_ONCE):
-                some.append(self.chunks(texts[start + len(some)]))
-                size += len(texts[start + len(some) - 1])
-            start += len(some)
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
-            known = self.known
-            self.learn(list({c for chunks in some for c in chunks if c not in known}))
-            for chunks in some:
-                yield np.frombuffer(b"".join([known[c] for c in chunks]), np.int32)
+            end, size = start, 0
+            while end < len(texts) and size < AT_ONCE:
+                size += len(texts[end])
+                end += 1
+            some = texts[start:end]
+            whole = ["<|" in t or OTHER.search(t) is not None for t in some]
+            plain = iter(self.encode_some([t.lower() for t, w in zip(some, whole, strict=True) if not w], True))
+            other = iter(self.encode_some([t for t, w in zip(some, whole, strict=True) if w], False))
+            for w in whole:
+                yield next(other if w else plain)
+            start = end
 
 
 @lru_cache(maxsize=2)
@@ -124,22 +193,23 @@ def _replace(symbols: np.ndarray, first: np.ndarray, names: int, spare: int, exa
     """
     left, right = symbols[:-1], symbols[1:]
     inner = ~first[1:]
-    kinds = _hash(left, right)
+    kinds = _hash(left, right).astype(np.intp)
     counts = np.bincount(kinds[inner], minlength=1 << _HASH_BITS)
     wanted = min(spare, RULES_A_ROUND)
-    at = np.flatnonzero((counts >= LEAST_COUNT)[kinds] & inner)
-    kinds = kinds[at]
+    pairs = left.astype(np.uint32) << np.uint32(16) | right.astype(np.uint32)
     if exact:
-        _, kinds, counts = np.unique(
-            left[at].astype(np.uint32) << np.uint32(16) | right[at].astype(np.uint32),
-            return_inverse=True, return_counts=True,
-        )
+        at = np.flatnonzero((counts >= LEAST_COUNT).take(kinds) & inner)
+        _, kinds, counts = np.unique(pairs[at], return_inverse=True, return_counts=True)
     cut = max(LEAST_COUNT, int(np.partition(counts, -wanted)[-wanted]) if len(counts) > wanted else 0)
-    frequent = (counts >= cut)[kinds]
-    at, kinds = at[frequent], kinds[frequent]
+    if exact:
+        frequent = (counts >= cut)[kinds]
+        at, kinds = at[frequent], kinds[frequent]
+    else:
+        at = np.flatnonzero((counts >= cut).take(kinds) & inner)
+        kinds = kinds[at]
     speaks = np.full(len(counts), -1, np.int64)
     speaks[kinds] = at
-    same = (left[at] == left[speaks[kinds]]) & (right[at] == right[speaks[kinds]])
+    same = pairs[at] == pairs[speaks[kinds]]
     at, kinds = at[same], kinds[same]
     # of overlapping occurrences every second one is replaced, from the left
     run = np.maximum.accumulate(np.where(np.diff(at, prepend=-2) != 1, np.arange(at.size), 0))
@@ -233,6 +303,18 @@ class Block:
             ids, last = out, begin
         return ids
 
+    def every(self) -> np.ndarray:
+        """The ids of all documents: rules are expanded once, from the first round to the last."""
+        spans = np.concatenate([np.ones(self.names, np.int64), self.spans])
+        ends = np.cumsum(spans)
+        begins = ends - spans
+        ids, at = np.arange(ends[-1], dtype=np.int32), self.names
+        for made in self.rounds.tolist():
+            parts = self.rules[at - self.names : at - self.names + made].ravel()
+            ids[begins[at] : ends[at + made - 1]] = _runs(ids, begins[parts], spans[parts])
+            at += made
+        return _runs(ids, begins[self.symbols], spans[self.symbols])
+
     def document(self, k: int) -> np.ndarray:
         end = self.starts[k + 1] if k + 1 < len(self.starts) else len(self.symbols)
         return self.expand(self.symbols[self.starts[k] : end])
@@ -297,7 +379,7 @@ def read_documents(blocks: DataFrame, ids: bool = True) -> DataFrame:
         for batch in batches:
             for part, seq, packed in zip(batch["part"], batch["seq"], batch["block"], strict=True):
                 block = Block(packed)
-                every = block.expand(block.symbols)
+                every = block.every()
                 ends = np.cumsum(block.lengths)
                 begins = ends - block.lengths
                 raw = memoryview(every.astype("<u4").tobytes())

@@ -338,6 +338,34 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_frequent_chunks_are_encoded_once(monkeypatch):
+    monkeypatch.setattr(token_files, "REMEMBERED", 160)
+    monkeypatch.setattr(token_files, "AT_ONCE", 200)
+    encode, asked = token_files.Encoder(public_tokenizers.path(token_files.TOKENIZER)), []
+    learn = encode.learn
+    monkeypatch.setattr(encode, "learn", lambda new: asked.extend(new) or learn(new))
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcé'.-,", k=6))
+    texts = [f"The {word()}\xa0don't, {word()}\n'tis {word()}... ǅ 12\t" + " мир 世界 😀<|" * (k % 3 == 0) for k in range(200)]
+    texts += ["", " \n", "x" * 500]
+    exact = [encode.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ids.tolist() for ids in encode.encode_all(texts)] == exact
+    assert list(encode.encode_all([])) == []
+    for chunk in ("the", "don", "'t,", "...", "12", "мир", "世界"):
+        assert [c if isinstance(c, str) else c.decode("utf-16-le") for c in asked].count(chunk) <= 1
+    assert len(encode.known) + len(encode.older) < 240 < len(asked)
+
+
+def test_blocks_are_expanded_at_once():
+    rng = np.random.default_rng(8)
+    for names, kinds in ((20, 1), (20, 3), (60_000, 9), (1 << 16, 5)):
+        lengths = rng.integers(1, 400, 50)
+        ids = rng.integers(0, kinds, lengths.sum()).astype(np.int32)
+        block = token_files.Block(token_files.pack(np.arange(50), np.ones(50, bool), ids, lengths, names))
+        assert (block.every() == ids).all() and (block.expand(block.symbols) == ids).all()
+        assert (len(block.rules) > 0) == (names < 1 << 16)
+
+
 def test_decontaminate(spark, docs, none):
     item = "The quick brown fox jumps over the lazy dog and then goes home to sleep until the sun is up."
     items = spark.createDataFrame([(1, item), (1, item), (2, None), (3, "short"), (4, item[::-1])], "item_id long, text string")
