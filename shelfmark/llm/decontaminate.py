@@ -43,7 +43,7 @@ AT_ONCE = 2 << 20
 #: Windows whose walks are done together; bounds memory only.
 WINDOWS_AT_ONCE = 1 << 13
 #: Pairs verified together; bounds memory only.
-PAIRS_AT_ONCE = 4096
+PAIRS_AT_ONCE = 2048
 #: Up to so many pairs, a step's cost is that of its calls.
 FEW_PAIRS = 512
 #: Letters by which beginnings of an item may differ and be verified together.
@@ -192,11 +192,11 @@ def _column_by_column(items: list[str], texts: list[str], words: int) -> np.ndar
     sizes = np.array([len(text) for text in texts], np.int64)
     longest = int(sizes.max())
     codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
-    places = np.full(max(known, default=-1) + 2, len(letters), np.int64)
+    places = np.full(max(known, default=-1) + 2, len(letters), np.int32)
     places[known] = np.arange(len(letters))
-    read = np.zeros((n, longest), np.int64)
+    read = np.zeros((n, longest), np.int32)
     read[np.arange(longest) < sizes[:, None]] = places.take(codes, mode="clip")
-    offsets = np.array([numbers[item] for item in items], np.int64) * (len(letters) + 1)
+    offsets = np.array([numbers[item] for item in items], np.int32) * np.int32(len(letters) + 1)
     read = np.ascontiguousarray((read + offsets[:, None]).T)
     score = np.array([len(item) for item in items], np.int64)
     best, one, high = score.copy(), np.uint64(1), np.uint64(63)
